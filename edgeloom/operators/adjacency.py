@@ -14,15 +14,20 @@ from pyspark.sql import functions as F
 
 from edgeloom.operators.edges import distinct_edges, weighted_edges
 from edgeloom.operators.skew import hot_limit
+from edgeloom.storage import keep
 
 MAX_LEN = 1_000_000
 
 
 def _parted(edges: DataFrame, max_len: int) -> DataFrame:
-    """Add ``part`` to distinct edges."""
-    sizes = edges.groupBy("src").agg(F.count(F.lit(1)).alias("size"))
-    limit = hot_limit(sizes.agg(F.sum("size")).scalar(), max_len)
-    hubs = sizes.where(F.col("size") > limit).select("src", limit.alias("stretch"))
+    """Add ``part`` to a kept table of distinct edges."""
+    limit = hot_limit(edges.count(), max_len)
+    hubs = (
+        edges.groupBy("src")
+        .agg(F.count(F.lit(1)).alias("size"))
+        .where(F.col("size") > limit)
+        .select("src", F.lit(limit).cast("bigint").alias("stretch"))
+    )
     part = F.coalesce(F.expr("dst div stretch"), F.lit(0).cast("bigint"))
     return edges.join(F.broadcast(hubs), "src", "left").withColumn("part", part)
 
@@ -36,7 +41,7 @@ def adjacency_list(edges: DataFrame, max_len: int = MAX_LEN) -> DataFrame:
     """
     pairs = F.array_sort(F.collect_list(F.struct("dst", "m")))
     return (
-        _parted(weighted_edges(edges), max_len)
+        _parted(keep(weighted_edges(edges), "weighted"), max_len)
         .groupBy("src", "part")
         .agg(pairs.alias("pairs"), F.sum("m").alias("n"))
         .select(
@@ -52,7 +57,7 @@ def adjacency_list(edges: DataFrame, max_len: int = MAX_LEN) -> DataFrame:
 def adjacency_set(edges: DataFrame, max_len: int = MAX_LEN) -> DataFrame:
     """``(src, part, neighbours, n)`` with each neighbour once."""
     return (
-        _parted(distinct_edges(edges), max_len)
+        _parted(keep(distinct_edges(edges), "distinct"), max_len)
         .groupBy("src", "part")
         .agg(F.array_sort(F.collect_list("dst")).alias("neighbours"))
         .withColumn("n", F.size("neighbours").cast("bigint"))

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from edgeloom.functions.columns import damped
 from edgeloom.operators.degrees import degree_in_out
 from edgeloom.operators.edges import distinct_edges
-from edgeloom.operators.skew import HOT_KEYS_MAX, all_stripes, stripe_of, stripes
+from edgeloom.operators.skew import all_stripes, hot_limit, stripe_of, stripes
 from edgeloom.storage import keep
 
 STRIPE_EDGES = 1_000_000
@@ -41,14 +41,13 @@ def pagerank_rounds(
     spark = edges.sparkSession
     links = keep(distinct_edges(edges), "links")
     nodes = keep(degree_in_out(links).select("node", "out_deg"), "nodes")
-    n = nodes.count()
-    ranks = nodes.select("node", F.lit(1.0 / max(n, 1)).alias("rank"), "out_deg")
+    n = max(nodes.count(), 1)
+    ranks = nodes.select("node", F.lit(1.0 / n).alias("rank"), "out_deg")
     yield ranks
     if iterations == 0:
         return
 
-    # Fewer than HOT_KEYS_MAX sources can have more edges than this.
-    limit = F.lit(max(stripe_edges, -(-links.count() // HOT_KEYS_MAX)))
+    limit = hot_limit(links.count(), stripe_edges)
     hubs = nodes.where(F.col("out_deg") > limit).select(
         F.col("node").alias("src"), stripes(F.col("out_deg"), limit).alias("n_stripes")
     )

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from edgeloom.operators.broadcasts import BROADCAST_ROWS, fits_broadcast
 from edgeloom.operators.degrees import degree_in_out
 from edgeloom.operators.edges import max_filter, weighted_edges
-from edgeloom.operators.skew import BLOCK_ROWS, split_join
+from edgeloom.operators.skew import BLOCK_ROWS, hot_keys, hot_limit, pair_tasks, split_join
+from edgeloom.storage import keep
 
 
 def path2_cardinality(edges: DataFrame, max_id: int | None = None) -> DataFrame:
@@ -37,22 +38,24 @@ def path2_pairs(
     ``strategy="broadcast"`` ships one side whole to every task if it has at
     most ``max_broadcast_rows`` edges and shuffles otherwise.
     """
-    weighted = weighted_edges(edges)
+    weighted = keep(weighted_edges(edges), "weighted")
     ins = weighted.select(
         F.col("dst").alias("y"), F.col("src").alias("x"), F.col("m").alias("m_in")
     )
     outs = weighted.select(
         F.col("src").alias("y"), F.col("dst").alias("z"), F.col("m").alias("m_out")
     )
-    if strategy == "broadcast" and fits_broadcast(edges, max_broadcast_rows):
+    if strategy == "broadcast" and fits_broadcast(weighted, max_broadcast_rows):
         paths = ins.join(F.broadcast(outs), "y")
     else:
-        counts = degree_in_out(edges).select(
+        degrees = degree_in_out(weighted).select(
             F.col("node").alias("y"),
             F.col("in_deg").alias("n_left"),
             F.col("out_deg").alias("n_right"),
         )
-        paths = split_join(ins, outs, "y", ("x", "z"), counts, block)
+        counts = keep(degrees, "counts")
+        hot = hot_keys(counts, "y", hot_limit(2 * weighted.count(), block))
+        paths = split_join(ins, outs, "y", ("x", "z"), hot, pair_tasks(counts))
     if not keep_returns:
         paths = paths.where("x <> z")
     return paths.groupBy("x", "z").agg(

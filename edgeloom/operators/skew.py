@@ -1,13 +1,13 @@
 """Joins that stay balanced when one key holds a large part of all rows.
 
 A key with many rows is cut into a grid: its left rows are spread over
-``rows`` stripes and its right rows over ``cols`` stripes, each stripe is
+``n_rows`` stripes and its right rows over ``n_cols`` stripes, each row is
 copied to the other side's stripes, and the cells are joined on their own.
-Every pair still meets exactly once.
+Every pair still meets exactly once, in the cell of its two stripes.
 
-Only keys above the limit are listed in the broadcast table. The limit is at
-least ``total rows / HOT_KEYS_MAX``, so there are fewer than ``HOT_KEYS_MAX``
-such keys whatever the input size.
+Only keys above a limit are split and listed in a broadcast table. The limit
+is at least ``total rows / HOT_KEYS_MAX``, so fewer than ``HOT_KEYS_MAX``
+keys can be above it, whatever the size of the input.
 """
 
 from __future__ import annotations
@@ -17,16 +17,17 @@ from pyspark.sql import functions as F
 
 HOT_KEYS_MAX = 1_000_000
 BLOCK_ROWS = 16_384
+PAIRS_PER_TASK = 2**28
 
 
-def hot_limit(total: Column, floor: int) -> Column:
+def hot_limit(total_rows: int, floor: int) -> int:
     """Rows per key above which a key is split."""
-    return F.greatest(F.lit(floor), F.ceil(total / F.lit(HOT_KEYS_MAX))).cast("bigint")
+    return max(floor, -(-total_rows // HOT_KEYS_MAX))
 
 
-def stripes(rows: Column, limit: Column) -> Column:
+def stripes(rows: Column, limit: int) -> Column:
     """Number of stripes that hold ``rows`` rows, ``limit`` in each."""
-    return F.greatest(F.lit(1), F.ceil(rows / limit)).cast("int")
+    return F.greatest(F.lit(1), F.ceil(rows / F.lit(limit))).cast("int")
 
 
 def stripe_of(value: Column, count: Column) -> Column:
@@ -39,42 +40,55 @@ def all_stripes(count: Column) -> Column:
     return F.explode(F.sequence(F.lit(0), F.coalesce(count, F.lit(1)) - 1))
 
 
-def hot_keys(counts: DataFrame, key: str, floor: int = BLOCK_ROWS) -> DataFrame:
+def hot_keys(counts: DataFrame, key: str, limit: int) -> DataFrame:
     """Keys to split, from ``counts(key, n_left, n_right)``."""
-    n_left, n_right = F.col("n_left"), F.col("n_right")
-    limit = hot_limit(counts.agg(F.sum(n_left + n_right)).scalar(), floor)
-    return counts.where(F.greatest(n_left, n_right) > limit).select(
+    return counts.where((F.col("n_left") > limit) | (F.col("n_right") > limit)).select(
         key,
-        stripes(n_left, limit).alias("n_rows"),
-        stripes(n_right, limit).alias("n_cols"),
+        stripes(F.col("n_left"), limit).alias("n_rows"),
+        stripes(F.col("n_right"), limit).alias("n_cols"),
     )
 
 
+def pair_tasks(counts: DataFrame) -> int:
+    """Tasks for a join that builds all pairs within each key.
+
+    Adaptive coalescing goes by the size of the input, which says little
+    about the number of pairs, so the number of tasks follows the pairs.
+    """
+    least = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    pairs = F.sum(F.col("n_left").cast("double") * F.col("n_right"))
+    total = counts.agg(F.coalesce(pairs, F.lit(0.0))).first()[0]
+    return max(least, int(total // PAIRS_PER_TASK) + 1)
+
+
 def split_join(
     left: DataFrame,
     right: DataFrame,
     key: str,
     spread: tuple[str, str],
-    counts: DataFrame,
-    floor: int = BLOCK_ROWS,
+    hot: DataFrame,
+    tasks: int | None = None,
 ) -> DataFrame:
-    """Inner join on ``key`` with hot keys cut into cells.
+    """Inner join on ``key``, with the keys of ``hot(key, n_rows, n_cols)`` split.
 
     ``spread`` names the column of each side that varies within a key.
-    ``counts(key, n_left, n_right)`` gives rows per key, or an upper bound.
+    ``tasks`` fixes the number of tasks; without it Spark chooses.
     """
-    hot = F.broadcast(hot_keys(counts, key, floor))
+    cells = [key, "cell_row", "cell_col"]
+    listed = F.broadcast(hot)
     striped_left = (
-        left.join(hot, key, "left")
+        left.join(listed, key, "left")
         .withColumn("cell_row", stripe_of(F.col(spread[0]), F.col("n_rows")))
         .withColumn("cell_col", all_stripes(F.col("n_cols")))
         .drop("n_rows", "n_cols")
     )
     striped_right = (
-        right.join(hot, key, "left")
+        right.join(listed, key, "left")
         .withColumn("cell_col", stripe_of(F.col(spread[1]), F.col("n_cols")))
         .withColumn("cell_row", all_stripes(F.col("n_rows")))
         .drop("n_rows", "n_cols")
     )
-    cells = [key, "cell_row", "cell_col"]
+    if tasks:
+        striped_left = striped_left.repartition(tasks, *cells)
+        striped_right = striped_right.repartition(tasks, *cells)
     return striped_left.join(striped_right, cells).drop("cell_row", "cell_col")

@@ -17,36 +17,40 @@ from pyspark.sql import functions as F
 from edgeloom.operators.broadcasts import BROADCAST_ROWS, fits_broadcast
 from edgeloom.operators.degrees import degree_in_out
 from edgeloom.operators.edges import max_filter, weighted_edges
-from edgeloom.operators.skew import BLOCK_ROWS, split_join
+from edgeloom.operators.skew import BLOCK_ROWS, hot_keys, hot_limit, pair_tasks, split_join
 from edgeloom.storage import keep
 
+LOOKUP_ROWS = 1_000_000
+
 
 def _with_degree(
-    edges: DataFrame, end: str, other: str, degrees: DataFrame, block: int
+    edges: DataFrame, end: str, other: str, degrees: DataFrame, limit: int
 ) -> DataFrame:
     """Add the degree of the node in column ``end``."""
     table = degrees.select(F.col("node").alias(end), F.col("deg").alias(f"{end}_deg"))
     counts = degrees.select(
-        F.col("node").alias(end),
-        F.col("deg").alias("n_left"),
-        F.lit(1).cast("bigint").alias("n_right"),
+        F.col("node").alias(end), F.col("deg").alias("n_left"), F.lit(1).alias("n_right")
     )
-    return split_join(edges, table, end, (other, end), counts, block)
+    return split_join(edges, table, end, (other, end), hot_keys(counts, end, limit))
 
 
-def ordered_edges(edges: DataFrame, block: int = BLOCK_ROWS) -> DataFrame:
+def ordered_edges(edges: DataFrame, block: int = LOOKUP_ROWS) -> DataFrame:
     """``(low, high, out, m)``: each distinct edge seen from its earlier node.
 
     ``out`` is true where the edge leaves ``low``. Self-loops are left out.
     The result is a table in the shared folder: the wedge join, its row
     counts and the closing join all read it.
     """
-    simple = weighted_edges(edges.where("src <> dst"))
-    degrees = degree_in_out(simple).select(
-        "node", (F.col("in_deg") + F.col("out_deg")).alias("deg")
+    simple = keep(weighted_edges(edges.where("src <> dst")), "simple")
+    degrees = keep(
+        degree_in_out(simple).select(
+            "node", (F.col("in_deg") + F.col("out_deg")).alias("deg")
+        ),
+        "degrees",
     )
-    ranked = _with_degree(simple, "src", "dst", degrees, block)
-    ranked = _with_degree(ranked, "dst", "src", degrees, block)
+    limit = hot_limit(2 * simple.count(), block)
+    ranked = _with_degree(simple, "src", "dst", degrees, limit)
+    ranked = _with_degree(ranked, "dst", "src", degrees, limit)
     out = F.struct("src_deg", "src") < F.struct("dst_deg", "dst")
     return keep(
         ranked.select(
@@ -72,10 +76,12 @@ def wedges(
     if broadcast_outs:
         found = ins.join(F.broadcast(outs), "y")
     else:
-        counts = ordered.groupBy(F.col("low").alias("y")).agg(
+        later = ordered.groupBy(F.col("low").alias("y")).agg(
             F.count_if(~F.col("out")).alias("n_left"), F.count_if("out").alias("n_right")
         )
-        found = split_join(ins, outs, "y", ("x", "z"), counts, block)
+        counts = keep(later, "counts")
+        hot = hot_keys(counts, "y", hot_limit(ordered.count(), block))
+        found = split_join(ins, outs, "y", ("x", "z"), hot, pair_tasks(counts))
     return found.where("x <> z")
 
 
@@ -116,7 +122,7 @@ def triangle_count(
     """
     if strategy not in ("shuffle", "broadcast"):
         raise ValueError(f"unknown strategy {strategy!r}")
-    ordered = ordered_edges(max_filter(edges, max_id), block)
+    ordered = ordered_edges(max_filter(edges, max_id))
     small = strategy == "broadcast" and fits_broadcast(ordered, max_broadcast_rows)
     pairs = closed_pairs(
         ordered, F.count(F.lit(1)).alias("n"), broadcast_edges=small, block=block
@@ -155,7 +161,7 @@ def closed_walks(
         raise ValueError(f"unknown mode {mode!r}")
     edges = max_filter(edges, max_id)
 
-    ordered = ordered_edges(edges, block)
+    ordered = ordered_edges(edges)
 
     # Three different nodes: x -> y, y -> z, z -> x with a, b, c copies.
     pairs = closed_pairs(
