@@ -5,22 +5,25 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-WHOLE_NUMBER = "^[+-]?[0-9]+$"
+WHOLE_NUMBER = "[+-]?[0-9]+"
 
 
-def whole_number(text: Column) -> Column:
-    """Text to BIGINT; null unless it is a whole number that fits.
+def two_numbers(line: Column, sep: str) -> Column:
+    """True if a line is two whole numbers, then at most trailing separators."""
+    mark = f"(?:\\Q{sep}\\E)"
+    return line.rlike(f"^{WHOLE_NUMBER}{mark}{WHOLE_NUMBER}{mark}*\\z")
 
-    A plain cast would also accept blanks around the digits and drop
-    decimals, so the shape is tested first.
-    """
-    return F.when(text.rlike(WHOLE_NUMBER), text.try_cast("bigint"))
 
+def number_at(line: Column, sep: str, position: int) -> Column:
+    """Field of a delimited line as BIGINT; null if it does not fit."""
+    return F.split_part(line, F.lit(sep), F.lit(position)).try_cast("bigint")
 
-def line_fields(line: Column, sep: str = ",") -> Column:
-    """Fields of a delimited line after removal of trailing empty fields."""
-    mark = "[" + sep + "]"
-    return F.split(F.regexp_replace(line, mark + "+$", ""), mark)
+
+def field_count(line: Column, sep: str) -> Column:
+    """Number of fields of a line without its trailing empty fields."""
+    kept = F.rtrim(line, F.lit(sep))
+    bare = F.replace(kept, F.lit(sep), F.lit(""))
+    return F.length(kept) - F.length(bare) + 1
 
 
 def tuple_text(*columns: Column) -> Column:

@@ -26,6 +26,7 @@ from edgeloom.operators.skew import all_stripes, hot_limit, stripe_of, stripes
 from edgeloom.storage import keep
 
 STRIPE_EDGES = 1_000_000
+EDGES_PER_TASK = 2**24
 
 
 def pagerank_rounds(
@@ -47,11 +48,14 @@ def pagerank_rounds(
     if iterations == 0:
         return
 
-    limit = hot_limit(links.count(), stripe_edges)
+    total = links.count()
+    limit = hot_limit(total, stripe_edges)
     hubs = nodes.where(F.col("out_deg") > limit).select(
         F.col("node").alias("src"), stripes(F.col("out_deg"), limit).alias("n_stripes")
     )
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    tasks = max(
+        int(spark.conf.get("spark.sql.shuffle.partitions")), total // EDGES_PER_TASK
+    )
     placed = (
         links.join(F.broadcast(hubs), "src", "left")
         .select("src", stripe_of(F.col("dst"), F.col("n_stripes")).alias("stripe"), "dst")

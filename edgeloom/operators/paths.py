@@ -46,7 +46,9 @@ def path2_pairs(
         F.col("src").alias("y"), F.col("dst").alias("z"), F.col("m").alias("m_out")
     )
     if strategy == "broadcast" and fits_broadcast(weighted, max_broadcast_rows):
-        paths = ins.join(F.broadcast(outs), "y")
+        # As many rows as the broadcast side; spread, as each row meets many.
+        tasks = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        paths = ins.repartition(tasks, "y", "x").join(F.broadcast(outs), "y")
     else:
         degrees = degree_in_out(weighted).select(
             F.col("node").alias("y"),

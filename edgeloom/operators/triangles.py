@@ -74,7 +74,9 @@ def wedges(
         F.col("low").alias("y"), F.col("high").alias("z"), F.col("m").alias("m_out")
     )
     if broadcast_outs:
-        found = ins.join(F.broadcast(outs), "y")
+        # As many rows as the broadcast side; spread, as each row meets many.
+        tasks = int(ordered.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        found = ins.repartition(tasks, "y", "x").join(F.broadcast(outs), "y")
     else:
         later = ordered.groupBy(F.col("low").alias("y")).agg(
             F.count_if(~F.col("out")).alias("n_left"), F.count_if("out").alias("n_right")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from edgeloom.functions.columns import line_fields, whole_number
+from edgeloom.functions.columns import field_count, number_at, two_numbers
 
 EDGE_SCHEMA = "src BIGINT, dst BIGINT"
 
@@ -28,34 +28,27 @@ def read_edge_lines(
     return parse_edges(lines, sep), parse_rejects(lines, sep)
 
 
-def _fields(lines: DataFrame, sep: str) -> DataFrame:
-    fields = lines.select("line", line_fields(F.col("line"), sep).alias("f"))
-    return fields.select(
-        "line",
-        F.size("f").alias("fields"),
-        whole_number(F.get("f", F.lit(0))).alias("src"),
-        whole_number(F.get("f", F.lit(1))).alias("dst"),
-    )
-
-
 def parse_edges(lines: DataFrame, sep: str = ",") -> DataFrame:
-    """Edges from a ``line`` column: exactly two fields, both whole numbers."""
+    """Edges from a ``line`` column: exactly two fields, both whole numbers.
+
+    One pattern test decides; the ids are then cut out literally, which is
+    several times faster than splitting by pattern.
+    """
+    line = F.col("line")
     return (
-        _fields(lines, sep)
-        .where("fields = 2 AND src IS NOT NULL AND dst IS NOT NULL")
-        .select("src", "dst")
+        lines.where(two_numbers(line, sep))
+        .select(number_at(line, sep, 1).alias("src"), number_at(line, sep, 2).alias("dst"))
+        .where("src IS NOT NULL AND dst IS NOT NULL")
     )
 
 
 def parse_rejects(lines: DataFrame, sep: str = ",") -> DataFrame:
     """Lines that :func:`parse_edges` leaves out, each with a reason."""
-    reason = F.when(F.col("fields") != 2, "field_count").when(
-        F.col("src").isNull() | F.col("dst").isNull(), "not_a_number"
-    )
-    return (
-        _fields(lines, sep)
-        .select("line", reason.alias("reason"))
-        .where("reason IS NOT NULL")
+    line = F.col("line")
+    fits = number_at(line, sep, 1).isNotNull() & number_at(line, sep, 2).isNotNull()
+    reason = F.when(field_count(line, sep) != 2, "field_count").otherwise("not_a_number")
+    return lines.where(~(two_numbers(line, sep) & fits)).select(
+        "line", reason.alias("reason")
     )
 
 
