@@ -21,6 +21,7 @@ from edgeloom.operators.skew import BLOCK_ROWS, hot_keys, hot_limit, pair_tasks,
 from edgeloom.storage import keep
 
 LOOKUP_ROWS = 1_000_000
+EXACT = "decimal(38,0)"
 
 
 def _with_degree(
@@ -129,11 +130,12 @@ def triangle_count(
     pairs = closed_pairs(
         ordered, F.count(F.lit(1)).alias("n"), broadcast_edges=small, block=block
     )
-    return pairs.agg(_total(F.col("n")).alias("triangles"))
+    total = F.coalesce(F.sum("n"), F.lit(0).cast("bigint"))
+    return pairs.agg(total.alias("triangles"))
 
 
-def _total(value: Column) -> Column:
-    return F.coalesce(F.sum(value), F.lit(0).cast("bigint"))
+def _wide(term: str) -> str:
+    return f"CAST({term} AS {EXACT})"
 
 
 MODES = ("all", "semi", "set")
@@ -145,7 +147,7 @@ def closed_walks(
     max_id: int | None = None,
     block: int = BLOCK_ROWS,
 ) -> DataFrame:
-    """One row ``hits``: closed walks a -> b -> c -> a on a multigraph.
+    """One row ``hits``, DECIMAL(38,0): closed walks a -> b -> c -> a on a multigraph.
 
     Every starting point counts. The modes differ in how copies of an edge
     and self-loops count:
@@ -174,10 +176,11 @@ def closed_walks(
         F.sum(F.col("m_in") * F.col("m_out")).alias("ab"),
         block=block,
     )
+    # Decimal products: three copy counts multiplied can exceed BIGINT.
     by_cycle = {
-        "all": "3 * ab * m_close",
-        "semi": "ab + (a + b) * m_close",
-        "set": "a + b + n * m_close",
+        "all": f"3 * {_wide('ab')} * m_close",
+        "semi": f"ab + {_wide('a + b')} * m_close",
+        "set": f"a + b + {_wide('n')} * m_close",
     }
 
     # Two different nodes or one: only nodes with a self-loop take part.
@@ -202,12 +205,14 @@ def closed_walks(
     )
     looped = loops.join(per_node, "v", "left").na.fill(0, ["k", "s", "fr"])
     by_loop = {
-        "all": "l * l * l + 3 * l * fr",
-        "semi": "l * s",
-        "set": "l + l * k + s",
+        "all": f"{_wide('l')} * l * l + 3 * {_wide('l')} * fr",
+        "semi": f"{_wide('l')} * s",
+        "set": f"l + {_wide('l')} * k + s",
     }
 
-    hits = pairs.select(F.expr(by_cycle[mode]).alias("h")).unionByName(
-        looped.select(F.expr(by_loop[mode]).alias("h"))
-    )
-    return hits.agg(_total(F.col("h")).alias("hits"))
+    def term(df: DataFrame, text: str) -> DataFrame:
+        return df.select(F.expr(text).cast(EXACT).alias("h"))
+
+    hits = term(pairs, by_cycle[mode]).unionByName(term(looped, by_loop[mode]))
+    total = F.coalesce(F.sum("h").cast(EXACT), F.lit(0).cast(EXACT))
+    return hits.agg(total.alias("hits"))

@@ -30,6 +30,13 @@ def edge_parse_lines(spark, sf_dir):
     return el.parse_edges(g.edge_lines(spark, sf_dir))
 
 
+def edge_file_lines(spark, sf_dir):
+    path = new_path(spark, "edge_lines")
+    g.edge_lines(spark, sf_dir).write.text(path)
+    edges, _ = el.read_edge_lines(spark, path)
+    return edges
+
+
 def edge_rejects(spark, sf_dir):
     rejects = el.parse_rejects(g.edge_lines(spark, sf_dir))
     return rejects.groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
@@ -72,17 +79,17 @@ def distinct_edges(spark, sf_dir):
     return el.distinct_edges(g.hops(spark, sf_dir))
 
 
-def _path2_count(edges: DataFrame) -> DataFrame:
-    total = F.col("path2_count").cast("bigint")
-    return el.path2_cardinality(edges).select(total.alias("path2_count"))
+def _bigint(df: DataFrame) -> DataFrame:
+    """Exact decimal totals as BIGINT, the type of the SQL."""
+    return df.select(*(F.col(c).cast("bigint").alias(c) for c in df.columns))
 
 
 def path2_cardinality(spark, sf_dir):
-    return _path2_count(g.follows(spark, sf_dir))
+    return _bigint(el.path2_cardinality(g.follows(spark, sf_dir)))
 
 
 def path2_cardinality_hops(spark, sf_dir):
-    return _path2_count(g.hops(spark, sf_dir))
+    return _bigint(el.path2_cardinality(g.hops(spark, sf_dir)))
 
 
 def path2_pairs(spark, sf_dir):
@@ -98,15 +105,15 @@ def path2_pairs_broadcast(spark, sf_dir):
 
 
 def closed_walks_hops(spark, sf_dir):
-    return el.closed_walks(g.hops(spark, sf_dir), "all")
+    return _bigint(el.closed_walks(g.hops(spark, sf_dir), "all"))
 
 
 def closed_walks_semi_hops(spark, sf_dir):
-    return el.closed_walks(g.hops(spark, sf_dir), "semi")
+    return _bigint(el.closed_walks(g.hops(spark, sf_dir), "semi"))
 
 
 def closed_walks_set_hops(spark, sf_dir):
-    return el.closed_walks(g.hops(spark, sf_dir), "set")
+    return _bigint(el.closed_walks(g.hops(spark, sf_dir), "set"))
 
 
 def triangle_count(spark, sf_dir):
@@ -211,6 +218,7 @@ QUERIES = {
         edge_scan_hops,
         edge_scan_supply,
         edge_parse_lines,
+        edge_file_lines,
         edge_rejects,
         multi_input_tagged,
         max_filter,

@@ -125,6 +125,10 @@ FROM e a JOIN e b ON a.dst = b.src JOIN e c ON b.dst = c.src AND c.dst = a.src""
     )
 
 
+PARSED = """
+SELECT src, dst FROM parsed
+WHERE fields = 2 AND src IS NOT NULL AND dst IS NOT NULL"""
+
 ADJACENCY_SPLIT = """,
 e AS (SELECT DISTINCT src, dst FROM hops),
 sized AS (SELECT src, dst, count(*) OVER (PARTITION BY src) AS size FROM e)"""
@@ -133,11 +137,8 @@ ORACLE = {
     "edge_scan": over(FOLLOWS, "SELECT src, dst FROM follows"),
     "edge_scan_hops": over(HOPS, "SELECT src, dst FROM hops"),
     "edge_scan_supply": over(SUPPLY, "SELECT src, dst FROM supply"),
-    "edge_parse_lines": over(
-        LINES,
-        """SELECT src, dst FROM parsed
-WHERE fields = 2 AND src IS NOT NULL AND dst IS NOT NULL""",
-    ),
+    "edge_parse_lines": over(LINES, PARSED),
+    "edge_file_lines": over(LINES, PARSED),
     "edge_rejects": over(
         LINES,
         """
