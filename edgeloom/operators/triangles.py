@@ -27,29 +27,34 @@ EXACT = "decimal(38,0)"
 def _with_degree(
     edges: DataFrame, end: str, other: str, degrees: DataFrame, limit: int
 ) -> DataFrame:
-    """Add the degree of the node in column ``end``."""
-    table = degrees.select(F.col("node").alias(end), F.col("deg").alias(f"{end}_deg"))
+    """Add the degree of the node in column ``end``; drop edges off all cycles."""
+    table = degrees.where("passable").select(
+        F.col("node").alias(end), F.col("deg").alias(f"{end}_deg")
+    )
     counts = degrees.select(
         F.col("node").alias(end), F.col("deg").alias("n_left"), F.lit(1).alias("n_right")
     )
     return split_join(edges, table, end, (other, end), hot_keys(counts, end, limit))
 
 
-def ordered_edges(edges: DataFrame, block: int = LOOKUP_ROWS) -> DataFrame:
+def ordered_edges(weighted: DataFrame, block: int = LOOKUP_ROWS) -> DataFrame:
     """``(low, high, out, m)``: each distinct edge seen from its earlier node.
 
-    ``out`` is true where the edge leaves ``low``. Self-loops are left out.
-    The result is a table in the shared folder: the wedge join, its row
+    ``weighted(src, dst, m)`` is a kept table of distinct edges. ``out`` is
+    true where the edge leaves ``low``. Self-loops are left out, as are edges of nodes that have no in-edge or no out-edge: no cycle passes
+    them. The result is a table in the shared folder: the wedge join, its row
     counts and the closing join all read it.
     """
-    simple = keep(weighted_edges(edges.where("src <> dst")), "simple")
+    simple = weighted.where("src <> dst")
     degrees = keep(
         degree_in_out(simple).select(
-            "node", (F.col("in_deg") + F.col("out_deg")).alias("deg")
+            "node",
+            (F.col("in_deg") + F.col("out_deg")).alias("deg"),
+            ((F.col("in_deg") > 0) & (F.col("out_deg") > 0)).alias("passable"),
         ),
         "degrees",
     )
-    limit = hot_limit(2 * simple.count(), block)
+    limit = hot_limit(2 * weighted.count(), block)
     ranked = _with_degree(simple, "src", "dst", degrees, limit)
     ranked = _with_degree(ranked, "dst", "src", degrees, limit)
     out = F.struct("src_deg", "src") < F.struct("dst_deg", "dst")
@@ -125,7 +130,8 @@ def triangle_count(
     """
     if strategy not in ("shuffle", "broadcast"):
         raise ValueError(f"unknown strategy {strategy!r}")
-    ordered = ordered_edges(max_filter(edges, max_id))
+    weighted = keep(weighted_edges(max_filter(edges, max_id)), "weighted")
+    ordered = ordered_edges(weighted)
     small = strategy == "broadcast" and fits_broadcast(ordered, max_broadcast_rows)
     pairs = closed_pairs(
         ordered, F.count(F.lit(1)).alias("n"), broadcast_edges=small, block=block
@@ -163,9 +169,8 @@ def closed_walks(
     """
     if mode not in MODES:
         raise ValueError(f"unknown mode {mode!r}")
-    edges = max_filter(edges, max_id)
-
-    ordered = ordered_edges(edges)
+    weighted = keep(weighted_edges(max_filter(edges, max_id)), "weighted")
+    ordered = ordered_edges(weighted)
 
     # Three different nodes: x -> y, y -> z, z -> x with a, b, c copies.
     pairs = closed_pairs(
@@ -184,8 +189,9 @@ def closed_walks(
     }
 
     # Two different nodes or one: only nodes with a self-loop take part.
-    loops = edges.where("src = dst").groupBy(F.col("src").alias("v"))
-    loops = loops.agg(F.count(F.lit(1)).alias("l"))
+    loops = weighted.where("src = dst").select(
+        F.col("src").alias("v"), F.col("m").alias("l")
+    )
     mutual = (
         ordered.groupBy("low", "high")
         .agg(

@@ -7,6 +7,7 @@ import pytest
 import edgeloom as el
 from edgeloom.operators.triangles import ordered_edges, wedges
 from edgeloom.plans import graphs as g
+from edgeloom.storage import keep
 
 SF_DIR = "/root/testdata/sf0.01"
 
@@ -66,6 +67,10 @@ def test_published_counts_on_hops(spark):
     assert walks == [309_352, 245_149, 197_318]
 
 
+def kept(df):
+    return keep(el.weighted_edges(df), "weighted")
+
+
 def test_wedges_are_few(spark):
-    ordered = ordered_edges(g.hops(spark, SF_DIR))
+    ordered = ordered_edges(kept(g.hops(spark, SF_DIR)))
     assert wedges(ordered).count() <= 130_638

@@ -2,6 +2,8 @@ import brute
 import pytest
 
 import edgeloom as el
+from edgeloom.operators.triangles import ordered_edges
+from edgeloom.storage import keep
 
 # edges, triangles, then closed walks in the modes all, semi and set
 HAND = {
@@ -14,6 +16,10 @@ HAND = {
 }
 
 
+def kept(df):
+    return keep(el.weighted_edges(df), "weighted")
+
+
 def triangles(df, **options):
     return el.triangle_count(df, **options).first().triangles
 
@@ -48,12 +54,20 @@ def test_hub_is_split_without_changing_the_result(edges_of):
 
 
 def test_degrees_are_attached_across_stripes(edges_of):
-    from edgeloom.operators.triangles import ordered_edges
-
     df = edges_of(brute.hub_graph())
-    assert sorted(ordered_edges(df, block=3).collect()) == sorted(
-        ordered_edges(df).collect()
-    )
+    rows = sorted(ordered_edges(kept(df), block=3).collect())
+    assert rows == sorted(ordered_edges(kept(df)).collect())
+    assert len(rows) > 100
+
+
+def test_edges_off_all_cycles_are_dropped_early(edges_of):
+    cycle = [(1, 2), (2, 3), (3, 1), (2, 1)]
+    sink = [(i, 99) for i in range(1, 40)]
+    source = [(98, i) for i in range(1, 40)]
+    df = edges_of(cycle + sink + source)
+    # The sink is a hub that is looked up in stripes, and found to be no use.
+    assert ordered_edges(kept(df), block=4).count() == len(cycle)
+    assert triangles(df) == 1
 
 
 def test_strategies_agree(edges_of):
