@@ -8,6 +8,30 @@ from pyspark.sql import functions as F
 from edgeloom.functions.columns import tuple_text
 
 SINGLE_FILE_ROWS = 1_000_000
+COPIES_PER_PIECE = 1_000_000
+
+
+def in_text_order(df: DataFrame, copies: int = COPIES_PER_PIECE) -> DataFrame:
+    """All rows in the order of the first column's text, then of the others.
+
+    A range sort can only separate rows that differ. Equal rows are therefore
+    counted, handed out in pieces of at most ``copies``, and numbered, so that
+    many copies of one row are unfolded and sorted by several tasks.
+    """
+    columns = df.columns
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counted = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_m"))
+    pieces = counted.withColumn(
+        "_piece", F.explode(F.sequence(F.lit(0), F.expr(f"(_m - 1) div {copies}")))
+    )
+    size = F.least(F.lit(copies), F.col("_m") - F.col("_piece") * copies)
+    numbered = (
+        pieces.withColumn("_m", size)
+        .repartition(tasks, *columns, "_piece")
+        .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_m"))))
+    )
+    first = F.col(columns[0]).cast("string")
+    return numbered.orderBy(first, *columns, "_piece", "_copy").select(*columns)
 
 
 def write_delimited(
@@ -17,16 +41,12 @@ def write_delimited(
     single_file: bool = False,
     text_order: bool = False,
 ) -> None:
-    """Headerless delimited text.
+    """Headerless delimited text, optionally ordered by the first column's text.
 
-    ``text_order`` sorts all rows by the first column's text form (a range
-    sort, so many tasks share it). ``single_file`` is honoured for results of
-    up to ``SINGLE_FILE_ROWS`` rows; larger ones keep one file per task.
+    ``single_file`` is honoured for results of up to ``SINGLE_FILE_ROWS``
+    rows; larger ones keep one file per task.
     """
-    out = df
-    if text_order:
-        first = F.col(df.columns[0]).cast("string")
-        out = out.orderBy(first, *df.columns[1:])
+    out = in_text_order(df) if text_order else df
     if single_file and df.count() <= SINGLE_FILE_ROWS:
         out = out.coalesce(1)
     out.write.csv(path, sep=sep)

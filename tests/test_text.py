@@ -1,8 +1,10 @@
 from pathlib import Path
 
 import brute
+from pyspark.sql import functions as F
 
 import edgeloom as el
+from edgeloom.sinks.text import in_text_order
 
 
 def lines_of(path):
@@ -31,6 +33,20 @@ def test_text_order_sorts_by_the_text_of_the_key(edges_of, tmp_path):
     assert lines_of(tmp_path / "o") == ["1,1", "10,0", "10,1", "2,1"]
 
 
+def test_copies_of_one_row_are_sorted_in_pieces(spark):
+    df = spark.range(3000).selectExpr("IF(id % 3 = 0, id, 7) AS src", "2L AS dst")
+    out = in_text_order(df, copies=100)
+    rows = [tuple(r) for r in out.collect()]
+    assert rows == sorted((tuple(r) for r in df.collect()), key=lambda r: str(r[0]))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        where = out.select("src", F.spark_partition_id().alias("task"))
+        holders = where.where("src = 7").distinct().count()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert holders > 3
+
+
 def test_single_file_only_for_small_results(edges_of, tmp_path, monkeypatch):
     df = edges_of(brute.multigraph(3)).repartition(4)
     el.write_delimited(df, str(tmp_path / "one"), "\t", single_file=True)
