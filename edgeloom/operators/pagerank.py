@@ -22,10 +22,15 @@ from pyspark.sql import functions as F
 from edgeloom.functions.columns import damped
 from edgeloom.operators.degrees import degree_in_out
 from edgeloom.operators.edges import distinct_edges
-from edgeloom.operators.skew import all_stripes, hot_limit, stripe_of, stripes
+from edgeloom.operators.skew import (
+    ROWS_PER_STRIPE,
+    all_stripes,
+    hot_limit,
+    stripe_of,
+    stripes,
+)
 from edgeloom.storage import keep
 
-STRIPE_EDGES = 1_000_000
 EDGES_PER_TASK = 2**24
 
 
@@ -33,7 +38,7 @@ def pagerank_rounds(
     edges: DataFrame,
     iterations: int = 10,
     damping: float = 0.85,
-    stripe_edges: int = STRIPE_EDGES,
+    rows_per_stripe: int = ROWS_PER_STRIPE,
 ) -> Iterator[DataFrame]:
     """Tables ``(node, rank, out_deg)``: the start ranks, then one per round.
 
@@ -49,7 +54,7 @@ def pagerank_rounds(
         return
 
     total = links.count()
-    limit = hot_limit(total, stripe_edges)
+    limit = hot_limit(total, rows_per_stripe)
     hubs = nodes.where(F.col("out_deg") > limit).select(
         F.col("node").alias("src"), stripes(F.col("out_deg"), limit).alias("n_stripes")
     )

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from edgeloom.operators.broadcasts import BROADCAST_ROWS, fits_broadcast
 from edgeloom.operators.degrees import degree_in_out
 from edgeloom.operators.edges import max_filter, weighted_edges
-from edgeloom.operators.skew import BLOCK_ROWS, hot_keys, hot_limit, pair_tasks, split_join
+from edgeloom.operators.skew import PAIRS_PER_TASK, hot_limit, hot_pairs, split_join
 from edgeloom.storage import keep
 
 
@@ -29,7 +29,7 @@ def path2_pairs(
     keep_returns: bool = False,
     strategy: str = "shuffle",
     max_broadcast_rows: int = BROADCAST_ROWS,
-    block: int = BLOCK_ROWS,
+    pairs_per_task: int = PAIRS_PER_TASK,
 ) -> DataFrame:
     """``(x, z, paths)``: ordered end points and the number of 2-paths between them.
 
@@ -56,8 +56,9 @@ def path2_pairs(
             F.col("out_deg").alias("n_right"),
         )
         counts = keep(degrees, "counts")
-        hot = hot_keys(counts, "y", hot_limit(2 * weighted.count(), block))
-        paths = split_join(ins, outs, "y", ("x", "z"), hot, pair_tasks(counts))
+        limit = hot_limit(2 * weighted.count())
+        hot, tasks = hot_pairs(counts, "y", limit, pairs_per_task)
+        paths = split_join(ins, outs, "y", ("x", "z"), hot, tasks)
     if not keep_returns:
         paths = paths.where("x <> z")
     return paths.groupBy("x", "z").agg(

@@ -5,9 +5,11 @@ A key with many rows is cut into a grid: its left rows are spread over
 copied to the other side's stripes, and the cells are joined on their own.
 Every pair still meets exactly once, in the cell of its two stripes.
 
-Only keys above a limit are split and listed in a broadcast table. The limit
-is at least ``total rows / HOT_KEYS_MAX``, so fewer than ``HOT_KEYS_MAX``
-keys can be above it, whatever the size of the input.
+Only keys above a limit are split and listed in a broadcast table. Both limits
+keep that list short whatever the size of the input: fewer than
+``HOT_KEYS_MAX`` keys can have more than ``total rows / HOT_KEYS_MAX`` rows,
+and fewer than ``CELLS_PER_TASK * tasks`` keys can build more than that part
+of all pairs.
 """
 
 from __future__ import annotations
@@ -16,11 +18,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 HOT_KEYS_MAX = 1_000_000
-BLOCK_ROWS = 16_384
-PAIRS_PER_TASK = 2**28
+ROWS_PER_STRIPE = 1_000_000
+PAIRS_PER_TASK = 2**26
+CELLS_PER_TASK = 16
+TASKS_MAX = HOT_KEYS_MAX // CELLS_PER_TASK
 
 
-def hot_limit(total_rows: int, floor: int) -> int:
+def hot_limit(total_rows: int, floor: int = ROWS_PER_STRIPE) -> int:
     """Rows per key above which a key is split."""
     return max(floor, -(-total_rows // HOT_KEYS_MAX))
 
@@ -40,8 +44,8 @@ def all_stripes(count: Column) -> Column:
     return F.explode(F.sequence(F.lit(0), F.coalesce(count, F.lit(1)) - 1))
 
 
-def hot_keys(counts: DataFrame, key: str, limit: int) -> DataFrame:
-    """Keys to split, from ``counts(key, n_left, n_right)``."""
+def hot_rows(counts: DataFrame, key: str, limit: int) -> DataFrame:
+    """Keys to split by their rows, from ``counts(key, n_left, n_right)``."""
     return counts.where((F.col("n_left") > limit) | (F.col("n_right") > limit)).select(
         key,
         stripes(F.col("n_left"), limit).alias("n_rows"),
@@ -49,16 +53,33 @@ def hot_keys(counts: DataFrame, key: str, limit: int) -> DataFrame:
     )
 
 
-def pair_tasks(counts: DataFrame) -> int:
-    """Tasks for a join that builds all pairs within each key.
+def hot_pairs(
+    counts: DataFrame, key: str, limit: int, pairs_per_task: int = PAIRS_PER_TASK
+) -> tuple[DataFrame, int]:
+    """Keys to split for a join that builds all pairs within each key, and its tasks.
 
     Adaptive coalescing goes by the size of the input, which says little
-    about the number of pairs, so the number of tasks follows the pairs.
+    about the number of pairs, so tasks and cells follow the pairs. The grid
+    of a key is chosen so that the fewest rows are copied.
     """
+    n_left, n_right = F.col("n_left").cast("double"), F.col("n_right").cast("double")
+    total = counts.agg(F.coalesce(F.sum(n_left * n_right), F.lit(0.0))).first()[0]
     least = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    pairs = F.sum(F.col("n_left").cast("double") * F.col("n_right"))
-    total = counts.agg(F.coalesce(pairs, F.lit(0.0))).first()[0]
-    return max(least, int(total // PAIRS_PER_TASK) + 1)
+    tasks = min(TASKS_MAX, max(least, int(total // pairs_per_task) + 1))
+    pairs_per_cell = max(pairs_per_task / 1024, total / (CELLS_PER_TASK * tasks))
+
+    cells = F.ceil(n_left * n_right / pairs_per_cell)
+    by_pairs = F.ceil(F.sqrt(cells * n_left / F.greatest(n_right, F.lit(1.0))))
+    rows = F.greatest(F.least(by_pairs, n_left), F.ceil(n_left / limit), F.lit(1))
+    cols = F.greatest(
+        F.least(F.ceil(cells / F.col("n_rows")), n_right), F.ceil(n_right / limit), F.lit(1)
+    )
+    hot = (
+        counts.where((n_left > limit) | (n_right > limit) | (n_left * n_right > pairs_per_cell))
+        .withColumn("n_rows", rows.cast("int"))
+        .select(key, "n_rows", cols.cast("int").alias("n_cols"))
+    )
+    return hot, tasks
 
 
 def split_join(

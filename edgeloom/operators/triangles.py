@@ -17,10 +17,16 @@ from pyspark.sql import functions as F
 from edgeloom.operators.broadcasts import BROADCAST_ROWS, fits_broadcast
 from edgeloom.operators.degrees import degree_in_out
 from edgeloom.operators.edges import max_filter, weighted_edges
-from edgeloom.operators.skew import BLOCK_ROWS, hot_keys, hot_limit, pair_tasks, split_join
+from edgeloom.operators.skew import (
+    PAIRS_PER_TASK,
+    ROWS_PER_STRIPE,
+    hot_limit,
+    hot_pairs,
+    hot_rows,
+    split_join,
+)
 from edgeloom.storage import keep
 
-LOOKUP_ROWS = 1_000_000
 EXACT = "decimal(38,0)"
 
 
@@ -34,10 +40,12 @@ def _with_degree(
     counts = degrees.select(
         F.col("node").alias(end), F.col("deg").alias("n_left"), F.lit(1).alias("n_right")
     )
-    return split_join(edges, table, end, (other, end), hot_keys(counts, end, limit))
+    return split_join(edges, table, end, (other, end), hot_rows(counts, end, limit))
 
 
-def ordered_edges(weighted: DataFrame, block: int = LOOKUP_ROWS) -> DataFrame:
+def ordered_edges(
+    weighted: DataFrame, rows_per_stripe: int = ROWS_PER_STRIPE
+) -> DataFrame:
     """``(low, high, out, m)``: each distinct edge seen from its earlier node.
 
     ``weighted(src, dst, m)`` is a kept table of distinct edges. ``out`` is
@@ -54,7 +62,7 @@ def ordered_edges(weighted: DataFrame, block: int = LOOKUP_ROWS) -> DataFrame:
         ),
         "degrees",
     )
-    limit = hot_limit(2 * weighted.count(), block)
+    limit = hot_limit(2 * weighted.count(), rows_per_stripe)
     ranked = _with_degree(simple, "src", "dst", degrees, limit)
     ranked = _with_degree(ranked, "dst", "src", degrees, limit)
     out = F.struct("src_deg", "src") < F.struct("dst_deg", "dst")
@@ -70,7 +78,9 @@ def ordered_edges(weighted: DataFrame, block: int = LOOKUP_ROWS) -> DataFrame:
 
 
 def wedges(
-    ordered: DataFrame, broadcast_outs: bool = False, block: int = BLOCK_ROWS
+    ordered: DataFrame,
+    broadcast_outs: bool = False,
+    pairs_per_task: int = PAIRS_PER_TASK,
 ) -> DataFrame:
     """``(y, x, z, m_in, m_out)``: x -> y -> z with y before x and z, x <> z."""
     ins = ordered.where("NOT out").select(
@@ -88,8 +98,9 @@ def wedges(
             F.count_if(~F.col("out")).alias("n_left"), F.count_if("out").alias("n_right")
         )
         counts = keep(later, "counts")
-        hot = hot_keys(counts, "y", hot_limit(ordered.count(), block))
-        found = split_join(ins, outs, "y", ("x", "z"), hot, pair_tasks(counts))
+        limit = hot_limit(ordered.count())
+        hot, tasks = hot_pairs(counts, "y", limit, pairs_per_task)
+        found = split_join(ins, outs, "y", ("x", "z"), hot, tasks)
     return found.where("x <> z")
 
 
@@ -97,7 +108,7 @@ def closed_pairs(
     ordered: DataFrame,
     *measures: Column,
     broadcast_edges: bool = False,
-    block: int = BLOCK_ROWS,
+    pairs_per_task: int = PAIRS_PER_TASK,
 ) -> DataFrame:
     """Wedges summed over y per (x, z), where the edge z -> x closes them.
 
@@ -109,7 +120,7 @@ def closed_pairs(
         F.when(F.col("out"), F.col("high")).otherwise(F.col("low")).alias("x"),
         F.col("m").alias("m_close"),
     )
-    found = wedges(ordered, broadcast_edges, block)
+    found = wedges(ordered, broadcast_edges, pairs_per_task)
     if broadcast_edges:
         hits = found.join(F.broadcast(closing), ["z", "x"])
         return hits.groupBy("z", "x", "m_close").agg(*measures)
@@ -121,7 +132,7 @@ def triangle_count(
     max_id: int | None = None,
     strategy: str = "shuffle",
     max_broadcast_rows: int = BROADCAST_ROWS,
-    block: int = BLOCK_ROWS,
+    pairs_per_task: int = PAIRS_PER_TASK,
 ) -> DataFrame:
     """One row ``triangles``: directed 3-cycles of the simple graph, each once.
 
@@ -134,7 +145,10 @@ def triangle_count(
     ordered = ordered_edges(weighted)
     small = strategy == "broadcast" and fits_broadcast(ordered, max_broadcast_rows)
     pairs = closed_pairs(
-        ordered, F.count(F.lit(1)).alias("n"), broadcast_edges=small, block=block
+        ordered,
+        F.count(F.lit(1)).alias("n"),
+        broadcast_edges=small,
+        pairs_per_task=pairs_per_task,
     )
     total = F.coalesce(F.sum("n"), F.lit(0).cast("bigint"))
     return pairs.agg(total.alias("triangles"))
@@ -151,7 +165,7 @@ def closed_walks(
     edges: DataFrame,
     mode: str = "all",
     max_id: int | None = None,
-    block: int = BLOCK_ROWS,
+    pairs_per_task: int = PAIRS_PER_TASK,
 ) -> DataFrame:
     """One row ``hits``, DECIMAL(38,0): closed walks a -> b -> c -> a on a multigraph.
 
@@ -179,7 +193,7 @@ def closed_walks(
         F.sum("m_in").alias("a"),
         F.sum("m_out").alias("b"),
         F.sum(F.col("m_in") * F.col("m_out")).alias("ab"),
-        block=block,
+        pairs_per_task=pairs_per_task,
     )
     # Decimal products: three copy counts multiplied can exceed BIGINT.
     by_cycle = {

@@ -52,11 +52,11 @@ def test_chain_graph_gives_the_published_dangling_mass(spark):
         assert -1e-6 < got * 1e10 - want < 1001
 
 
-@pytest.mark.parametrize("stripe_edges", [5, 1_000_000])
-def test_hub_with_dangling_nodes(edges_of, stripe_edges):
+@pytest.mark.parametrize("rows_per_stripe", [5, 1_000_000])
+def test_hub_with_dangling_nodes(edges_of, rows_per_stripe):
     edges = brute.hub_graph() + [(0, 1000 + i) for i in range(40)]
     want, held = brute.ranks(edges, 4)
-    tables = list(el.pagerank_rounds(edges_of(edges), 4, stripe_edges=stripe_edges))
+    tables = list(el.pagerank_rounds(edges_of(edges), 4, rows_per_stripe=rows_per_stripe))
     assert len(tables) == 5
     check(as_dict(tables[-1]), want)
     trace = el.dangling_trace(edges_of(edges), 4).collect()

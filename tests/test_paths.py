@@ -37,10 +37,10 @@ def test_cardinality_does_not_overflow(spark):
 
 
 @pytest.mark.parametrize("returns", [False, True])
-@pytest.mark.parametrize("block", [4, 16_384])
-def test_pairs_equal_brute_force(edges_of, returns, block):
+@pytest.mark.parametrize("per_task", [100, 2**26])
+def test_pairs_equal_brute_force(edges_of, returns, per_task):
     edges = brute.hub_graph()
-    got = pairs_of(el.path2_pairs(edges_of(edges), keep_returns=returns, block=block))
+    got = pairs_of(el.path2_pairs(edges_of(edges), keep_returns=returns, pairs_per_task=per_task))
     assert got == brute.path2(edges, returns)
 
 

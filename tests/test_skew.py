@@ -14,7 +14,7 @@ def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_every_pair_meets_once_and_hot_rows_are_spread(spark):
+def two_sides(spark):
     left = spark.range(2000).selectExpr("IF(id % 3 = 0, 7, id) AS k", "id AS a")
     right = spark.range(900).selectExpr("IF(id % 3 = 0, 7, id) AS k", "id AS b")
     counts = (
@@ -23,34 +23,64 @@ def test_every_pair_meets_once_and_hot_rows_are_spread(spark):
         .join(right.groupBy("k").agg(F.count("*").alias("n_right")), "k", "full")
         .na.fill(0)
     )
-    hot = skew.hot_keys(counts, "k", 50)
-    assert [(r.k, r.n_rows, r.n_cols) for r in hot.collect()] == [(7, 14, 7)]
+    return left, right, counts
 
-    joined = skew.split_join(left, right, "k", ("a", "b"), hot, tasks=16)
+
+def check_spread(left, right, hot, tasks):
+    joined = skew.split_join(left, right, "k", ("a", "b"), hot, tasks)
     assert joined.count() == left.join(right, "k").count()
     assert joined.select("k", "a", "b").distinct().count() == joined.count()
-
     per_task = (
         joined.where("k = 7").groupBy(F.spark_partition_id().alias("p")).count().collect()
     )
     total = sum(r["count"] for r in per_task)
-    assert len(per_task) >= 12
-    assert max(r["count"] for r in per_task) < total / 5
+    assert len(per_task) > tasks / 2
+    assert max(r["count"] for r in per_task) < total / 4
+
+
+def test_every_pair_meets_once_and_hot_rows_are_spread(spark):
+    left, right, counts = two_sides(spark)
+    hot = skew.hot_rows(counts, "k", 50)
+    assert [(r.k, r.n_rows, r.n_cols) for r in hot.collect()] == [(7, 14, 7)]
+    check_spread(left, right, hot, tasks=16)
+
+
+def test_cells_follow_the_number_of_pairs(spark):
+    left, right, counts = two_sides(spark)
+    hot, tasks = skew.hot_pairs(counts, "k", 10**6, pairs_per_task=30_000)
+    assert tasks == 8
+    [row] = hot.collect()
+    # 668 x 301 pairs are nearly all there are; 16 cells for each of 8 tasks.
+    assert row.k == 7
+    assert 128 <= row.n_rows * row.n_cols <= 160
+    assert row.n_rows > row.n_cols
+    check_spread(left, right, hot, tasks)
+
+
+def test_a_side_without_pairs_is_still_split_by_rows(spark):
+    counts = spark.createDataFrame(
+        [(1, 500, 0), (2, 500, 1), (3, 1, 1)], "k BIGINT, n_left BIGINT, n_right BIGINT"
+    )
+    hot, _ = skew.hot_pairs(counts, "k", 100, pairs_per_task=100)
+    grids = {r.k: (r.n_rows, r.n_cols) for r in hot.collect()}
+    assert grids[1] == (5, 1)
+    assert grids[2][0] >= 5 and grids[2][1] == 1
+    assert 3 not in grids
 
 
-def test_few_keys_can_be_above_the_limit():
+def test_few_keys_can_be_above_the_limits():
     assert skew.hot_limit(1_000, 10) == 10
     rows = 5 * 10**12
-    limit = skew.hot_limit(rows, skew.BLOCK_ROWS)
-    assert rows / limit <= skew.HOT_KEYS_MAX
+    assert rows / skew.hot_limit(rows) <= skew.HOT_KEYS_MAX
+    assert skew.CELLS_PER_TASK * skew.TASKS_MAX <= skew.HOT_KEYS_MAX
 
 
-def test_tasks_follow_the_number_of_pairs(spark, monkeypatch):
+def test_tasks_follow_the_number_of_pairs(spark):
     counts = spark.createDataFrame(
         [(1, 10**6, 10**6), (2, 5, 0)], "k BIGINT, n_left BIGINT, n_right BIGINT"
     )
-    assert skew.pair_tasks(counts) == 10**12 // skew.PAIRS_PER_TASK + 1
-    assert skew.pair_tasks(counts.where("k = 2")) == 8
+    assert skew.hot_pairs(counts, "k", 10**6)[1] == 10**12 // skew.PAIRS_PER_TASK + 1
+    assert skew.hot_pairs(counts.where("k = 2"), "k", 10**6)[1] == 8
 
 
 def test_counts_combine_before_the_shuffle(spark):

@@ -49,13 +49,13 @@ def test_hub_is_split_without_changing_the_result(edges_of):
     edges = brute.hub_graph()
     df = edges_of(edges)
     want = brute.triangles(edges)
-    assert triangles(df) == triangles(df, block=2) == want
-    assert hits(df, "all", block=2) == brute.walks(edges, "all")
+    assert triangles(df) == triangles(df, pairs_per_task=20) == want
+    assert hits(df, "all", pairs_per_task=20) == brute.walks(edges, "all")
 
 
 def test_degrees_are_attached_across_stripes(edges_of):
     df = edges_of(brute.hub_graph())
-    rows = sorted(ordered_edges(kept(df), block=3).collect())
+    rows = sorted(ordered_edges(kept(df), rows_per_stripe=3).collect())
     assert rows == sorted(ordered_edges(kept(df)).collect())
     assert len(rows) > 100
 
@@ -66,7 +66,7 @@ def test_edges_off_all_cycles_are_dropped_early(edges_of):
     source = [(98, i) for i in range(1, 40)]
     df = edges_of(cycle + sink + source)
     # The sink is a hub that is looked up in stripes, and found to be no use.
-    assert ordered_edges(kept(df), block=4).count() == len(cycle)
+    assert ordered_edges(kept(df), rows_per_stripe=4).count() == len(cycle)
     assert triangles(df) == 1
 
 
