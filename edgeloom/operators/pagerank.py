@@ -26,6 +26,7 @@ from edgeloom.operators.skew import (
     ROWS_PER_STRIPE,
     all_stripes,
     hot_limit,
+    least_tasks,
     stripe_of,
     stripes,
 )
@@ -58,9 +59,7 @@ def pagerank_rounds(
     hubs = nodes.where(F.col("out_deg") > limit).select(
         F.col("node").alias("src"), stripes(F.col("out_deg"), limit).alias("n_stripes")
     )
-    tasks = max(
-        int(spark.conf.get("spark.sql.shuffle.partitions")), total // EDGES_PER_TASK
-    )
+    tasks = max(least_tasks(spark), total // EDGES_PER_TASK)
     placed = (
         links.join(F.broadcast(hubs), "src", "left")
         .select("src", stripe_of(F.col("dst"), F.col("n_stripes")).alias("stripe"), "dst")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from edgeloom.operators.broadcasts import BROADCAST_ROWS, fits_broadcast
 from edgeloom.operators.degrees import degree_in_out
 from edgeloom.operators.edges import max_filter, weighted_edges
-from edgeloom.operators.skew import PAIRS_PER_TASK, hot_limit, hot_pairs, split_join
+from edgeloom.operators.skew import PAIRS_PER_TASK, hot_limit, hot_pairs, least_tasks, split_join
 from edgeloom.storage import keep
 
 
@@ -47,7 +47,7 @@ def path2_pairs(
     )
     if strategy == "broadcast" and fits_broadcast(weighted, max_broadcast_rows):
         # As many rows as the broadcast side; spread, as each row meets many.
-        tasks = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        tasks = least_tasks(edges.sparkSession)
         paths = ins.repartition(tasks, "y", "x").join(F.broadcast(outs), "y")
     else:
         degrees = degree_in_out(weighted).select(

@@ -14,7 +14,7 @@ of all pairs.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 HOT_KEYS_MAX = 1_000_000
@@ -24,6 +24,12 @@ CELLS_PER_TASK = 16
 TASKS_MAX = HOT_KEYS_MAX // CELLS_PER_TASK
 
 
+def least_tasks(spark: SparkSession) -> int:
+    """Tasks for a join that is not sized by its rows: enough for every core."""
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, min(partitions, spark.sparkContext.defaultParallelism))
+
+
 def hot_limit(total_rows: int, floor: int = ROWS_PER_STRIPE) -> int:
     """Rows per key above which a key is split."""
     return max(floor, -(-total_rows // HOT_KEYS_MAX))
@@ -64,7 +70,7 @@ def hot_pairs(
     """
     n_left, n_right = F.col("n_left").cast("double"), F.col("n_right").cast("double")
     total = counts.agg(F.coalesce(F.sum(n_left * n_right), F.lit(0.0))).first()[0]
-    least = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    least = least_tasks(counts.sparkSession)
     tasks = min(TASKS_MAX, max(least, int(total // pairs_per_task) + 1))
     pairs_per_cell = max(pairs_per_task / 1024, total / (CELLS_PER_TASK * tasks))
 

@@ -23,6 +23,7 @@ from edgeloom.operators.skew import (
     hot_limit,
     hot_pairs,
     hot_rows,
+    least_tasks,
     split_join,
 )
 from edgeloom.storage import keep
@@ -91,7 +92,7 @@ def wedges(
     )
     if broadcast_outs:
         # As many rows as the broadcast side; spread, as each row meets many.
-        tasks = int(ordered.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        tasks = least_tasks(ordered.sparkSession)
         found = ins.repartition(tasks, "y", "x").join(F.broadcast(outs), "y")
     else:
         later = ordered.groupBy(F.col("low").alias("y")).agg(

@@ -19,7 +19,7 @@ def in_text_order(df: DataFrame, copies: int = COPIES_PER_PIECE) -> DataFrame:
     many copies of one row are unfolded and sorted by several tasks.
     """
     columns = df.columns
-    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     counted = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_m"))
     pieces = counted.withColumn(
         "_piece", F.explode(F.sequence(F.lit(0), F.expr(f"(_m - 1) div {copies}")))
@@ -27,7 +27,7 @@ def in_text_order(df: DataFrame, copies: int = COPIES_PER_PIECE) -> DataFrame:
     size = F.least(F.lit(copies), F.col("_m") - F.col("_piece") * copies)
     numbered = (
         pieces.withColumn("_m", size)
-        .repartition(tasks, *columns, "_piece")
+        .repartition(partitions, *columns, "_piece")
         .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_m"))))
     )
     first = F.col(columns[0]).cast("string")
