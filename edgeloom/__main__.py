@@ -1,4 +1,4 @@
-"""The jobs as programs: ``spark-submit`` this file or ``python -m edgeloom``.
+"""The jobs as programs: ``python -m edgeloom JOB …``.
 
     followers   INPUT OUTPUT            followers of each node
     path2       INPUT                   number of 2-paths
@@ -7,11 +7,14 @@
     walks       INPUT                   number of closed walks of length 3
     pagerank    INPUT OUTPUT            ranks of an edge list
     chain       OUTPUT                  ranks of the chain graph
+
+Malformed lines of INPUT are left out; ``--rejects FOLDER`` writes them.
 """
 
 from __future__ import annotations
 
 import argparse
+import sys
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,6 +34,7 @@ def arguments() -> argparse.ArgumentParser:
             sub.add_argument("input", help="edge list, one 'follower,followed' per line")
             sub.add_argument("--sep", default=",")
             sub.add_argument("--max-id", type=int, help="keep edges with both ids up to this")
+            sub.add_argument("--rejects", help="folder to write malformed lines to")
         if writes:
             sub.add_argument("output", help="folder to write")
             sub.add_argument("--out-sep", default=",")
@@ -56,7 +60,9 @@ def arguments() -> argparse.ArgumentParser:
 
 
 def read(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
-    edges, _ = el.read_edge_lines(spark, args.input, args.sep)
+    edges, rejects = el.read_edge_lines(spark, args.input, args.sep)
+    if args.rejects:
+        el.write_delimited(rejects.select("reason", "line"), args.rejects, "\t")
     return el.max_filter(edges, args.max_id)
 
 
@@ -96,8 +102,6 @@ def run(spark: SparkSession, argv: list[str]) -> None:
 
 
 def main() -> None:
-    import sys
-
     spark = SparkSession.builder.appName("edgeloom").getOrCreate()
     try:
         run(spark, sys.argv[1:])

@@ -23,7 +23,8 @@ def edges(tmp_path):
 
 def test_counting_jobs_print_their_total(spark, edges, capsys):
     rows, path = edges
-    run(spark, ["path2", path])
+    run(spark, ["path2", path, "--rejects", path + "-rejects"])
+    assert lines_of(path + "-rejects") == ["field_count\tbroken"]
     run(spark, ["triangles", path])
     run(spark, ["triangles", path, "--strategy", "broadcast", "--max-id", "6"])
     run(spark, ["walks", path, "--mode", "semi"])
