@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from edgeloom.operators.skew import task_count
 
 BROADCAST_ROWS = 2_000_000
 
@@ -10,3 +13,12 @@ BROADCAST_ROWS = 2_000_000
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
     """True if ``df``, a table of a few BIGINT columns, is small enough."""
     return df.count() <= max_rows
+
+
+def join_broadcast(left: DataFrame, right: DataFrame, key: str, spread: str) -> DataFrame:
+    """Inner join of two tables that :func:`fits_broadcast` has accepted.
+
+    Each left row may meet many right rows, so the left rows are dealt out.
+    """
+    tasks = task_count(left.sparkSession, BROADCAST_ROWS, 2**14, BROADCAST_ROWS)
+    return left.repartition(tasks, key, spread).join(F.broadcast(right), key)

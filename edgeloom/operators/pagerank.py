@@ -26,14 +26,12 @@ from edgeloom.operators.skew import (
     ROWS_PER_STRIPE,
     all_stripes,
     hot_limit,
-    least_tasks,
     stripe_of,
     stripes,
+    task_count,
 )
 from edgeloom.storage import keep
 
-EDGES_PER_TASK = 2**24
-
 
 def pagerank_rounds(
     edges: DataFrame,
@@ -59,7 +57,7 @@ def pagerank_rounds(
     hubs = nodes.where(F.col("out_deg") > limit).select(
         F.col("node").alias("src"), stripes(F.col("out_deg"), limit).alias("n_stripes")
     )
-    tasks = max(least_tasks(spark), total // EDGES_PER_TASK)
+    tasks = task_count(spark, total, 2**20, 2**24)
     placed = (
         links.join(F.broadcast(hubs), "src", "left")
         .select("src", stripe_of(F.col("dst"), F.col("n_stripes")).alias("stripe"), "dst")

@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from edgeloom.operators.broadcasts import BROADCAST_ROWS, fits_broadcast
+from edgeloom.operators.broadcasts import BROADCAST_ROWS, fits_broadcast, join_broadcast
 from edgeloom.operators.degrees import degree_in_out
 from edgeloom.operators.edges import max_filter, weighted_edges
-from edgeloom.operators.skew import PAIRS_PER_TASK, hot_limit, hot_pairs, least_tasks, split_join
+from edgeloom.operators.skew import PAIRS_PER_TASK, hot_limit, hot_pairs, split_join
 from edgeloom.storage import keep
 
 
@@ -46,9 +46,7 @@ def path2_pairs(
         F.col("src").alias("y"), F.col("dst").alias("z"), F.col("m").alias("m_out")
     )
     if strategy == "broadcast" and fits_broadcast(weighted, max_broadcast_rows):
-        # As many rows as the broadcast side; spread, as each row meets many.
-        tasks = least_tasks(edges.sparkSession)
-        paths = ins.repartition(tasks, "y", "x").join(F.broadcast(outs), "y")
+        paths = join_broadcast(ins, outs, "y", "x")
     else:
         degrees = degree_in_out(weighted).select(
             F.col("node").alias("y"),

@@ -24,10 +24,15 @@ CELLS_PER_TASK = 16
 TASKS_MAX = HOT_KEYS_MAX // CELLS_PER_TASK
 
 
-def least_tasks(spark: SparkSession) -> int:
-    """Tasks for a join that is not sized by its rows: enough for every core."""
+def task_count(spark: SparkSession, work: int, good: int, most: int) -> int:
+    """Tasks for ``work`` rows or pairs: about ``good`` each, never over ``most``.
+
+    The session's cores and shuffle partitions are the bounds in between, so
+    small inputs are not cut into many empty tasks.
+    """
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return max(1, min(partitions, spark.sparkContext.defaultParallelism))
+    wanted = max(spark.sparkContext.defaultParallelism, work // good)
+    return max(1, min(partitions, wanted), -(-work // most))
 
 
 def hot_limit(total_rows: int, floor: int = ROWS_PER_STRIPE) -> int:
@@ -70,8 +75,9 @@ def hot_pairs(
     """
     n_left, n_right = F.col("n_left").cast("double"), F.col("n_right").cast("double")
     total = counts.agg(F.coalesce(F.sum(n_left * n_right), F.lit(0.0))).first()[0]
-    least = least_tasks(counts.sparkSession)
-    tasks = min(TASKS_MAX, max(least, int(total // pairs_per_task) + 1))
+    good = max(1, pairs_per_task // 64)
+    tasks = task_count(counts.sparkSession, int(total), good, pairs_per_task)
+    tasks = min(TASKS_MAX, tasks)
     pairs_per_cell = max(pairs_per_task / 1024, total / (CELLS_PER_TASK * tasks))
 
     cells = F.ceil(n_left * n_right / pairs_per_cell)

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from edgeloom.operators.broadcasts import BROADCAST_ROWS, fits_broadcast
+from edgeloom.operators.broadcasts import BROADCAST_ROWS, fits_broadcast, join_broadcast
 from edgeloom.operators.degrees import degree_in_out
 from edgeloom.operators.edges import max_filter, weighted_edges
 from edgeloom.operators.skew import (
@@ -23,7 +23,6 @@ from edgeloom.operators.skew import (
     hot_limit,
     hot_pairs,
     hot_rows,
-    least_tasks,
     split_join,
 )
 from edgeloom.storage import keep
@@ -91,9 +90,7 @@ def wedges(
         F.col("low").alias("y"), F.col("high").alias("z"), F.col("m").alias("m_out")
     )
     if broadcast_outs:
-        # As many rows as the broadcast side; spread, as each row meets many.
-        tasks = least_tasks(ordered.sparkSession)
-        found = ins.repartition(tasks, "y", "x").join(F.broadcast(outs), "y")
+        found = join_broadcast(ins, outs, "y", "x")
     else:
         later = ordered.groupBy(F.col("low").alias("y")).agg(
             F.count_if(~F.col("out")).alias("n_left"), F.count_if("out").alias("n_right")

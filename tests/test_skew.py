@@ -80,6 +80,8 @@ def test_tasks_follow_the_number_of_pairs(spark):
         [(1, 10**6, 10**6), (2, 5, 0)], "k BIGINT, n_left BIGINT, n_right BIGINT"
     )
     assert skew.hot_pairs(counts, "k", 10**6)[1] == 10**12 // skew.PAIRS_PER_TASK + 1
+    assert skew.task_count(spark, 0, 2**20, 2**24) == 8
+    assert skew.task_count(spark, 2**40, 2**20, 2**24) == 2**16
     assert skew.hot_pairs(counts.where("k = 2"), "k", 10**6)[1] == 8
 
 
