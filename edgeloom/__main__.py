@@ -102,9 +102,11 @@ def run(spark: SparkSession, argv: list[str]) -> None:
 
 
 def main() -> None:
+    argv = sys.argv[1:]
+    arguments().parse_args(argv)  # help and mistakes end here, before Spark starts
     spark = SparkSession.builder.appName("edgeloom").getOrCreate()
     try:
-        run(spark, sys.argv[1:])
+        run(spark, argv)
     finally:
         spark.stop()
 

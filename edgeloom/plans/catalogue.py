@@ -132,16 +132,28 @@ def triangle_count_max(spark, sf_dir):
     return el.triangle_count(g.hops(spark, sf_dir), max_id=MAX_ID)
 
 
+def _arrays_as_text(df: DataFrame) -> DataFrame:
+    """Arrays as comma-separated text, which every engine compares alike."""
+    return df.select(
+        *(
+            F.array_join(F.col(c).cast("array<string>"), ",").alias(c)
+            if t.startswith("array")
+            else F.col(c)
+            for c, t in df.dtypes
+        )
+    )
+
+
 def adjacency_list(spark, sf_dir):
-    return el.adjacency_list(g.hops(spark, sf_dir))
+    return _arrays_as_text(el.adjacency_list(g.hops(spark, sf_dir)))
 
 
 def adjacency_set(spark, sf_dir):
-    return el.adjacency_set(g.hops(spark, sf_dir))
+    return _arrays_as_text(el.adjacency_set(g.hops(spark, sf_dir)))
 
 
 def adjacency_set_split(spark, sf_dir):
-    return el.adjacency_set(g.hops(spark, sf_dir), SPLIT_LENGTH)
+    return _arrays_as_text(el.adjacency_set(g.hops(spark, sf_dir), SPLIT_LENGTH))
 
 
 def dangling_nodes(spark, sf_dir):

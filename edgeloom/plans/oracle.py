@@ -208,21 +208,21 @@ FROM hops a JOIN e b ON a.dst = b.src JOIN e c ON b.dst = c.src AND c.dst = a.sr
     "adjacency_list": over(
         HOPS + ",\ne AS (SELECT src, dst, count(*) AS m FROM hops GROUP BY src, dst)",
         """
-SELECT src, CAST(0 AS BIGINT) AS part, list(dst ORDER BY dst) AS neighbours,
-       list(m ORDER BY dst) AS copies, CAST(sum(m) AS BIGINT) AS n
+SELECT src, CAST(0 AS BIGINT) AS part, string_agg(CAST(dst AS VARCHAR), ',' ORDER BY dst) AS neighbours,
+       string_agg(CAST(m AS VARCHAR), ',' ORDER BY dst) AS copies, CAST(sum(m) AS BIGINT) AS n
 FROM e GROUP BY src""",
     ),
     "adjacency_set": over(
         HOPS + ",\ne AS (SELECT DISTINCT src, dst FROM hops)",
         """
-SELECT src, CAST(0 AS BIGINT) AS part, list(dst ORDER BY dst) AS neighbours,
+SELECT src, CAST(0 AS BIGINT) AS part, string_agg(CAST(dst AS VARCHAR), ',' ORDER BY dst) AS neighbours,
        count(*) AS n
 FROM e GROUP BY src""",
     ),
     "adjacency_set_split": over(
         HOPS + ADJACENCY_SPLIT,
         """
-SELECT src, part, list(dst ORDER BY dst) AS neighbours, count(*) AS n
+SELECT src, part, string_agg(CAST(dst AS VARCHAR), ',' ORDER BY dst) AS neighbours, count(*) AS n
 FROM (SELECT src, dst,
              CASE WHEN size > 50 THEN dst // 50 ELSE CAST(0 AS BIGINT) END AS part
       FROM sized)

@@ -13,7 +13,6 @@ SPARK_TO_DUCK = {
     "bigint": "BIGINT",
     "double": "DOUBLE",
     "string": "VARCHAR",
-    "array<bigint>": "BIGINT[]",
 }
 
 
