@@ -6,6 +6,7 @@ on executors, so a lost executor costs a re-read and not a re-computation.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -15,15 +16,22 @@ SETTING = "spark.checkpoint.dir"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; a temporary one only in local mode."""
+    """The cluster's checkpoint folder; an error if the session names none."""
     folder = spark.conf.get(SETTING, None) or spark.sparkContext.getCheckpointDir()
-    if folder:
-        return folder.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
+    if not folder:
         raise RuntimeError(f"set {SETTING} to a folder that all executors can reach")
-    folder = tempfile.mkdtemp(prefix="edgeloom-")
-    spark.conf.set(SETTING, folder)
-    return folder
+    return folder.rstrip("/")
+
+
+def use_local_folder(spark: SparkSession) -> None:
+    """Name a temporary folder on a single-process session that names none.
+
+    For trial runs and tests. On a cluster, ``local-cluster`` included, executors are other
+    processes, and nothing is set.
+    """
+    named = spark.conf.get(SETTING, None) or spark.sparkContext.getCheckpointDir()
+    if not named and re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", "")):
+        spark.conf.set(SETTING, tempfile.mkdtemp(prefix="edgeloom-"))
 
 
 def new_path(spark: SparkSession, name: str) -> str:

@@ -1,6 +1,6 @@
 import pytest
 
-from edgeloom.storage import SETTING, keep, new_path, shared_folder
+from edgeloom.storage import SETTING, keep, new_path, shared_folder, use_local_folder
 
 
 class Conf(dict):
@@ -23,14 +23,22 @@ def test_the_folder_named_by_the_cluster_is_used():
     assert shared_folder(session) == "hdfs:///shared"
 
 
-def test_no_local_folder_on_a_cluster():
+@pytest.mark.parametrize("master", ["yarn", "local-cluster[2,1,1024]", "spark://host:7077"])
+def test_no_local_folder_on_a_cluster(master):
+    session = Session(spark__master=master)
+    use_local_folder(session)
     with pytest.raises(RuntimeError, match=SETTING):
-        shared_folder(Session(spark__master="yarn"))
+        shared_folder(session)
 
 
-def test_local_mode_gets_one_temporary_folder():
-    session = Session(spark__master="local[2]")
+@pytest.mark.parametrize("master", ["local", "local[2]", "local[*]"])
+def test_local_mode_gets_one_temporary_folder_on_request(master):
+    session = Session(spark__master=master)
+    with pytest.raises(RuntimeError, match=SETTING):
+        shared_folder(session)
+    use_local_folder(session)
     folder = shared_folder(session)
+    use_local_folder(session)
     assert folder == shared_folder(session) == session.conf[SETTING]
 
 
