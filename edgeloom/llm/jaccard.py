@@ -49,6 +49,7 @@ SLICE_BITS = 16
 HOT_BITS = 17
 BROADCAST_ROWS = 2**20
 SEEN = 2**20
+FLUSH_ROWS = 2**16
 
 IS_WORD = np.ones(256, bool)
 IS_WORD[[0x20, *range(0x09, 0x0E)]] = False
@@ -161,42 +162,50 @@ def _prefixes(size: int, percent: int, bits: int, orders: int, ranks):
     which the last four are the number of the order.
     """
 
+    names = ["token", "node", "size"]
+
+    def flush(tokens, nodes, sizes):
+        lengths = [len(t) for t in tokens]
+        arrays = [
+            pa.array(np.concatenate(tokens).view(np.int64)),
+            pa.array(np.repeat(np.array(nodes, np.int64), lengths)),
+            pa.array(np.repeat(np.array(sizes, np.int64), lengths)),
+        ]
+        for held in (tokens, nodes, sizes):
+            held.clear()
+        return pa.RecordBatch.from_arrays(arrays, names=names)
+
     def run(batches):
         seen: set[int] = set()
-        powers = ranks.value
-        for batch in batches:
-            tokens, nodes, sizes, lengths = [], [], [], []
-            for shingles in shingle_sets(batch.column(0), size):
-                n = len(shingles)
-                if not n:
-                    continue
-                node = digest(shingles)
-                if node in seen:
-                    continue
-                if len(seen) >= SEEN:
-                    seen.clear()
-                seen.add(node)
-                power = powers[_bucket(shingles, bits)]
-                # How common the set's tokens are on average, in 1/1000 of a power of two.
-                common = int(power.mean(dtype=np.float64) * 1000)
-                length = prefix_length(n, percent)
-                for order in range(orders):
-                    keys = (power.astype(np.uint64) << np.uint64(57)) | (
-                        mix(shingles ^ _SEEDS[order]) >> np.uint64(7)
-                    )
-                    if length < n:
-                        keys = np.partition(keys, length - 1)[:length]
-                    tokens.append(keys & ~np.uint64(15) | np.uint64(order))
+        powers, waiting = ranks.value, 0
+        tokens, nodes, sizes = [], [], []
+        for shingles in (s for batch in batches for s in shingle_sets(batch.column(0), size)):
+            n = len(shingles)
+            node = digest(shingles)
+            if not n or node in seen:
+                continue
+            if len(seen) >= SEEN:
+                seen.clear()
+            seen.add(node)
+            power = powers[_bucket(shingles, bits)]
+            # How common the set's tokens are on average, in 1/1000 of a power of two.
+            common = int(power.mean(dtype=np.float64) * 1000)
+            length = prefix_length(n, percent)
+            for order in range(orders):
+                keys = (power.astype(np.uint64) << np.uint64(57)) | (
+                    mix(shingles ^ _SEEDS[order]) >> np.uint64(7)
+                )
+                if length < n:
+                    keys = np.partition(keys, length - 1)[:length]
+                tokens.append(keys & ~np.uint64(15) | np.uint64(order))
                 nodes.append(node)
                 sizes.append(common << 40 | min(n, 2**40 - 1))
-                lengths.append(orders * length)
-            if tokens:
-                arrays = [
-                    pa.array(np.concatenate(tokens).view(np.int64)),
-                    pa.array(np.repeat(np.array(nodes, np.int64), lengths)),
-                    pa.array(np.repeat(np.array(sizes, np.int64), lengths)),
-                ]
-                yield pa.RecordBatch.from_arrays(arrays, names=["token", "node", "size"])
+                waiting += length
+            if waiting >= FLUSH_ROWS:
+                yield flush(tokens, nodes, sizes)
+                waiting = 0
+        if tokens:
+            yield flush(tokens, nodes, sizes)
 
     return run
 
@@ -287,37 +296,20 @@ def _sets(size: int):
     def run(batches):
         seen: set[int] = set()
         for batch in batches:
-            nodes, packed = [], []
+            nodes, sets = [], []
             for wanted, shingles in zip(
                 batch.column(1).to_pylist(), shingle_sets(batch.column(0), size), strict=True
             ):
                 if wanted not in seen and len(shingles) and digest(shingles) == wanted:
                     seen.add(wanted)
                     nodes.append(wanted)
-                    packed.append(shingles.tobytes())
-            arrays = [pa.array(nodes, pa.int64()), pa.array(packed, pa.binary())]
+                    sets.append(shingles.view(np.int64))
+            arrays = [pa.array(nodes, pa.int64()), pa.array(sets, pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays(arrays, names=["node", "shingles"])
 
     return run
 
 
-def _verify(percent: int):
-    """Task: the pairs whose sets are similar enough."""
-
-    def run(batches):
-        for batch in batches:
-            good = []
-            for left, right in zip(batch.column(2), batch.column(3), strict=True):
-                a = np.frombuffer(left.as_buffer(), np.uint64)
-                b = np.frombuffer(right.as_buffer(), np.uint64)
-                both = len(np.intersect1d(a, b, assume_unique=True))
-                good.append(100 * both >= percent * (len(a) + len(b) - both))
-            kept = batch.filter(pa.array(good, pa.bool_()))
-            yield kept.select(["a", "b"])
-
-    return run
-
-
 def _similar(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, size: int, percent: int) -> DataFrame:
     """The pairs ``(a, b)`` of nodes that are links, from the texts of one document each."""
     named = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
@@ -330,11 +322,17 @@ def _similar(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, size: int, per
     small = wanted.count() <= BROADCAST_ROWS
     same = F.col("id").eqNullSafe(F.col("wanted_id")) & (F.col("text_hash") == F.col("wanted_hash"))
     texts = docs.join(F.broadcast(wanted) if small else wanted, same).select("text", "node")
-    sets = keep(texts.mapInArrow(_sets(size), "node bigint, shingles binary"), "sets")
+    sets = keep(texts.mapInArrow(_sets(size), "node bigint, shingles array<bigint>"), "sets")
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("left"))
     right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("right"))
-    joined = pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right")
-    return keep(joined.mapInArrow(_verify(percent), "a bigint, b bigint"), "verified")
+    shared = pairs.join(left, "a").join(right, "b").select(
+        "a",
+        "b",
+        F.size(F.array_intersect("left", "right")).alias("both"),
+        (F.size("left") + F.size("right")).alias("total"),
+    )
+    linked = shared.where(F.col("both") * 100 >= (F.col("total") - F.col("both")) * percent)
+    return keep(linked.select("a", "b"), "verified")
 
 
 def near_duplicates(

@@ -41,6 +41,8 @@ RUNS, RUN_WORDS = 4, 12
 SEQUENCE_RUNS = 4
 FEATURE_BITS = 18
 ROUNDS, RATE, DECAY = 40, 0.15, 1e-4
+# Longer blocks than elsewhere, as the chains of a block go on in step.
+BLOCK_BYTES = 2**20
 COLUMN = "__lang"
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -308,7 +310,7 @@ def predict(column: pa.Array, model: Model | None, spans: bool) -> Iterator[dict
     """For each row its language, score and, if asked for, its stretches."""
     all_data, all_offsets = utf8(column)
     nothing = {"lang": UNKNOWN, "score": 0.0, "spans": [] if spans else None}
-    for first, last in row_blocks(all_offsets):
+    for first, last in row_blocks(all_offsets, BLOCK_BYTES):
         if model is None:
             yield from (nothing for _ in range(first, last))
             continue

@@ -39,7 +39,7 @@ from edgeloom.llm.textblocks import mix, row_blocks, utf8
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 TEMPER = 1.0
-BLOCK_BYTES = 2**20
+BLOCK_BYTES = 2**19
 BLANK = 0x2581
 # Stands for a U+2581 of the text, which must not be taken for a blank.
 LITERAL = 0x110000

@@ -11,7 +11,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-BLOCK_BYTES = 2**21
+BLOCK_BYTES = 2**19
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 # Inverse of the base modulo 2**64; multiplying by it undoes one power.
 _INVERSE = np.uint64(pow(int(_BASE), -1, 2**64))
