@@ -62,8 +62,9 @@ def _split(rows: DataFrame, width: int, ends: bool) -> DataFrame:
         ),
         "groups",
     )
+    # The join is the same at every size, whatever table would be small enough to broadcast.
     joined = keyed.join(
-        groups, (F.col("group") == F.col("g")) & (F.col("head") == F.col("h")), "left"
+        groups.hint("merge"), (F.col("group") == F.col("g")) & (F.col("head") == F.col("h")), "left"
     )
     single = F.col("n").isNull()
     ended = F.lit(ends) & (F.octet_length("head") < width)
