@@ -27,16 +27,16 @@ def components(links: DataFrame) -> DataFrame:
     )
     while True:
         near = (
-            both.join(labels, both.b == labels.node)
+            both.join(labels.hint("merge"), both.b == labels.node)
             .groupBy(F.col("a").alias("node"))
             .agg(F.min("label").alias("near"))
         )
-        hooked = labels.join(near, "node").select(
+        hooked = labels.join(near.hint("merge"), "node").select(
             "node", F.least("label", "near").alias("label"), F.col("label").alias("old")
         )
         heads = labels.select(F.col("node").alias("label"), F.col("label").alias("head"))
         new = keep(
-            hooked.join(heads, "label", "left").select(
+            hooked.join(heads.hint("merge"), "label", "left").select(
                 "node", F.least("label", F.coalesce("head", "label")).alias("label"), "old"
             ),
             "labels",

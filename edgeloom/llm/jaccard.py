@@ -7,8 +7,11 @@ shingles: 64 bits each, and 64 bits for a whole set.
 **Filter.** Under any total order of the tokens, two linked sets share a token
 among the first ``size - ceil(t * size) + 1`` tokens of each. A pair is a
 candidate only if that holds under each of several orders: it has to come out of
-the self-join of every order's prefixes, and the results are intersected
-before anything is verified. All orders put rare tokens first. How rare a
+the join of every order's prefixes, and the results are intersected
+before anything is verified. The first shared token also bounds the overlap by what
+is left of either set behind it; so the smaller set's token has to be in a prefix of about
+half the length, and texts that differ by many rare tokens never meet, however many
+common ones they share. All orders put rare tokens first. How rare a
 token is comes from a table of ``2**BUCKET_BITS`` counters over all documents, the
 only thing that is broadcast; it has that size whatever the corpus. Within a power of
 two of the count, each order is a random one of its own. Any such order is
@@ -162,7 +165,7 @@ def _prefixes(size: int, percent: int, bits: int, orders: int, ranks):
     which the last four are the number of the order.
     """
 
-    names = ["token", "node", "size"]
+    names = ["token", "node", "size", "pos"]
 
     def flush(tokens, nodes, sizes):
         lengths = [len(t) for t in tokens]
@@ -170,6 +173,7 @@ def _prefixes(size: int, percent: int, bits: int, orders: int, ranks):
             pa.array(np.concatenate(tokens).view(np.int64)),
             pa.array(np.repeat(np.array(nodes, np.int64), lengths)),
             pa.array(np.repeat(np.array(sizes, np.int64), lengths)),
+            pa.array(np.concatenate([np.arange(n, dtype=np.int32) for n in lengths])),
         ]
         for held in (tokens, nodes, sizes):
             held.clear()
@@ -197,7 +201,7 @@ def _prefixes(size: int, percent: int, bits: int, orders: int, ranks):
                 )
                 if length < n:
                     keys = np.partition(keys, length - 1)[:length]
-                tokens.append(keys & ~np.uint64(15) | np.uint64(order))
+                tokens.append(np.sort(keys) & ~np.uint64(15) | np.uint64(order))
                 nodes.append(node)
                 sizes.append(common << 40 | min(n, 2**40 - 1))
                 waiting += length
@@ -210,57 +214,68 @@ def _prefixes(size: int, percent: int, bits: int, orders: int, ranks):
     return run
 
 
-def _shared_tokens(prefixes: DataFrame) -> DataFrame:
-    """``(token, node, size, leader, leader_size)`` of tokens with several nodes.
+def _shared_tokens(prefixes: DataFrame, percent: int) -> DataFrame:
+    """``(token, node, size, pos, first, leader, leader_size, leader_pos)`` of shared tokens.
 
-    ``size`` is the set's size, below the commonness of its tokens, so the
-    greatest ``(size, node)`` is the leader. The counters bound the rows of
-    all tokens below ``HOT_BITS``; those meet in one task each. Others are
-    summed up first and then joined, which adaptive execution can split.
+    ``first`` marks the shorter prefix, which a set's token has to be in to meet larger
+    sets; tokens without such a row are left out. In ``prefixes`` the commonness of a set's
+    tokens stands above its size, so the greatest ``(size, node)`` is the leader.
+    The counters bound the rows of all tokens below ``HOT_BITS``; those meet in one
+    task each. Others are summed up first and then joined, which adaptive
+    execution can split.
     """
-    best = F.max(F.struct("size", "node"))
+    size = F.col("size").bitwiseAND(2**40 - 1)
+    first = (size - F.col("pos")) * (100 + percent) >= size * (2 * percent)
+    rows = prefixes.withColumn("first", first)
+    best = F.max(F.struct("size", "node", "pos"))
+    sums = {"n": F.count(F.lit(1)), "best": best, "firsts": F.max("first")}
     power = F.shiftrightunsigned("token", 57)
     by_token = Window.partitionBy("token")
     few = (
-        prefixes.where(power < HOT_BITS)
+        rows.where(power < HOT_BITS)
         .repartition("token")
         .dropDuplicates(["token", "node"])
-        .withColumns({"n": F.count(F.lit(1)).over(by_token), "best": best.over(by_token)})
+        .withColumns({name: total.over(by_token) for name, total in sums.items()})
     )
-    many = keep(prefixes.where(power >= HOT_BITS).distinct(), "hot_prefixes")
-    totals = many.groupBy("token").agg(F.count(F.lit(1)).alias("n"), best.alias("best"))
-    many = many.join(keep(totals, "hot_tokens"), "token")
+    many = keep(rows.where(power >= HOT_BITS).distinct(), "hot_prefixes")
+    totals = many.groupBy("token").agg(*(total.alias(name) for name, total in sums.items()))
+    many = many.join(keep(totals, "hot_tokens").hint("merge"), "token")
     return (
         few.unionByName(many)
-        .where("n > 1")
+        .where("n > 1 AND firsts")
         .select(
             "token",
             "node",
-            _size("size"),
+            size.alias("size"),
+            "pos",
+            "first",
             F.col("best.node").alias("leader"),
-            _size("best.size").alias("leader_size"),
+            F.col("best.size").bitwiseAND(2**40 - 1).alias("leader_size"),
+            F.col("best.pos").alias("leader_pos"),
         )
     )
 
 
-def _size(column: str) -> F.Column:
-    return F.col(column).bitwiseAND(2**40 - 1).alias("size")
-
-
-def _fits(a: str, b: str, percent: int) -> F.Column:
-    """Sizes that allow the similarity."""
-    a, b = F.col(a), F.col(b)
-    return (a * 100 >= b * percent) & (b * 100 >= a * percent)
+def _close(a: str, b: str, percent: int) -> F.Column:
+    """Sizes and what is left behind the shared token allow the similarity."""
+    n, m = F.col(f"{a}size"), F.col(f"{b}size")
+    left = F.least(n - F.col(f"{a}pos"), m - F.col(f"{b}pos"))
+    return (
+        (n * 100 >= m * percent)
+        & (m * 100 >= n * percent)
+        & (left * (100 + percent) >= (n + m) * percent)
+    )
 
 
 def _candidates(shared: DataFrame, labels: DataFrame, orders: int, percent: int) -> DataFrame:
     """``(a, b)`` that share a prefix token under every order, in different components.
 
-    Of each token, the nodes outside its largest component (``rest``) are joined with
-    all others; the largest component is never joined with itself.
+    Of each token, rows of the shorter prefix (``a``) meet rows of larger or equal sets
+    (``b``); those of the token's largest component only meet the nodes outside it.
     """
-    labelled = shared.join(labels, "node", "left").select(
-        "token", "node", "size", F.coalesce("label", "node").alias("label")
+    columns = ["size", "pos", "first"]
+    labelled = shared.join(labels.hint("merge"), "node", "left").select(
+        "token", "node", *columns, F.coalesce("label", "node").alias("label")
     )
     parts = labelled.groupBy("token", "label").agg(F.count(F.lit(1)).alias("n"))
     tokens = (
@@ -269,22 +284,23 @@ def _candidates(shared: DataFrame, labels: DataFrame, orders: int, percent: int)
         .where("parts > 1")
         .select("token", F.col("top.label").alias("top"))
     )
-    open_rows = keep(labelled.join(keep(tokens, "open_tokens"), "token"), "open_rows")
-    rest = open_rows.where("label <> top").select(
-        "token", F.col("node").alias("a"), F.col("size").alias("a_size"), F.col("label").alias("a_label")
-    )
-    every = open_rows.select(
-        "token", F.col("node").alias("b"), F.col("size").alias("b_size"), F.col("label").alias("b_label"), "top"
-    )
-    once = (F.col("b_label") == F.col("top")) | (F.col("a") < F.col("b"))
-    pairs = (
-        rest.join(every, "token")
-        .where((F.col("a_label") != F.col("b_label")) & once & _fits("a_size", "b_size", percent))
-        .select(
-            F.least("a", "b").alias("a"),
-            F.greatest("a", "b").alias("b"),
+    joined = labelled.join(keep(tokens, "open_tokens").hint("merge"), "token")
+    rows = keep(joined.withColumn("outside", F.col("label") != F.col("top")).drop("top"), "open_rows")
+
+    def side(name: str, part: DataFrame) -> DataFrame:
+        return part.select("token", *(F.col(c).alias(f"{name}_{c}") for c in ("node", "label", "size", "pos")))
+
+    def met(a: DataFrame, b: DataFrame) -> DataFrame:
+        larger = (F.col("a_size") <= F.col("b_size")) & (F.col("a_label") != F.col("b_label"))
+        pairs = side("a", a).join(side("b", b).hint("merge"), "token")
+        return pairs.where(larger & _close("a_", "b_", percent)).select(
+            F.least("a_node", "b_node").alias("a"),
+            F.greatest("a_node", "b_node").alias("b"),
             F.expr("shiftleft(1, CAST(token & 15 AS INT))").alias("order"),
         )
+
+    pairs = met(rows.where("first AND outside"), rows).union(
+        met(rows.where("first AND NOT outside"), rows.where("outside"))
     )
     found = pairs.groupBy("a", "b").agg(F.bit_or("order").alias("orders"))
     return found.where(F.col("orders") == 2**orders - 1).select("a", "b")
@@ -314,7 +330,7 @@ def _similar(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, size: int, per
     """The pairs ``(a, b)`` of nodes that are links, from the texts of one document each."""
     named = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     wanted = keep(
-        named.join(nodes, "node").select(
+        named.join(nodes.hint("merge"), "node").select(
             "node", F.col("doc.id").alias("wanted_id"), F.col("doc.text_hash").alias("wanted_hash")
         ),
         "wanted",
@@ -325,7 +341,7 @@ def _similar(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, size: int, per
     sets = keep(texts.mapInArrow(_sets(size), "node bigint, shingles array<bigint>"), "sets")
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("left"))
     right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("right"))
-    shared = pairs.join(left, "a").join(right, "b").select(
+    shared = pairs.join(left.hint("merge"), "a").join(right.hint("merge"), "b").select(
         "a",
         "b",
         F.size(F.array_intersect("left", "right")).alias("both"),
@@ -361,11 +377,11 @@ def near_duplicates(
         profiles.where("node IS NOT NULL").groupBy("node").agg(first.alias("doc")), "nodes"
     )
     prefixes = source.select("text").mapInArrow(
-        _prefixes(size, percent, bucket_bits, orders, ranks), "token bigint, node bigint, size bigint"
+        _prefixes(size, percent, bucket_bits, orders, ranks), "token bigint, node bigint, size bigint, pos int"
     )
-    shared = keep(_shared_tokens(prefixes), "shared_tokens")
+    shared = keep(_shared_tokens(prefixes, percent), "shared_tokens")
 
-    stars = shared.where((F.col("node") != F.col("leader")) & _fits("size", "leader_size", percent))
+    stars = shared.where((F.col("node") != F.col("leader")) & _close("", "leader_", percent))
     stars = keep(
         stars.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct(),
         "stars",
@@ -373,17 +389,17 @@ def near_duplicates(
     links = _similar(stars, source, nodes, size, percent)
     labels = components(links)
     pairs = _candidates(shared, labels, orders, percent)
-    pairs = keep(pairs.join(stars, ["a", "b"], "left_anti"), "candidates")
+    pairs = keep(pairs.join(stars.hint("merge"), ["a", "b"], "left_anti"), "candidates")
     if not pairs.isEmpty():
         links = links.union(_similar(pairs, source, nodes, size, percent))
         labels = components(links)
 
-    grouped = nodes.join(labels, "node", "left").select(
+    grouped = nodes.join(labels.hint("merge"), "node", "left").select(
         "node", "doc", F.coalesce("label", "node").alias("label")
     )
     least = grouped.groupBy("label").agg(F.min("doc.id").alias("component_id"))
-    found = keep(grouped.join(least, "label").select("node", "component_id"), "found")
-    return profiles.join(found, "node", "left").select(
+    found = keep(grouped.join(least.hint("merge"), "label").select("node", "component_id"), "found")
+    return profiles.join(found.hint("merge"), "node", "left").select(
         F.col("id").alias(key),
         F.col("n").alias("n_shingles"),
         F.coalesce("component_id", "id").alias("component_id"),
