@@ -274,7 +274,7 @@ def _candidates(shared: DataFrame, labels: DataFrame, orders: int, percent: int)
     (``b``); those of the token's largest component only meet the nodes outside it.
     """
     columns = ["size", "pos", "first"]
-    labelled = shared.join(labels.hint("merge"), "node", "left").select(
+    labelled = shared.join(_small(labels), "node", "left").select(
         "token", "node", *columns, F.coalesce("label", "node").alias("label")
     )
     parts = labelled.groupBy("token", "label").agg(F.count(F.lit(1)).alias("n"))
@@ -284,7 +284,7 @@ def _candidates(shared: DataFrame, labels: DataFrame, orders: int, percent: int)
         .where("parts > 1")
         .select("token", F.col("top.label").alias("top"))
     )
-    joined = labelled.join(keep(tokens, "open_tokens").hint("merge"), "token")
+    joined = labelled.join(_small(keep(tokens, "open_tokens")), "token")
     rows = keep(joined.withColumn("outside", F.col("label") != F.col("top")).drop("top"), "open_rows")
 
     def side(name: str, part: DataFrame) -> DataFrame:
@@ -326,8 +326,16 @@ def _sets(size: int):
     return run
 
 
+def _small(table: DataFrame) -> DataFrame:
+    """A written table for the narrow side of a join: broadcast up to ``BROADCAST_ROWS`` rows."""
+    return F.broadcast(table) if table.count() <= BROADCAST_ROWS else table.hint("merge")
+
+
 def _similar(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, size: int, percent: int) -> DataFrame:
-    """The pairs ``(a, b)`` of nodes that are links, from the texts of one document each."""
+    """The written pairs ``(a, b)`` of nodes that are links, from the texts of one document each.
+
+    The sets of ``a`` are sent to those of ``b``, which may have many partners.
+    """
     named = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     wanted = keep(
         named.join(nodes.hint("merge"), "node").select(
@@ -335,13 +343,17 @@ def _similar(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, size: int, per
         ),
         "wanted",
     )
-    small = wanted.count() <= BROADCAST_ROWS
     same = F.col("id").eqNullSafe(F.col("wanted_id")) & (F.col("text_hash") == F.col("wanted_hash"))
-    texts = docs.join(F.broadcast(wanted) if small else wanted, same).select("text", "node")
+    texts = docs.join(_small(wanted), same).select("text", "node")
     sets = keep(texts.mapInArrow(_sets(size), "node bigint, shingles array<bigint>"), "sets")
-    left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("left"))
-    right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("right"))
-    shared = pairs.join(left.hint("merge"), "a").join(right.hint("merge"), "b").select(
+    hubs = keep(pairs.select(F.col("b").alias("node")).distinct(), "hubs")
+    left = sets.join(_small(pairs), F.col("node") == F.col("a")).select(
+        "a", "b", F.col("shingles").alias("left")
+    )
+    right = sets.join(_small(hubs), "node", "left_semi").select(
+        F.col("node").alias("b"), F.col("shingles").alias("right")
+    )
+    shared = left.join(right.hint("merge"), "b").select(
         "a",
         "b",
         F.size(F.array_intersect("left", "right")).alias("both"),
@@ -383,13 +395,13 @@ def near_duplicates(
 
     stars = shared.where((F.col("node") != F.col("leader")) & _close("", "leader_", percent))
     stars = keep(
-        stars.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct(),
-        "stars",
+        stars.select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct(), "stars"
     )
     links = _similar(stars, source, nodes, size, percent)
     labels = components(links)
     pairs = _candidates(shared, labels, orders, percent)
-    pairs = keep(pairs.join(stars.hint("merge"), ["a", "b"], "left_anti"), "candidates")
+    known = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    pairs = keep(pairs.join(known.hint("merge"), ["a", "b"], "left_anti"), "candidates")
     if not pairs.isEmpty():
         links = links.union(_similar(pairs, source, nodes, size, percent))
         labels = components(links)
