@@ -267,6 +267,13 @@ def _close(a: str, b: str, percent: int) -> F.Column:
     )
 
 
+def _under_all(pairs: DataFrame, a: str, b: str, orders: int) -> DataFrame:
+    """Pairs ``(a, b)`` that come with a shared token of every order."""
+    order = F.expr("shiftleft(1, CAST(token & 15 AS INT))")
+    found = pairs.groupBy(F.col(a).alias("a"), F.col(b).alias("b")).agg(F.bit_or(order).alias("o"))
+    return found.where(F.col("o") == 2**orders - 1).select("a", "b")
+
+
 def _candidates(shared: DataFrame, labels: DataFrame, orders: int, percent: int) -> DataFrame:
     """``(a, b)`` that share a prefix token under every order, in different components.
 
@@ -277,15 +284,15 @@ def _candidates(shared: DataFrame, labels: DataFrame, orders: int, percent: int)
     labelled = shared.join(_small(labels), "node", "left").select(
         "token", "node", *columns, F.coalesce("label", "node").alias("label")
     )
-    parts = labelled.groupBy("token", "label").agg(F.count(F.lit(1)).alias("n"))
-    tokens = (
-        parts.groupBy("token")
-        .agg(F.count(F.lit(1)).alias("parts"), F.max(F.struct("n", "label")).alias("top"))
-        .where("parts > 1")
-        .select("token", F.col("top.label").alias("top"))
-    )
-    joined = labelled.join(_small(keep(tokens, "open_tokens")), "token")
-    rows = keep(joined.withColumn("outside", F.col("label") != F.col("top")).drop("top"), "open_rows")
+    label = F.col("label")
+    mixed = labelled.groupBy("token").agg(F.min(label).alias("low"), F.max(label).alias("high"))
+    mixed = keep(mixed.where("low <> high").select("token"), "mixed_tokens")
+    rows = labelled.join(_small(mixed), "token")
+    parts = rows.groupBy("token", "label").agg(F.count(F.lit(1)).alias("n"))
+    tops = parts.groupBy("token").agg(F.max(F.struct("n", "label")).alias("top"))
+    tops = keep(tops.select("token", F.col("top.label").alias("top")), "open_tokens")
+    rows = rows.join(_small(tops), "token").withColumn("outside", label != F.col("top")).drop("top")
+    rows = keep(rows, "open_rows")
 
     def side(name: str, part: DataFrame) -> DataFrame:
         return part.select("token", *(F.col(c).alias(f"{name}_{c}") for c in ("node", "label", "size", "pos")))
@@ -296,14 +303,13 @@ def _candidates(shared: DataFrame, labels: DataFrame, orders: int, percent: int)
         return pairs.where(larger & _close("a_", "b_", percent)).select(
             F.least("a_node", "b_node").alias("a"),
             F.greatest("a_node", "b_node").alias("b"),
-            F.expr("shiftleft(1, CAST(token & 15 AS INT))").alias("order"),
+            "token",
         )
 
     pairs = met(rows.where("first AND outside"), rows).union(
         met(rows.where("first AND NOT outside"), rows.where("outside"))
     )
-    found = pairs.groupBy("a", "b").agg(F.bit_or("order").alias("orders"))
-    return found.where(F.col("orders") == 2**orders - 1).select("a", "b")
+    return _under_all(pairs, "a", "b", orders)
 
 
 def _sets(size: int):
@@ -394,9 +400,7 @@ def near_duplicates(
     shared = keep(_shared_tokens(prefixes, percent), "shared_tokens")
 
     stars = shared.where((F.col("node") != F.col("leader")) & _close("", "leader_", percent))
-    stars = keep(
-        stars.select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct(), "stars"
-    )
+    stars = keep(_under_all(stars, "node", "leader", orders), "stars")
     links = _similar(stars, source, nodes, size, percent)
     labels = components(links)
     pairs = _candidates(shared, labels, orders, percent)

@@ -105,17 +105,17 @@ def dedup_lines(
         .agg(F.array_sort(F.collect_set("at")).alias("__cuts"))
         .withColumnsRenamed({"id": "__id", "text_hash": "__text_hash"})
     )
-    same = (F.col(key) == F.col("__id")) & (F.xxhash64(text) == F.col("__text_hash"))
+    same = (docs[key] == cuts["__id"]) & (F.xxhash64(docs[text]) == cuts["__text_hash"])
     joined = docs.join(cuts, same, "left")
-    found = F.coalesce(F.col("__cuts"), F.array().cast("array<int>"))
-    newlines = F.length(text) - F.length(F.replace(F.col(text), F.lit("\n"), F.lit("")))
+    found = F.coalesce(cuts["__cuts"], F.array().cast("array<int>"))
+    newlines = F.length(docs[text]) - F.length(F.replace(docs[text], F.lit("\n"), F.lit("")))
     counts = F.struct(
         (newlines + 1).cast("bigint").alias("n_lines"),
         F.size(found).cast("bigint").alias("n_dropped"),
     )
     return joined.select(
         *(
-            _kept_text(F.col(text), found).alias(text) if c == text else F.col(c)
+            _kept_text(docs[text], found).alias(text) if c == text else docs[c]
             for c in docs.columns
         ),
         counts.alias("__lines"),

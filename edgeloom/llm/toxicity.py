@@ -112,7 +112,7 @@ def fit_linear(hashes: np.ndarray, rows: np.ndarray, before: np.ndarray, truth:
     base = (truth.sum() + 0.5) / (n + 1)
     values[-1] = _logit(base)
     first, second = np.zeros_like(values), np.zeros_like(values)
-    scale = np.concatenate([np.maximum(np.bincount(at, minlength=k), 1), np.full(len(values) - k, n)])
+    scale = np.concatenate([np.maximum(np.bincount(at, minlength=k), 1), np.full(len(values) - k, max(n, 1))])
     for step in range(1, ROUNDS + 1):
         total = np.bincount(owner, values[at], n) + links @ values[k:-1] + values[-1]
         error = truth - _sigmoid(total)
