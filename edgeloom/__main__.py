@@ -40,7 +40,7 @@ def arguments() -> argparse.ArgumentParser:
             sub.add_argument("--out-sep", default=",")
         return sub
 
-    job("followers", writes=True).add_argument("--single-file", action="store_true")
+    job("followers", writes=True)
     job("path2")
     pairs = job("path2-pairs", writes=True)
     pairs.add_argument("--keep-returns", action="store_true")
@@ -86,7 +86,7 @@ def run(spark: SparkSession, argv: list[str]) -> None:
     edges = read(spark, args)
     if args.job == "followers":
         counts = el.follower_count(edges)
-        el.write_delimited(counts, args.output, args.out_sep, args.single_file)
+        el.write_delimited(counts, args.output, args.out_sep)
     elif args.job == "path2":
         print("2-paths:", el.path2_cardinality(edges).first().path2_count)
     elif args.job == "path2-pairs":

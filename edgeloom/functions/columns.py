@@ -8,8 +8,14 @@ from pyspark.sql import functions as F
 WHOLE_NUMBER = "[+-]?[0-9]+"
 
 
+def _one_character(sep: str) -> None:
+    if len(sep) != 1:
+        raise ValueError("the separator must be one character")
+
+
 def two_numbers(line: Column, sep: str) -> Column:
     """True if a line is two whole numbers, then at most trailing separators."""
+    _one_character(sep)
     mark = f"(?:\\Q{sep}\\E)"
     return line.rlike(f"^{WHOLE_NUMBER}{mark}{WHOLE_NUMBER}{mark}*\\z")
 
@@ -21,6 +27,7 @@ def number_at(line: Column, sep: str, position: int) -> Column:
 
 def field_count(line: Column, sep: str) -> Column:
     """Number of fields of a line without its trailing empty fields."""
+    _one_character(sep)
     kept = F.rtrim(line, F.lit(sep))
     bare = F.replace(kept, F.lit(sep), F.lit(""))
     return F.length(kept) - F.length(bare) + 1

@@ -1,35 +1,49 @@
 """Neighbours of each node as sorted arrays of bounded length.
 
-A node with at most ``max_len`` distinct neighbours gets one row with
-``part`` 0. A larger node gets one row for each stretch of ``max_len``
-consecutive ids, ``part = neighbour div max_len``, so no array and no task
-ever holds all neighbours of a hub. The rows of a node in ``part`` order are
-its whole sorted list.
+One rule for every node: its neighbours are numbered in id order from 0, and a row holds
+``max_len`` of them, ``part = position div max_len``. No array is longer, whatever
+the node's size; the rows of a node in ``part`` order are its whole sorted list.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from edgeloom.operators.edges import distinct_edges, weighted_edges
-from edgeloom.operators.skew import hot_limit
+from edgeloom.operators.skew import task_count
 from edgeloom.storage import keep
 
 MAX_LEN = 1_000_000
+ROWS_PER_RANGE = 2**21
 
 
 def _parted(edges: DataFrame, max_len: int) -> DataFrame:
-    """Add ``part`` to a kept table of distinct edges."""
-    limit = hot_limit(edges.count(), max_len)
-    hubs = (
-        edges.groupBy("src")
-        .agg(F.count(F.lit(1)).alias("size"))
-        .where(F.col("size") > limit)
-        .select("src", F.lit(limit).cast("bigint").alias("stretch"))
+    """Add ``part`` to a written table of distinct edges.
+
+    The edges are cut into ranges by source and target and numbered inside each range.
+    Only a node whose rows go on from an earlier range needs an offset, so the
+    table of offsets has at most one row for each range.
+    """
+    if max_len < 1:
+        raise ValueError("max_len must be at least 1")
+    spark = edges.sparkSession
+    tasks = task_count(spark, edges.count(), ROWS_PER_RANGE // 16, ROWS_PER_RANGE)
+    placed = keep(
+        edges.repartitionByRange(tasks, "src", "dst").withColumn("range_no", F.spark_partition_id()),
+        "ranges",
+    )
+    sizes = placed.groupBy("src", "range_no").agg(F.count(F.lit(1)).alias("size"))
+    before = Window.partitionBy("src").orderBy("range_no").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.withColumn("earlier", F.sum("size").over(before)).where("earlier > 0")
+    inside = Window.partitionBy("range_no", "src").orderBy("dst")
+    at = F.row_number().over(inside) - 1 + F.coalesce("earlier", F.lit(0))
+    return (
+        placed.join(F.broadcast(offsets.drop("size")), ["src", "range_no"], "left")
+        .withColumn("at", at)
+        .withColumn("part", F.expr(f"at div {max_len}"))
+        .drop("range_no", "earlier", "at")
     )
-    part = F.coalesce(F.expr("dst div stretch"), F.lit(0).cast("bigint"))
-    return edges.join(F.broadcast(hubs), "src", "left").withColumn("part", part)
 
 
 def adjacency_list(edges: DataFrame, max_len: int = MAX_LEN) -> DataFrame:

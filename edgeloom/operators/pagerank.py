@@ -43,6 +43,8 @@ def pagerank_rounds(
 
     Each table is written to the shared folder before the next round reads it.
     """
+    if iterations < 0:
+        raise ValueError("iterations must not be negative")
     spark = edges.sparkSession
     links = keep(distinct_edges(edges), "links")
     nodes = keep(degree_in_out(links).select("node", "out_deg"), "nodes")
@@ -110,6 +112,8 @@ def dangling_trace(
     edges: DataFrame, iterations: int = 10, damping: float = 0.85
 ) -> DataFrame:
     """``(iteration, dangling)``: the rank each round took from dangling nodes."""
+    if iterations < 1:
+        raise ValueError("a trace needs at least one iteration")
     before = list(pagerank_rounds(edges, iterations - 1, damping))
     trace = None
     for i, ranks in enumerate(before, start=1):

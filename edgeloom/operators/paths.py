@@ -30,15 +30,20 @@ def path2_pairs(
     strategy: str = "shuffle",
     max_broadcast_rows: int = BROADCAST_ROWS,
     pairs_per_task: int = PAIRS_PER_TASK,
+    max_id: int | None = None,
 ) -> DataFrame:
     """``(x, z, paths)``: ordered end points and the number of 2-paths between them.
 
     Copies of an edge are merged into a weight first, so they cost nothing in
     the join. ``keep_returns`` keeps paths that end where they start.
     ``strategy="broadcast"`` ships one side whole to every task if it has at
-    most ``max_broadcast_rows`` edges and shuffles otherwise.
+    most ``max_broadcast_rows`` edges and shuffles otherwise. The number of pairs
+    grows with the sum of in-degree times out-degree; ``max_id`` bounds it by
+    leaving out edges with a greater id before anything is joined.
     """
-    weighted = keep(weighted_edges(edges), "weighted")
+    if strategy not in ("shuffle", "broadcast"):
+        raise ValueError(f"unknown strategy {strategy!r}")
+    weighted = keep(weighted_edges(max_filter(edges, max_id)), "weighted")
     ins = weighted.select(
         F.col("dst").alias("y"), F.col("src").alias("x"), F.col("m").alias("m_in")
     )

@@ -211,9 +211,9 @@ def edges_space_roundtrip(spark, sf_dir):
     return _edges_roundtrip(spark, g.follows(spark, sf_dir), " ")
 
 
-def followers_single_csv_roundtrip(spark, sf_dir):
+def followers_csv_roundtrip(spark, sf_dir):
     path = new_path(spark, "followers_csv")
-    el.write_delimited(follower_count(spark, sf_dir), path, single_file=True)
+    el.write_delimited(follower_count(spark, sf_dir), path)
     return spark.read.schema("node BIGINT, followers BIGINT").csv(path)
 
 
@@ -266,7 +266,7 @@ QUERIES = {
         path2_csv_roundtrip,
         edges_tsv_roundtrip,
         edges_space_roundtrip,
-        followers_single_csv_roundtrip,
+        followers_csv_roundtrip,
         ranks_text_roundtrip,
     )
 }

@@ -129,9 +129,18 @@ PARSED = """
 SELECT src, dst FROM parsed
 WHERE fields = 2 AND src IS NOT NULL AND dst IS NOT NULL"""
 
-ADJACENCY_SPLIT = """,
-e AS (SELECT DISTINCT src, dst FROM hops),
-sized AS (SELECT src, dst, count(*) OVER (PARTITION BY src) AS size FROM e)"""
+ADJACENCY_SET = """
+SELECT src, part, string_agg(CAST(dst AS VARCHAR), ',' ORDER BY dst) AS neighbours, count(*) AS n
+FROM parts GROUP BY src, part"""
+
+
+def _parts(edges: str, n: int) -> str:
+    """Edges numbered within their source and cut into parts of ``n``."""
+    return f""",
+parts AS (
+  SELECT *, (row_number() OVER (PARTITION BY src ORDER BY dst) - 1) // {n} AS part
+  FROM ({edges}))"""
+
 
 ORACLE = {
     "edge_scan": over(FOLLOWS, "SELECT src, dst FROM follows"),
@@ -206,27 +215,17 @@ FROM hops a JOIN e b ON a.dst = b.src JOIN e c ON b.dst = c.src AND c.dst = a.sr
     "triangle_count_broadcast": triangles(HOPS, "hops"),
     "triangle_count_max": triangles(HOPS, "hops", "AND src <= 100 AND dst <= 100"),
     "adjacency_list": over(
-        HOPS + ",\ne AS (SELECT src, dst, count(*) AS m FROM hops GROUP BY src, dst)",
+        HOPS + _parts("SELECT src, dst, count(*) AS m FROM hops GROUP BY src, dst", 1_000_000),
         """
-SELECT src, CAST(0 AS BIGINT) AS part, string_agg(CAST(dst AS VARCHAR), ',' ORDER BY dst) AS neighbours,
+SELECT src, part, string_agg(CAST(dst AS VARCHAR), ',' ORDER BY dst) AS neighbours,
        string_agg(CAST(m AS VARCHAR), ',' ORDER BY dst) AS copies, CAST(sum(m) AS BIGINT) AS n
-FROM e GROUP BY src""",
+FROM parts GROUP BY src, part""",
     ),
     "adjacency_set": over(
-        HOPS + ",\ne AS (SELECT DISTINCT src, dst FROM hops)",
-        """
-SELECT src, CAST(0 AS BIGINT) AS part, string_agg(CAST(dst AS VARCHAR), ',' ORDER BY dst) AS neighbours,
-       count(*) AS n
-FROM e GROUP BY src""",
+        HOPS + _parts("SELECT DISTINCT src, dst FROM hops", 1_000_000), ADJACENCY_SET
     ),
     "adjacency_set_split": over(
-        HOPS + ADJACENCY_SPLIT,
-        """
-SELECT src, part, string_agg(CAST(dst AS VARCHAR), ',' ORDER BY dst) AS neighbours, count(*) AS n
-FROM (SELECT src, dst,
-             CASE WHEN size > 50 THEN dst // 50 ELSE CAST(0 AS BIGINT) END AS part
-      FROM sized)
-GROUP BY src, part""",
+        HOPS + _parts("SELECT DISTINCT src, dst FROM hops", 50), ADJACENCY_SET
     ),
     "dangling_nodes": over(
         SUPPLY,
@@ -242,7 +241,7 @@ WHERE dst NOT IN (SELECT src FROM supply)""",
     "path2_csv_roundtrip": path2_pairs("AND a.src <> b.dst"),
     "edges_tsv_roundtrip": over(HOPS, "SELECT src, dst FROM hops"),
     "edges_space_roundtrip": over(FOLLOWS, "SELECT src, dst FROM follows"),
-    "followers_single_csv_roundtrip": over(
+    "followers_csv_roundtrip": over(
         FOLLOWS, "SELECT dst AS node, count(*) AS followers FROM follows GROUP BY dst"
     ),
     "ranks_text_roundtrip": ranks(SUPPLY, "supply"),

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from edgeloom.functions.columns import tuple_text
 
-SINGLE_FILE_ROWS = 1_000_000
 COPIES_PER_PIECE = 1_000_000
 
 
@@ -34,22 +33,9 @@ def in_text_order(df: DataFrame, copies: int = COPIES_PER_PIECE) -> DataFrame:
     return numbered.orderBy(first, *columns, "_piece", "_copy").select(*columns)
 
 
-def write_delimited(
-    df: DataFrame,
-    path: str,
-    sep: str = ",",
-    single_file: bool = False,
-    text_order: bool = False,
-) -> None:
-    """Headerless delimited text, optionally ordered by the first column's text.
-
-    ``single_file`` is honoured for results of up to ``SINGLE_FILE_ROWS``
-    rows; larger ones keep one file per task.
-    """
-    out = in_text_order(df) if text_order else df
-    if single_file and df.count() <= SINGLE_FILE_ROWS:
-        out = out.coalesce(1)
-    out.write.csv(path, sep=sep)
+def write_delimited(df: DataFrame, path: str, sep: str = ",", text_order: bool = False) -> None:
+    """Headerless delimited text, optionally ordered by the first column's text."""
+    (in_text_order(df) if text_order else df).write.csv(path, sep=sep)
 
 
 def write_tuples(df: DataFrame, path: str) -> None:

@@ -7,17 +7,10 @@ from pyspark.sql import functions as F
 
 from edgeloom.functions.columns import field_count, number_at, two_numbers
 
-EDGE_SCHEMA = "src BIGINT, dst BIGINT"
-
 
 def read_edges(spark: SparkSession, path: str | list[str], sep: str = ",") -> DataFrame:
-    """Well-formed delimited files through the CSV reader, no header.
-
-    Lines whose ids are not whole numbers are left out; use
-    :func:`read_edge_lines` to see them.
-    """
-    edges = spark.read.schema(EDGE_SCHEMA).csv(path, sep=sep, mode="PERMISSIVE")
-    return edges.where("src IS NOT NULL AND dst IS NOT NULL")
+    """The edges of raw text files; other lines are left out by the rule of :func:`parse_edges`."""
+    return read_edge_lines(spark, path, sep)[0]
 
 
 def read_edge_lines(

@@ -106,6 +106,18 @@ def test_adjacency_is_whole_when_split(edges_of, max_len):
     assert joined == {a: sorted(set(b)) for a, b in want.items()}
 
 
+def test_parts_have_the_same_length_whatever_the_ids(edges_of, monkeypatch):
+    from edgeloom.operators import adjacency
+
+    monkeypatch.setattr(adjacency, "ROWS_PER_RANGE", 16)
+    ids = [*range(-99, 100), *range(10**12, 10**12 + 10**9, 10**7)]
+    edges = [(7, i) for i in ids] + [(8, 1), (9, -5)]
+    got = el.adjacency_set(edges_of(edges), 50).where("src = 7").collect()
+    rows = sorted(got, key=lambda r: r.part)
+    assert [r.n for r in rows] == [50] * 5 + [len(set(ids)) - 250]
+    assert [d for r in rows for d in r.neighbours] == sorted(set(ids))
+
+
 def test_chain_graph(spark):
     rows = sorted(tuple(r) for r in el.chain_graph(spark, 2).collect())
     assert rows == [(1, 2), (2, 0), (3, 4), (4, 0)]

@@ -3,6 +3,8 @@ from pathlib import Path
 import brute
 from pyspark.sql import functions as F
 
+import pytest
+
 import edgeloom as el
 from edgeloom.sinks.text import in_text_order
 
@@ -47,14 +49,13 @@ def test_copies_of_one_row_are_sorted_in_pieces(spark):
     assert holders > 3
 
 
-def test_single_file_only_for_small_results(edges_of, tmp_path, monkeypatch):
-    df = edges_of(brute.multigraph(3)).repartition(4)
-    el.write_delimited(df, str(tmp_path / "one"), "\t", single_file=True)
-    assert len(list((tmp_path / "one").glob("part-*"))) == 1
-    monkeypatch.setattr("edgeloom.sinks.text.SINGLE_FILE_ROWS", 10)
-    el.write_delimited(df, str(tmp_path / "many"), "\t", single_file=True)
-    assert len(list((tmp_path / "many").glob("part-*"))) > 1
-    assert sorted(lines_of(tmp_path / "one")) == sorted(lines_of(tmp_path / "many"))
+def test_read_edges_has_the_rule_of_the_line_parser(spark, tmp_path):
+    lines = ["1,2", "1,2,3", "1,2,", "1", '"7",8', " x,2", "-3,+4", "9,99999999999999999999"]
+    (tmp_path / "odd.csv").write_text("\n".join(lines))
+    got = sorted(tuple(r) for r in el.read_edges(spark, str(tmp_path)).collect())
+    assert got == [(-3, 4), (1, 2), (1, 2)]
+    with pytest.raises(ValueError, match="one character"):
+        el.read_edges(spark, str(tmp_path), "||")
 
 
 def test_tuples_keep_doubles_exactly(spark, tmp_path):
