@@ -34,8 +34,8 @@ from edgeloom.llm.textblocks import row_blocks, runs, utf8, word_hashes
 
 SAMPLE = 8000
 FOLDS = 5
-MIN_Z = 4.0
-MIN_TEXTS = 3
+MIN_Z = 6.0
+MIN_TEXTS = 10
 MOST_WORDS = 4096
 ROUNDS, RATE, DECAY = 150, 0.2, 0.02
 COLUMN = "__toxicity"
