@@ -15,6 +15,7 @@ from edgeloom.operators.edges import (
     distinct_edges,
     max_filter,
     reverse_edges,
+    rows_without_id,
     tag_inputs,
     weighted_edges,
 )
@@ -55,6 +56,7 @@ __all__ = [
     "read_edges",
     "read_tuples",
     "reverse_edges",
+    "rows_without_id",
     "split_by_rows",
     "tag_inputs",
     "triangle_count",

@@ -7,12 +7,21 @@ from pyspark.sql import functions as F
 
 
 def as_edges(df: DataFrame, src: str, dst: str) -> DataFrame:
-    """Two columns of any table as an edge list; rows without an id are left out."""
+    """Two columns of any table as an edge list; rows without an id are left out.
+
+    :func:`rows_without_id` counts what is left out.
+    """
     return df.select(
         F.col(src).cast("bigint").alias("src"), F.col(dst).cast("bigint").alias("dst")
     ).where("src IS NOT NULL AND dst IS NOT NULL")
 
 
+def rows_without_id(df: DataFrame, src: str, dst: str) -> DataFrame:
+    """One row ``(n, without_id)``: all rows, and those :func:`as_edges` leaves out."""
+    missing = F.col(src).cast("bigint").isNull() | F.col(dst).cast("bigint").isNull()
+    return df.agg(F.count(F.lit(1)).alias("n"), F.count_if(missing).alias("without_id"))
+
+
 def max_filter(edges: DataFrame, max_id: int | None) -> DataFrame:
     """Edges with both ids up to and including ``max_id``; all edges if None."""
     if max_id is None:

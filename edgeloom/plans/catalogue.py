@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import functools
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 import edgeloom as el
@@ -12,6 +14,8 @@ from edgeloom.storage import new_path
 MAX_ID = 100
 CHAIN_LENGTH = 100
 SPLIT_LENGTH = 50
+SPLIT_ROWS = 1000
+ROUNDS = 3
 
 
 def edge_scan(spark, sf_dir):
@@ -92,6 +96,15 @@ def path2_cardinality_hops(spark, sf_dir):
     return _bigint(el.path2_cardinality(g.hops(spark, sf_dir)))
 
 
+def path2_cardinality_max(spark, sf_dir):
+    return _bigint(el.path2_cardinality(g.follows(spark, sf_dir), max_id=MAX_ID))
+
+
+def path2_pairs_max(spark, sf_dir):
+    """The listing behind the filter of ids, which bounds the pairs at any size."""
+    return el.path2_pairs(g.hops(spark, sf_dir), max_id=MAX_ID)
+
+
 def path2_pairs(spark, sf_dir):
     return el.path2_pairs(g.hops(spark, sf_dir))
 
@@ -178,6 +191,16 @@ def pagerank_dangling_trace(spark, sf_dir):
     )
 
 
+def pagerank_rounds(spark, sf_dir):
+    """Start ranks and the table of each round."""
+    tables = el.pagerank_rounds(g.supply(spark, sf_dir), ROUNDS)
+    numbered = [
+        _rounded(ranks).withColumn("iteration", F.lit(i).cast("bigint"))
+        for i, ranks in enumerate(tables)
+    ]
+    return functools.reduce(DataFrame.unionByName, numbered)
+
+
 def pagerank_low_ids(spark, sf_dir):
     return pagerank(spark, sf_dir).where(F.col("node") <= MAX_ID)
 
@@ -197,6 +220,57 @@ def path2_csv_roundtrip(spark, sf_dir):
     return spark.read.schema("x BIGINT, z BIGINT, paths BIGINT").csv(path)
 
 
+def path2_max_csv_roundtrip(spark, sf_dir):
+    path = new_path(spark, "path2_csv")
+    el.write_delimited(path2_pairs_max(spark, sf_dir), path)
+    return spark.read.schema("x BIGINT, z BIGINT, paths BIGINT").csv(path)
+
+
+def edge_read_lines(spark, sf_dir):
+    """Well-formed and malformed lines in a file, through the plain reader."""
+    path = new_path(spark, "edge_lines")
+    g.edge_lines(spark, sf_dir).write.text(path)
+    return el.read_edges(spark, path)
+
+
+def edge_rows_without_id(spark, sf_dir):
+    return el.rows_without_id(g.table(spark, sf_dir, "lineitem"), "l_partkey", "l_suppkey")
+
+
+def edges_split_by_rows(spark, sf_dir):
+    """Number of partitions with rows, and rows in all."""
+    parts = el.split_by_rows(g.follows(spark, sf_dir), SPLIT_ROWS)
+    sizes = parts.groupBy(F.spark_partition_id().alias("part")).agg(F.count(F.lit(1)).alias("n"))
+    return sizes.agg(F.count(F.lit(1)).alias("parts"), F.sum("n").alias("n"))
+
+
+def _in_file_order(df: DataFrame) -> DataFrame:
+    """``df`` from files with ``pos``, the line number over all files in name order.
+
+    Lines are numbered inside each block of a file; only one row per block meets in one task.
+    """
+    block = ["_file", "_start"]
+    lines = df.select(
+        "*",
+        F.col("_metadata.file_name").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_start"),
+        F.monotonically_increasing_id().alias("_id"),
+    )
+    sizes = lines.groupBy(*block).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy(*block).rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select(*block, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    inside = F.row_number().over(Window.partitionBy(*block).orderBy("_id"))
+    numbered = lines.withColumn("_pos", inside).join(F.broadcast(starts), block)
+    return numbered.select((F.col("_before") + F.col("_pos")).alias("pos"), *df.columns)
+
+
+def followers_text_order(spark, sf_dir):
+    """Follower counts written in text order, with the number of each line."""
+    path = new_path(spark, "followers_ordered")
+    el.write_delimited(follower_count(spark, sf_dir), path, text_order=True)
+    return _in_file_order(spark.read.schema("node BIGINT, followers BIGINT").csv(path))
+
+
 def _edges_roundtrip(spark: SparkSession, edges: DataFrame, sep: str) -> DataFrame:
     path = new_path(spark, "edges_text")
     el.write_delimited(edges, path, sep, text_order=True)
@@ -243,6 +317,8 @@ QUERIES = {
         distinct_edges,
         path2_cardinality,
         path2_cardinality_hops,
+        path2_cardinality_max,
+        path2_pairs_max,
         path2_pairs,
         path2_pairs_all,
         path2_pairs_broadcast,
@@ -260,10 +336,16 @@ QUERIES = {
         pagerank,
         pagerank_hops,
         pagerank_dangling_trace,
+        pagerank_rounds,
         pagerank_low_ids,
         chain_graph,
         pagerank_chain,
         path2_csv_roundtrip,
+        path2_max_csv_roundtrip,
+        edge_read_lines,
+        edge_rows_without_id,
+        edges_split_by_rows,
+        followers_text_order,
         edges_tsv_roundtrip,
         edges_space_roundtrip,
         followers_csv_roundtrip,

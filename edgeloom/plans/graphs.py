@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from edgeloom.operators.edges import as_edges, distinct_edges
 from edgeloom.storage import keep
 
+ROWS_PER_RANGE = 2**20
+
 # Kinds of nodes of the supply graph; a node id is key * 6 + kind.
 REGION, NATION, SUPPLIER, CUSTOMER, PART, ORDER = range(6)
 
@@ -17,9 +19,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def follows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Simple graph: parts follow their suppliers, in one id space."""
-    lines = as_edges(table(spark, sf_dir, "lineitem"), "l_partkey", "l_suppkey")
-    return distinct_edges(lines.where("src <> dst"))
+    """Multigraph: parts follow their suppliers, an edge per lineitem row, in one id space."""
+    return as_edges(table(spark, sf_dir, "lineitem"), "l_partkey", "l_suppkey")
 
 
 def hops(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,18 +29,23 @@ def hops(spark: SparkSession, sf_dir: str) -> DataFrame:
     return successive(events, ["ts", "event_id"], "user_id")
 
 
-def successive(rows: DataFrame, order: list[str], value: str) -> DataFrame:
+def successive(
+    rows: DataFrame, order: list[str], value: str, rows_per_range: int = ROWS_PER_RANGE
+) -> DataFrame:
     """Edges between the values of neighbouring rows of the whole ordered table.
 
     A window over the whole table would run in one task. The rows are range
     partitioned instead, numbered by range, and linked inside each range; the
     first row of a range takes its predecessor from the last row of the range
-    before, a table with one row per range.
+    before, a table with one row per range. Ranges have about ``rows_per_range``
+    rows each and are read back one to a task.
     """
+    n = max(1, -(-rows.count() // rows_per_range))
     ranges = keep(
-        rows.repartitionByRange(*order).withColumn("range_no", F.spark_partition_id()),
+        rows.repartitionByRange(n, *order).withColumn("range_no", F.spark_partition_id()),
         "ranges",
     )
+    ranges = ranges.repartitionByRange(n, "range_no")
     inside = Window.partitionBy("range_no").orderBy(*order)
     linked = ranges.select(
         "range_no",

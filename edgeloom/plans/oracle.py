@@ -4,8 +4,8 @@ from __future__ import annotations
 
 FOLLOWS = """
 follows AS (
-  SELECT DISTINCT CAST(l_partkey AS BIGINT) AS src, CAST(l_suppkey AS BIGINT) AS dst
-  FROM lineitem WHERE l_partkey <> l_suppkey)"""
+  SELECT CAST(l_partkey AS BIGINT) AS src, CAST(l_suppkey AS BIGINT) AS dst
+  FROM lineitem WHERE l_partkey IS NOT NULL AND l_suppkey IS NOT NULL)"""
 
 HOPS = """
 hops AS (
@@ -105,16 +105,24 @@ GROUP BY a.src, b.dst""",
     )
 
 
-def path2_cardinality(graph: str, name: str) -> str:
+def path2_cardinality(graph: str, name: str, where: str = "") -> str:
     return over(
         graph,
         f"""
 SELECT CAST(coalesce(sum(i.n * o.n), 0) AS BIGINT) AS path2_count
-FROM (SELECT dst, count(*) AS n FROM {name} GROUP BY dst) i
-JOIN (SELECT src, count(*) AS n FROM {name} GROUP BY src) o ON i.dst = o.src""",
+FROM (SELECT dst, count(*) AS n FROM {name} {where} GROUP BY dst) i
+JOIN (SELECT src, count(*) AS n FROM {name} {where} GROUP BY src) o ON i.dst = o.src""",
     )
 
 
+def rounds(graph: str, name: str, last: int) -> str:
+    rows = " UNION ALL ".join(
+        f"SELECT CAST({i} AS BIGINT) AS iteration, node, round(CAST(rank AS DOUBLE), 10) AS rank FROM r{i}"
+        for i in range(last + 1)
+    )
+    return over(graph + _rank_rounds(name, last), rows)
+
+
 def triangles(graph: str, name: str, where: str = "") -> str:
     return over(
         graph
@@ -125,6 +133,8 @@ FROM e a JOIN e b ON a.dst = b.src JOIN e c ON b.dst = c.src AND c.dst = a.src""
     )
 
 
+LOW = "a.src <= 100 AND a.dst <= 100 AND b.src <= 100 AND b.dst <= 100"
+
 PARSED = """
 SELECT src, dst FROM parsed
 WHERE fields = 2 AND src IS NOT NULL AND dst IS NOT NULL"""
@@ -188,6 +198,10 @@ GROUP BY node""",
     "distinct_edges": over(HOPS, "SELECT DISTINCT src, dst FROM hops"),
     "path2_cardinality": path2_cardinality(FOLLOWS, "follows"),
     "path2_cardinality_hops": path2_cardinality(HOPS, "hops"),
+    "path2_cardinality_max": path2_cardinality(
+        FOLLOWS, "follows", "WHERE src <= 100 AND dst <= 100"
+    ),
+    "path2_pairs_max": path2_pairs(f"AND a.src <> b.dst AND {LOW}"),
     "path2_pairs": path2_pairs("AND a.src <> b.dst"),
     "path2_pairs_all": path2_pairs(""),
     "path2_pairs_broadcast": path2_pairs(""),
@@ -235,10 +249,25 @@ WHERE dst NOT IN (SELECT src FROM supply)""",
     "pagerank": ranks(SUPPLY, "supply"),
     "pagerank_hops": ranks(HOPS, "hops"),
     "pagerank_dangling_trace": trace(SUPPLY, "supply"),
+    "pagerank_rounds": rounds(SUPPLY, "supply", 3),
     "pagerank_low_ids": ranks(SUPPLY, "supply", "WHERE node <= 100"),
     "chain_graph": over(CHAIN, "SELECT src, dst FROM chain"),
     "pagerank_chain": ranks(OPEN_CHAIN, "open_chain"),
     "path2_csv_roundtrip": path2_pairs("AND a.src <> b.dst"),
+    "path2_max_csv_roundtrip": path2_pairs(f"AND a.src <> b.dst AND {LOW}"),
+    "edges_split_by_rows": over(
+        FOLLOWS, "SELECT CAST(ceil(count(*) / 1000) AS BIGINT) AS parts, count(*) AS n FROM follows"
+    ),
+    "edge_rows_without_id": """
+SELECT count(*) AS n,
+       count(*) FILTER (l_partkey IS NULL OR l_suppkey IS NULL) AS without_id FROM lineitem""",
+    "edge_read_lines": over(LINES, PARSED),
+    "followers_text_order": over(
+        FOLLOWS,
+        """
+SELECT row_number() OVER (ORDER BY CAST(dst AS VARCHAR)) AS pos, dst AS node, count(*) AS followers
+FROM follows GROUP BY dst""",
+    ),
     "edges_tsv_roundtrip": over(HOPS, "SELECT src, dst FROM hops"),
     "edges_space_roundtrip": over(FOLLOWS, "SELECT src, dst FROM follows"),
     "followers_csv_roundtrip": over(

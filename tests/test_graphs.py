@@ -27,10 +27,29 @@ def test_successive_rows_across_ranges(spark, rows):
     assert sorted(tuple(r) for r in got) == sorted(zip(users, users[1:]))
 
 
+@pytest.mark.parametrize("per_range", [7, 100])
+def test_ranges_follow_the_rows(spark, per_range):
+    data = [(i % 11, i, i * 7 % 13) for i in range(400)]
+    df = spark.createDataFrame(data, "ts BIGINT, event_id BIGINT, user_id BIGINT")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    try:
+        got = g.successive(df, ["ts", "event_id"], "user_id", per_range).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    users = [u for _, _, u in sorted(data)]
+    assert sorted(tuple(r) for r in got) == sorted(zip(users, users[1:]))
+
+
+def test_a_scan_does_not_shuffle(spark):
+    plan = g.follows(spark, SF_DIR)._jdf.queryExecution().toString()
+    assert "Exchange" not in plan
+    assert g.follows(spark, SF_DIR).count() == spark.read.parquet(f"{SF_DIR}/lineitem.parquet").count()
+
+
 @pytest.fixture(scope="module")
 def part_graph(spark):
     """Parts whose id does not end in 0 and their suppliers."""
-    edges = g.follows(spark, SF_DIR)
+    edges = el.distinct_edges(g.follows(spark, SF_DIR).where("src <> dst"))
     return edges.where("src % 10 <> 0").cache()
 
 
