@@ -35,8 +35,8 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the document of the least id of each component; rows without an id all stay.
 
-    Rows that repeat the kept id of a component are told apart by their text; of equal
-    rows one stays.
+    An id names one document: its rows stay or go together, so a row that repeats a kept
+    one stays too, and rows of one id with other texts go when one of them has to.
     """
     found = jaccard.near_duplicates(docs)
     others = found.where("doc_id <> component_id").select("doc_id").distinct()
