@@ -11,7 +11,9 @@ the join of every order's prefixes, and the results are intersected
 before anything is verified. The first shared token also bounds the overlap by what
 is left of either set behind it; so the smaller set's token has to be in a prefix of about
 half the length, and texts that differ by many rare tokens never meet, however many
-common ones they share. All orders put rare tokens first. How rare a
+common ones they share. Before their sets are sent, the pairs left are held against
+sketches: the number of a set's tokens in each of ``SKETCH`` classes. The sum of the lesser
+numbers is never below the overlap, so what it rules out is no link. All orders put rare tokens first. How rare a
 token is comes from a table of ``2**BUCKET_BITS`` counters over all documents, the
 only thing that is broadcast; it has that size whatever the corpus. Within a power of
 two of the count, each order is a random one of its own. Any such order is
@@ -53,6 +55,8 @@ HOT_BITS = 17
 BROADCAST_ROWS = 2**20
 SEEN = 2**20
 FLUSH_ROWS = 2**16
+# Classes of a sketch, one byte each; a full byte rules nothing out.
+SKETCH = 256
 
 IS_WORD = np.ones(256, bool)
 IS_WORD[[0x20, *range(0x09, 0x0E)]] = False
@@ -312,6 +316,12 @@ def _candidates(shared: DataFrame, labels: DataFrame, orders: int, percent: int)
     return _under_all(pairs, "a", "b", orders)
 
 
+def sketch(shingles: np.ndarray) -> bytes:
+    """How many tokens fall in each class, at most 255."""
+    counts = np.bincount((shingles % np.uint64(SKETCH)).astype(np.int64), minlength=SKETCH)
+    return np.minimum(counts, 255).astype(np.uint8).tobytes()
+
+
 def _sets(size: int):
     """Task: the wanted sets, once per task."""
 
@@ -325,9 +335,32 @@ def _sets(size: int):
                 if wanted not in seen and len(shingles) and digest(shingles) == wanted:
                     seen.add(wanted)
                     nodes.append(wanted)
-                    sets.append(shingles.view(np.int64))
-            arrays = [pa.array(nodes, pa.int64()), pa.array(sets, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(arrays, names=["node", "shingles"])
+                    sets.append(shingles)
+            arrays = [
+                pa.array(nodes, pa.int64()),
+                pa.array([len(t) for t in sets], pa.int64()),
+                pa.array([sketch(t) for t in sets], pa.binary()),
+                pa.array([t.view(np.int64) for t in sets], pa.list_(pa.int64())),
+            ]
+            yield pa.RecordBatch.from_arrays(arrays, names=["node", "n", "sketch", "shingles"])
+
+    return run
+
+
+def _possible(percent: int):
+    """Task: the pairs ``(a, b, total, left, right)`` whose sketches allow the similarity."""
+
+    def run(batches):
+        for batch in batches:
+            total = batch.column(2).to_numpy()
+            left, right = (
+                np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(-1, SKETCH)
+                for i in (3, 4)
+            )
+            lesser = np.minimum(left, right)
+            most = lesser.sum(axis=1, dtype=np.int64)
+            fit = (most * (100 + percent) >= total * percent) | (lesser == 255).any(axis=1)
+            yield batch.select([0, 1]).filter(pa.array(fit))
 
     return run
 
@@ -340,7 +373,8 @@ def _small(table: DataFrame) -> DataFrame:
 def _similar(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, size: int, percent: int) -> DataFrame:
     """The written pairs ``(a, b)`` of nodes that are links, from the texts of one document each.
 
-    The sets of ``a`` are sent to those of ``b``, which may have many partners.
+    The sets of ``a`` are sent to those of ``b``, which may have many partners; before
+    them their sketches, which most pairs that are no links do not get past.
     """
     named = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     wanted = keep(
@@ -351,19 +385,23 @@ def _similar(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, size: int, per
     )
     same = F.col("id").eqNullSafe(F.col("wanted_id")) & (F.col("text_hash") == F.col("wanted_hash"))
     texts = docs.join(_small(wanted), same).select("text", "node")
-    sets = keep(texts.mapInArrow(_sets(size), "node bigint, shingles array<bigint>"), "sets")
-    hubs = keep(pairs.select(F.col("b").alias("node")).distinct(), "hubs")
-    left = sets.join(_small(pairs), F.col("node") == F.col("a")).select(
-        "a", "b", F.col("shingles").alias("left")
-    )
-    right = sets.join(_small(hubs), "node", "left_semi").select(
-        F.col("node").alias("b"), F.col("shingles").alias("right")
-    )
-    shared = left.join(right.hint("merge"), "b").select(
-        "a",
-        "b",
-        F.size(F.array_intersect("left", "right")).alias("both"),
-        (F.size("left") + F.size("right")).alias("total"),
+    kind = "node bigint, n bigint, sketch binary, shingles array<bigint>"
+    sets = keep(texts.mapInArrow(_sets(size), kind), "sets")
+
+    def met(pairs: DataFrame, column: str) -> DataFrame:
+        hubs = keep(pairs.select(F.col("b").alias("node")).distinct(), "hubs")
+        left = sets.join(_small(pairs), F.col("node") == F.col("a")).select(
+            "a", "b", F.col("n").alias("left_n"), F.col(column).alias("left")
+        )
+        right = sets.join(_small(hubs), "node", "left_semi").select(
+            F.col("node").alias("b"), F.col("n").alias("right_n"), F.col(column).alias("right")
+        )
+        both = left.join(right.hint("merge"), "b")
+        return both.select("a", "b", F.expr("left_n + right_n").alias("total"), "left", "right")
+
+    fit = met(pairs, "sketch").mapInArrow(_possible(percent), "a bigint, b bigint")
+    shared = met(keep(fit, "possible"), "shingles").withColumn(
+        "both", F.size(F.array_intersect("left", "right"))
     )
     linked = shared.where(F.col("both") * 100 >= (F.col("total") - F.col("both")) * percent)
     return keep(linked.select("a", "b"), "verified")

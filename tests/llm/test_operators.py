@@ -195,6 +195,30 @@ def test_near_duplicates_of_an_empty_table(spark):
     assert jaccard.near_duplicates(table(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize("scale", [3, 300, 80_000])
+def test_sketches_rule_out_no_link(scale):
+    rng = np.random.default_rng(scale)
+    known = rng.integers(0, 2**63, 2 * scale, dtype=np.uint64)
+    sets = [np.unique(rng.choice(known, scale * 3 // 2)) for _ in range(12)]
+    sets += [np.unique(np.append(s[:-1], known[:1])) for s in sets] + sets[:2]
+    pairs = list(itertools.combinations(range(len(sets)), 2))
+    marks = [pa.scalar(jaccard.sketch(s), pa.binary()).as_py() for s in sets]
+    columns = [
+        pa.array([a for a, _ in pairs]),
+        pa.array([b for _, b in pairs]),
+        pa.array([len(sets[a]) + len(sets[b]) for a, b in pairs]),
+        pa.array([marks[a] for a, _ in pairs]),
+        pa.array([marks[b] for _, b in pairs]),
+    ]
+    batch = pa.RecordBatch.from_arrays(columns, names=["a", "b", "total", "left", "right"])
+    (kept,) = jaccard._possible(85)([batch])
+    kept = set(zip(*(c.to_pylist() for c in kept.columns)))
+    for a, b in pairs:
+        both = len(np.intersect1d(sets[a], sets[b]))
+        total = len(np.union1d(sets[a], sets[b]))
+        assert (a, b) in kept or 100 * both < 85 * total
+
+
 # ----------------------------------------------------------- decontamination
 
 BENCH = [
