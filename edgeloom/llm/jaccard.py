@@ -225,7 +225,7 @@ def _shared_tokens(prefixes: DataFrame, percent: int) -> DataFrame:
     sets; tokens without such a row are left out. In ``prefixes`` the commonness of a set's
     tokens stands above its size, so the greatest ``(size, node)`` is the leader.
     The counters bound the rows of all tokens below ``HOT_BITS``; those meet in one
-    task each. Others are summed up first and then joined, which adaptive
+    task each, in order of size, which leaves out rows without one of a fitting size. Others are summed up first and then joined, which adaptive
     execution can split.
     """
     size = F.col("size").bitwiseAND(2**40 - 1)
@@ -235,10 +235,18 @@ def _shared_tokens(prefixes: DataFrame, percent: int) -> DataFrame:
     sums = {"n": F.count(F.lit(1)), "best": best, "firsts": F.max("first")}
     power = F.shiftrightunsigned("token", 57)
     by_token = Window.partitionBy("token")
+    by_size = by_token.orderBy(size)
+    # A row without a neighbour in size that is close enough meets no other row.
+    near = (F.lag(size).over(by_size) * 100 >= size * percent) | (
+        F.lead(size).over(by_size) * percent <= F.when(F.col("first"), size * 100).otherwise(size * percent)
+    )
     few = (
         rows.where(power < HOT_BITS)
         .repartition("token")
         .dropDuplicates(["token", "node"])
+        .withColumn("near", near)
+        .where("near")
+        .drop("near")
         .withColumns({name: total.over(by_token) for name, total in sums.items()})
     )
     many = keep(rows.where(power >= HOT_BITS).distinct(), "hot_prefixes")
