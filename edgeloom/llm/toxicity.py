@@ -7,9 +7,12 @@ not see it, as later rows' will. The threshold of each category is the one with
 on its own out-of-fold probabilities.
 
 Words are runs of letters, digits and characters from U+0080 with A-Z in
-lower case, known by 64-bit hashes. A word counts once for each text, and
-only words count whose share among the positive training texts differs from
-that among the others by at least ``MIN_Z`` standard errors.
+lower case, known by 64-bit hashes. Besides the words, their beginnings of 3 to 6 characters
+count, which pool the evidence of rare forms. Each counts once for each text. A word or
+beginning is left to the regression if its share among the positive training texts
+differs from that among the others by at least ``MIN_Z`` standard errors, however few texts
+hold it; weight decay, a normal prior, keeps the weights of rare ones small. Of
+more than ``MOST_WORDS`` those of the largest difference are taken.
 
 The model is fitted on the driver to at most ``SAMPLE`` labelled rows, chosen by hash
 of the id; equal texts train once. Prediction reads all whole texts in
@@ -30,25 +33,40 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from edgeloom.llm.decontam import IS_WORD
-from edgeloom.llm.textblocks import row_blocks, runs, utf8, word_hashes
+from edgeloom.llm.textblocks import mix, row_blocks, runs, utf8, word_hashes
 
 SAMPLE = 8000
 FOLDS = 5
-MIN_Z = 6.0
-MIN_TEXTS = 10
-MOST_WORDS = 4096
-ROUNDS, RATE, DECAY = 150, 0.2, 0.02
+BEGINNINGS = (3, 4, 5, 6)
+MIN_Z = 3.0
+MOST_WORDS = 2**16
+ROUNDS, RATE, DECAY = 150, 0.2, 2.0
 COLUMN = "__toxicity"
 
 
-def distinct_words(column: pa.Array):
-    """For each row the distinct hashes of its words."""
+def _features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of words and beginnings of words of each row, with repeats, and their rows."""
+    starts, ends, rows = runs(IS_WORD[data], offsets)
+    characters = np.append(np.flatnonzero((data & 0xC0) != 0x80), len(data))
+    first = np.searchsorted(characters, starts)
+    stops = np.repeat(ends[:, None], 1 + len(BEGINNINGS), axis=1)
+    for i, size in enumerate(BEGINNINGS, 1):
+        stops[:, i] = np.minimum(ends, characters[np.minimum(first + size, len(characters) - 1)])
+    hashes = word_hashes(data, np.repeat(starts, stops.shape[1]), stops.ravel()).reshape(stops.shape)
+    # A beginning is not the word of the same letters; a short word has none of its own.
+    return np.where(stops < ends[:, None], mix(hashes), hashes).ravel(), np.repeat(rows, stops.shape[1])
+
+
+def distinct_words(column: pa.Array, marks: np.ndarray | None = None):
+    """For each row its distinct features; with ``marks`` only those whose first 16 bits are marked."""
     all_data, all_offsets = utf8(column)
     for first, last in row_blocks(all_offsets):
         offsets = all_offsets[first : last + 1]
         data, offsets = all_data[offsets[0] : offsets[-1]], offsets - offsets[0]
-        starts, ends, rows = runs(IS_WORD[data], offsets)
-        hashes = word_hashes(data, starts, ends)
+        hashes, rows = _features(data, offsets)
+        if marks is not None:
+            maybe = marks[hashes >> np.uint64(48)]
+            hashes, rows = hashes[maybe], rows[maybe]
         cuts = np.searchsorted(rows, np.arange(last - first + 1))
         for a, b in zip(cuts[:-1], cuts[1:], strict=True):
             yield np.unique(hashes[a:b])
@@ -82,31 +100,33 @@ class Linear:
         return _sigmoid(total + _logit(before) @ self.earlier)
 
 
-def _select(hashes: np.ndarray, rows: np.ndarray, truth: np.ndarray) -> np.ndarray:
-    """Words that tell positive from negative texts, sorted."""
-    words, which = np.unique(hashes, return_inverse=True)
-    inside = np.bincount(which, truth[rows], len(words))
-    total = np.bincount(which, minlength=len(words))
+def _select(codes: np.ndarray, rows: np.ndarray, truth: np.ndarray, size: int) -> np.ndarray:
+    """Numbers below ``size`` of the words that tell positive from negative texts, sorted."""
+    inside = np.bincount(codes, truth[rows], size)
+    total = np.bincount(codes, minlength=size)
     n, positive = len(truth), max(truth.sum(), 1)
-    share = total / n
+    share = total / max(n, 1)
     error = np.sqrt(share * (1 - share) * (1 / positive + 1 / max(n - positive, 1))) + 1e-12
     z = (inside / positive - (total - inside) / max(n - positive, 1)) / error
-    good = np.flatnonzero((np.abs(z) >= MIN_Z) & (total >= MIN_TEXTS))
+    good = np.flatnonzero(np.abs(z) >= MIN_Z)
     if len(good) > MOST_WORDS:
         good = good[np.argsort(-np.abs(z[good]), kind="stable")[:MOST_WORDS]]
-    return np.sort(words[good])
+    return np.sort(good)
+
 
+def fit_linear(
+    codes: np.ndarray, rows: np.ndarray, before: np.ndarray, truth: np.ndarray, known: np.ndarray
+) -> Linear:
+    """Logistic regression with weight decay, by Adam on all rows at once.
 
-def fit_linear(hashes: np.ndarray, rows: np.ndarray, before: np.ndarray, truth: np.ndarray) -> Linear:
-    """Logistic regression with weight decay, by Adam on all rows at once."""
-    words = _select(hashes, rows, truth)
+    ``codes`` are places in ``known``, the sorted hashes of all words.
+    """
+    words = _select(codes, rows, truth, len(known))
     n, k = len(truth), len(words)
-    if k:
-        at = np.minimum(np.searchsorted(words, hashes), k - 1)
-        true = words[at] == hashes
-        at, owner = at[true], rows[true]
-    else:
-        at = owner = np.empty(0, np.int64)
+    place = np.full(len(known), -1)
+    place[words] = np.arange(k)
+    at = place[codes]
+    at, owner = at[at >= 0], rows[at >= 0]
     links = _logit(before)
     values = np.zeros(k + links.shape[1] + 1)
     base = (truth.sum() + 0.5) / (n + 1)
@@ -119,10 +139,10 @@ def fit_linear(hashes: np.ndarray, rows: np.ndarray, before: np.ndarray, truth:
         slope = np.concatenate(
             [np.bincount(at, error[owner], k), links.T @ error, [error.sum()]]
         ) / scale
-        slope[:-1] -= DECAY * values[:-1]
+        slope[:-1] -= DECAY / scale[:-1] * values[:-1]
         first, second = 0.9 * first + 0.1 * slope, 0.99 * second + 0.01 * slope**2
         values += RATE * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.99**step)) + 1e-8)
-    return Linear(words, values[:k], values[k:-1], float(values[-1]))
+    return Linear(known[words], values[:k], values[k:-1], float(values[-1]))
 
 
 @dataclass
@@ -153,6 +173,7 @@ def fit(categories: list[str], words: list[np.ndarray], truth: np.ndarray, folds
     n = len(words)
     rows = np.repeat(np.arange(n), [len(w) for w in words])
     hashes = np.concatenate([*words, np.empty(0, np.uint64)])
+    known, codes = np.unique(hashes, return_inverse=True)
     fold = np.arange(n) % folds
     apart = np.zeros(truth.shape)
     links, thresholds = [], []
@@ -163,13 +184,13 @@ def fit(categories: list[str], words: list[np.ndarray], truth: np.ndarray, folds
             place = np.full(n, -1)
             place[seen] = np.arange(len(seen))
             use = place[rows] >= 0
-            model = fit_linear(hashes[use], place[rows[use]], apart[seen, :i], wanted[seen])
+            model = fit_linear(codes[use], place[rows[use]], apart[seen, :i], wanted[seen], known)
             out = np.flatnonzero(fold == f)
             place = np.full(n, -1)
             place[out] = np.arange(len(out))
             use = place[rows] >= 0
             apart[out, i] = model.scores(hashes[use], place[rows[use]], apart[out, :i])
-        links.append(fit_linear(hashes, rows, apart[:, :i], wanted))
+        links.append(fit_linear(codes, rows, apart[:, :i], wanted, known))
         thresholds.append(_best_threshold(apart[:, i], wanted) if n else 1.0)
     return Chain(categories, links, thresholds)
 
@@ -211,7 +232,7 @@ def training_rows(
         .toArrow()
     )
     truth = np.array([bags.column(c).to_pylist() for c in names], float).reshape(len(names), -1)
-    words = [np.array(w, np.int64).view(np.uint64) for w in bags.column("words").to_pylist()]
+    words = [w.values.to_numpy().view(np.uint64) for w in bags.column("words")]
     return words, truth.T
 
 
@@ -246,7 +267,7 @@ def score(docs: DataFrame, chain: Chain, text: str = "text") -> DataFrame:
         for batch in batches:
             column = batch.column(batch.schema.get_field_index(text))
             hashes, rows = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
-            for row, words in enumerate(_wanted_words(column, marks)):
+            for row, words in enumerate(distinct_words(column, marks)):
                 hashes.append(words)
                 rows.append(np.full(len(words), row))
             n = batch.num_rows
@@ -259,17 +280,3 @@ def score(docs: DataFrame, chain: Chain, text: str = "text") -> DataFrame:
 
     return docs.mapInArrow(run, schema)
 
-
-def _wanted_words(column: pa.Array, marks: np.ndarray):
-    """For each row the distinct hashes of the words that may be the model's."""
-    all_data, all_offsets = utf8(column)
-    for first, last in row_blocks(all_offsets):
-        offsets = all_offsets[first : last + 1]
-        data, offsets = all_data[offsets[0] : offsets[-1]], offsets - offsets[0]
-        starts, ends, rows = runs(IS_WORD[data], offsets)
-        hashes = word_hashes(data, starts, ends)
-        maybe = marks[hashes >> np.uint64(48)]
-        hashes, rows = hashes[maybe], rows[maybe]
-        cuts = np.searchsorted(rows, np.arange(last - first + 1))
-        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-            yield np.unique(hashes[a:b])

@@ -398,6 +398,29 @@ def test_chain_finds_planted_categories(spark):
     assert not toxicity.score(docs, none).first()["__toxicity"].rude
 
 
+def test_rare_forms_of_a_second_language_are_found(spark):
+    draw = random.Random(12)
+    parts = ["ka", "lo", "mi", "tu", "re", "sa", "no", "vé", "di", "po"]
+    word = {"a": lambda: f"w{draw.randrange(300)}", "b": lambda: "".join(draw.choices(parts, k=4))}
+    rows, labels, wanted = [], [], set()
+    for i in range(1600):
+        lang, rude = "b" if i % 8 < 2 else "a", i % 16 in (1, 2)
+        text = [word[lang]() for _ in range(draw.randint(20, 60))]
+        if rude:  # in b one of 1,000 forms, each in a handful of texts at most
+            text += ["scum"] if lang == "a" else [f"ébo{''.join(draw.choices(parts, k=3))}" for _ in range(3)]
+        rows.append((i, " ".join(text)))
+        if i < 1200:
+            labels.append((i, int(rude)))
+        elif rude:
+            wanted.add(i)
+    docs = table(spark, rows)
+    chain = toxicity.train(docs, spark.createDataFrame(labels, "doc_id BIGINT, rude INT"), ["rude"])
+    found = toxicity.score(docs.where("doc_id >= 1200"), chain).where(f"{toxicity.COLUMN}.rude")
+    got = {r.doc_id for r in found.collect()}
+    second = {i for i in wanted if i % 8 < 2}
+    assert len(got & second) >= 0.9 * len(second) and len(got & wanted) >= 0.9 * len(got)
+
+
 # ------------------------------------------------------------------- archives
 
 PAGES = "page_id BIGINT, url STRING, html STRING, digest STRING, name STRING"
