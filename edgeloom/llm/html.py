@@ -4,14 +4,15 @@ Each text node has the path of tags from the root to it. Over the nodes of one
 path, the text length and the number of punctuation marks are averaged. Both are smoothed
 along the page, so that a short node between long ones is not lost, and multiplied.
 Paths whose mean of that reaches a share of the page's length-weighted mean are
-content. Nodes of parts that say they are no article (menus, page headers, footers,
-sidebars, notices, adverts, forms, scripts, styles, comments; by tag, role, class or id)
-take no part and are never content.
+content; inside ``article`` or ``main`` a smaller share will do. Nodes of parts that say they
+are no article (menus, page headers, footers, sidebars, notices, adverts, forms, scripts, styles,
+comments; by tag, role, class or id) take no part and are never content.
 
-The content element is the ``article`` or ``main`` that holds content paths, all if there are
-several; without one, the deepest element around all nodes of content paths. All blocks
-of an article are kept, headings and one-word paragraphs too; elsewhere those on
-content paths and headings.
+The content of articles of one path, and that outside of any, are weighed by length (of articles
+the mean, twice): what has less than ``GROUP_SHARE`` of the greatest weight goes, such as teaser cards
+beside the body or a line beside the article. Kept are the blocks on content paths of the others, and
+the headings of articles that hold kept blocks, or outside of any those in the deepest element around
+all kept blocks.
 
 Character references are decoded, white space inside a block is one space, blocks are
 joined by a newline. Null and empty html give an empty text. Pages are worked on one by one,
@@ -32,6 +33,9 @@ from pyspark.sql import types as T
 
 SIGMA = 1.5
 SHARE = 0.1
+ARTICLE_SHARE = 0.03
+ARTICLE_WEIGHT = 2
+GROUP_SHARE = 0.25
 COLUMN = "__main_text"
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -76,7 +80,7 @@ class Element:
     path: tuple[str, ...]
     parents: tuple[int, ...]  # numbers of the open elements, this one last
     barred: bool
-    article: int | None  # number of the outermost article or main around
+    article: int | None  # number of the innermost article or main around
 
 
 @dataclass(slots=True)
@@ -113,7 +117,7 @@ class PageParser(HTMLParser):
         above = self.open[-1]
         self.count += 1
         article = above.article
-        if article is None and tag in ARTICLES:
+        if tag in ARTICLES:
             article = self.count
         barred = above.barred or tag in NO_ARTICLE or self._says_no_article(tag, attrs, article)
         parents = (*above.parents, self.count)
@@ -185,11 +189,32 @@ def content_paths(nodes: list[Node]) -> set[tuple[str, ...]]:
     mark = _smoothed([sums[p][2] / sums[p][0] for p in paths])
     fused = [t * (1 + m) for t, m in zip(text, mark, strict=True)]
     total = sum(lengths) or 1
-    threshold = SHARE * sum(f * n for f, n in zip(fused, lengths, strict=True)) / total
+    mean = sum(f * n for f, n in zip(fused, lengths, strict=True)) / total
     of_path: dict = defaultdict(list)
     for path, value in zip(paths, fused, strict=True):
         of_path[path].append(value)
-    return {p for p, values in of_path.items() if sum(values) / len(values) >= threshold}
+    return {
+        p
+        for p, values in of_path.items()
+        if sum(values) / len(values) >= mean * (SHARE if ARTICLES.isdisjoint(p) else ARTICLE_SHARE)
+    }
+
+
+def _group(element: Element) -> tuple[str, ...]:
+    """Path of the article around; empty outside of any."""
+    return element.path[: element.parents.index(element.article)] if element.article else ()
+
+
+def _main_nodes(nodes: list[Node]) -> list[Node]:
+    """Those of the groups of articles, or outside of any, that hold enough text."""
+    length, members = defaultdict(int), defaultdict(set)
+    for n in nodes:
+        group = _group(n.element)
+        length[group] += len(n.text.strip())
+        members[group].add(n.element.article)
+    weight = {g: x / len(members[g]) * (ARTICLE_WEIGHT if g else 1) for g, x in length.items()}
+    least = GROUP_SHARE * max(weight.values())
+    return [n for n in nodes if weight[_group(n.element)] >= least]
 
 
 def _blocks(nodes: list[Node]) -> list[str]:
@@ -213,17 +238,17 @@ def main_text(html: str | None) -> str:
     if not full:
         return ""
     paths = content_paths(full)
-    chosen = [n for n in full if n.element.path in paths]
-    articles = {n.element.article for n in chosen} - {None}
-    if articles:
-        return "\n".join(_blocks([n for n in nodes if n.element.article in articles]))
-    around = set(chosen[0].element.parents).intersection(*(n.element.parents for n in chosen))
-    top = max(around)
-    kept = {
-        n.block
-        for n in full
-        if top in n.element.parents and (n.element.path in paths or n.element.tag in HEADINGS)
-    }
+    chosen = _main_nodes([n for n in full if n.element.path in paths])
+    top = max(set(chosen[0].element.parents).intersection(*(n.element.parents for n in chosen)))
+    # Headings of an article around the kept ones belong to them.
+    around = {e for n in chosen for e in n.element.parents}
+    outside = any(n.element.article is None for n in chosen)
+    kept = {n.block for n in chosen}
+    for n in full:
+        article = n.element.article
+        within = article in around if article else outside and top in n.element.parents
+        if within and not HEADINGS.isdisjoint(n.element.path):
+            kept.add(n.block)
     return "\n".join(_blocks([n for n in nodes if n.block in kept]))
 
 

@@ -516,6 +516,28 @@ def test_main_text_of_generated_pages(spark):
 # ----------------------------------------------------------------- text blocks
 
 
+BODY = [" ".join(["Words of the body, long enough to be text."] * n) for n in (4, 5, 3)]
+PARAGRAPHS = "".join(f"<p>{p}</p>" for p in BODY)
+CARDS = "<article class=card><h3>Tease</h3><p>More, short.</p></article>" * 3
+
+
+@pytest.mark.parametrize(
+    ("page", "want"),
+    [
+        (f"<body><nav><a>m, n</a></nav><div><h1>T</h1>{PARAGRAPHS}</div>{CARDS}</body>", ["T", *BODY]),
+        (f"<body><main><h1>T</h1>{PARAGRAPHS}{CARDS}</main></body>", ["T", *BODY]),
+        (f"<body><main><h1>T</h1><article>{PARAGRAPHS}</article></main></body>", ["T", *BODY]),
+        (f"<body><div>{PARAGRAPHS}</div><article><p>{BODY[1]}</p></article></body>", [*BODY, BODY[1]]),
+        (f"<body><article>{PARAGRAPHS}</article><div>One line.</div></body>", BODY),
+        (f"<body><article>{PARAGRAPHS}<div>{'<span>x</span>' * 60}</div></article></body>", BODY),
+        (f"<body><div>{PARAGRAPHS}<p>Yes.</p></div><div>{'<a>a</a>' * 60}</div></body>", [*BODY, "Yes."]),
+        (f"<body>{f'<article><h2>P</h2><p>{BODY[0]}</p></article>' * 2}</body>", ["P", BODY[0]] * 2),
+    ],
+)
+def test_paths_pick_the_nodes_on_every_page(page, want):
+    assert html.main_text(page) == "\n".join(want)
+
+
 def test_runs_and_windows_stay_inside_rows():
     data, offsets = textblocks.utf8(pa.array(["ab c", None, "", "C ab", "abc"]))
     starts, ends, rows = textblocks.runs(jaccard.IS_WORD[data], offsets)
