@@ -17,8 +17,10 @@ All files are written by Spark's text writer, one archive per row and file, in g
 read as binary files, so they may lie in any store that Spark reads. Archives are
 closed at ``ARC_BYTES``; a longer document has one of its own.
 
-A document that a declared length cuts short is marked ``WARC-Truncated``. After a
-header line that does not fit, the rest of that file is a reject. A null html is an empty
+A document that a declared length cuts short is marked ``WARC-Truncated``. Header lines
+are read from the right end, so blanks may stand in the URL. After one that does not fit, the rest
+of that file is a reject. A file without a version block is one reject; after a version block that names
+no fields, the fields are those of the version its first line shows. A null html is an empty
 payload; a null url is written as ``-``, blanks in it are percent-encoded. Repeated rows
 are records of their own. Extra columns are not looked at.
 """
@@ -175,10 +177,13 @@ def read_arc(content: bytes) -> Iterator[Document]:
             continue
         end = content.find(b"\n", at)
         line = content[at : end if end >= 0 else len(content)].decode("utf-8", "replace").rstrip("\r")
-        values = line.split(" ")
         if version is None:  # the first line's own layout tells its version
-            names = ARC_FIELDS[2 if len(values) == 10 else 1].split()
-        if len(values) != len(names) or not values[-1].isdigit() or end < 0:
+            names = ARC_FIELDS[2 if len(line.split(" ")) == 10 else 1].split()
+            if not line.startswith("filedesc:"):
+                yield Document(begin, {}, content[begin:], error="no version block")
+                return
+        values = line.rsplit(" ", len(names) - 1)  # the URL comes first and may hold blanks
+        if len(values) != len(names) or not values[-1].isdecimal() or end < 0:
             yield Document(begin, {}, content[begin:], error="header line")
             return
         fields = dict(zip(names, values, strict=True))
@@ -188,10 +193,8 @@ def read_arc(content: bytes) -> Iterator[Document]:
         yield Document(begin, fields, block, cut=len(block) < length)
         if version is None:
             lines = block.decode("utf-8", "replace").split("\n")
-            if not fields["URL"].startswith("filedesc:") or len(lines) < 2:
-                return
             version = lines[0].split(" ")[0]
-            names = lines[1].split() or names
+            names = (lines[1].split() if len(lines) > 1 else []) or names
 
 
 # --------------------------------------------------------------- WARC files
@@ -223,10 +226,10 @@ def convert(document: Document, name: str, refers: dict | None = None) -> bytes:
     ]
     if url.startswith("filedesc:"):
         fields += [("WARC-Filename", url[len("filedesc://") :]), ("Content-Type", "application/warc-fields")]
-        lines = document.block.decode("utf-8", "replace").split("\n")
+        lines = [*document.block.decode("utf-8", "replace").split("\n"), ""]
         return _record("warcinfo", fields, f"format: ARC {lines[0]}\r\nfields: {lines[1]}\r\n".encode())
     block = document.block
-    fields.append(("WARC-Target-URI", url))
+    fields.append(("WARC-Target-URI", url.replace(" ", "%20")))
     if document.fields.get("IP-address", "0.0.0.0") not in ("0.0.0.0", "-"):
         fields.append(("WARC-IP-Address", document.fields["IP-address"]))
     fields.append(("WARC-Payload-Digest", "sha1:" + base32_sha1(document.payload)))

@@ -472,6 +472,19 @@ def test_both_versions_and_damaged_files():
     assert b"WARC-Type: resource" in arc.convert(dns, "f") and b"2001-01-01T00:00:00Z" in arc.convert(dns, "f")
 
 
+def test_files_without_version_block_and_urls_with_blanks():
+    body = b"HTTP/1.1 200 OK\r\n\r\nhello"
+    line = f"http://a/b c 1.2.3.4 19990102030405 text/html {len(body)}\n".encode()
+    (reject,) = arc.read_arc(line + body)
+    assert reject.error == "no version block" and reject.block == line + body
+    for block in (b"1 0 x", b"1 0 x\n"):
+        start = f"filedesc://f 0.0.0.0 20080101000000 text/plain {len(block)}\n".encode() + block
+        first, one, two = arc.read_arc(start + (b"\n" + line + body) * 2)
+        assert one.fields["URL"] == two.fields["URL"] == "http://a/b c" and not one.error
+        assert one.payload == two.payload == b"hello" and arc.convert(first, "f")
+        assert b"WARC-Target-URI: http://a/b%20c\r\n" in arc.convert(two, "f")
+
+
 # ----------------------------------------------------------------------- HTML
 
 
