@@ -33,14 +33,19 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document of the least id of each component; rows without an id all stay.
+    """Keep one row of each component: that of the least id, rows without one last, then by row.
 
-    An id names one document: its rows stay or go together, so a row that repeats a kept
-    one stays too, and rows of one id with other texts go when one of them has to.
+    Rows count on their own, whatever their ids: a row that repeats a kept one goes, and a row
+    with another text stays when one of the same id goes. Row numbers are written with the
+    documents, as every reading of them has to find the same.
     """
-    found = jaccard.near_duplicates(docs)
-    others = found.where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(others, "doc_id", "left_anti").select(*docs.columns)
+    docs = keep(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered")
+    found = jaccard.near_duplicates(docs, key="__row")
+    ids = docs.select("__row", "doc_id")
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "__row")
+    first = found.join(ids, "__row").groupBy("component_id").agg(F.min(order).alias("first"))
+    kept = first.select(F.col("first.__row").alias("__row"))
+    return docs.join(kept, "__row", "left_semi").drop("__row")
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -191,6 +191,20 @@ def test_other_ways_beyond_the_size_checks_find_the_same(spark, odd_rows, monkey
     assert sorted(map(str, map(tuple, got))) == sorted(map(str, components_by_hand(odd_rows, 4, 85)))
 
 
+def test_pipeline_keeps_one_row_of_each_component(spark):
+    import corpus_pipeline
+
+    near, other = " ".join(f"w{i}" for i in range(60)), " ".join(f"v{i}" for i in range(60))
+    rows = [(None, near), (4, near + " end"), (2, near), (2, near), (2, other), (None, "a b c d e f g h")]
+    rows += [(None, "a b c d e f g h"), (9, ""), (None, None)]
+    docs = table(spark, rows).repartition(3)
+    got = corpus_pipeline.drop_near_duplicates(spark, docs, "")
+    assert got.columns == docs.columns
+    wanted = [(2, near), (2, other), (None, "a b c d e f g h"), (9, ""), (None, None)]
+    assert sorted(((r.doc_id, r.text) for r in got.collect()), key=str) == sorted(wanted, key=str)
+    assert corpus_pipeline.drop_near_duplicates(spark, docs.limit(0), "").count() == 0
+
+
 def test_near_duplicates_of_an_empty_table(spark):
     assert jaccard.near_duplicates(table(spark, [])).count() == 0
 
