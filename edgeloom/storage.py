@@ -39,6 +39,14 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/edgeloom/{uuid.uuid4().hex}/{name}"
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a table that a job of this library wrote and needs no longer."""
+    if not path.startswith(f"{shared_folder(spark)}/edgeloom/"):
+        raise ValueError(f"{path} is not below the shared folder's edgeloom/")
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def keep(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and return the written table."""
     spark = df.sparkSession
