@@ -153,6 +153,47 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(hits.n, 0) AS BI
 FROM doc_words LEFT JOIN hits ON doc_words.r = hits.r LEFT JOIN items ON doc_words.r = items.r
 """
 
+
+def _clustering(dims: int, k: int, rounds: int) -> str:
+    """Lloyd's rounds, one after the other."""
+    parts = [
+        f"""kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id,
+         list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE len(embedding) = {dims}
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = {dims})""",
+        f"""c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY h, v) - 1 AS c, v
+  FROM (SELECT sha256('2:' || coalesce(CAST(vec_id AS VARCHAR), '')) AS h, v FROM kept)
+  ORDER BY h, v LIMIT {k})""",
+    ]
+    for now in range(rounds + 1):
+        parts.append(f"""a{now} AS MATERIALIZED (
+  SELECT r, vec_id, v, c, d FROM (
+    SELECT *, row_number() OVER (PARTITION BY r ORDER BY d, c) AS place FROM (
+      SELECT r, vec_id, kept.v, c, CAST(list_sum(list_transform(range(1, {dims + 1}),
+        lambda i: (kept.v[i] - c{now}.v[i]) * (kept.v[i] - c{now}.v[i]))) AS BIGINT) AS d
+      FROM kept, c{now}))
+  WHERE place = 1)""")
+        if now < rounds:
+            parts.append(f"""c{now + 1} AS MATERIALIZED (
+  SELECT old.c, coalesce(new.v, old.v) AS v FROM c{now} old LEFT JOIN (
+    SELECT c, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) AS v FROM (
+      SELECT c, i, sum(x) AS s, count(*) AS n FROM (
+        SELECT c, unnest(v) AS x, unnest(range({dims})) AS i FROM a{now})
+      GROUP BY c, i)
+    GROUP BY c) new ON old.c = new.c)""")
+    return "WITH " + ",\n".join(parts) + f"""
+SELECT vec_id, CAST(a.c AS INTEGER) AS cluster, d AS distance,
+       CAST(sum(d) OVER (PARTITION BY a.c) AS BIGINT) AS cluster_inertia,
+       CAST(sum(d) OVER () AS BIGINT) AS inertia,
+       sha256(array_to_string(f.v, ',')) AS centroid_sha256
+FROM a{rounds} a JOIN c{rounds} f ON a.c = f.c
+"""
+
+
+CLUSTERING = _clustering(64, 40, 5)
+
 # DuckDB has no SHA-1 and no base 32; both are left to the test against brute force.
 ORACLE = {
     "op1_sharding": SHARDING,
@@ -160,4 +201,5 @@ ORACLE = {
     "op8_exact_dedup": EXACT_DEDUP,
     "op9_ngram_jaccard_join": JACCARD,
     "op10_decontamination": DECONTAMINATION,
+    "op11_centroid_clustering": CLUSTERING,
 }

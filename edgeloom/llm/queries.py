@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from edgeloom.llm import (
     arc,
+    centroids,
     decontam,
     exact,
     html,
@@ -128,6 +129,12 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """40 centroids of 64 components, five rounds, as the contract says."""
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return centroids.cluster(vectors, dims=64, k=40, rounds=5, scale=256, salt="2:")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -141,5 +148,6 @@ QUERIES = {
         op8_exact_dedup,
         op9_ngram_jaccard_join,
         op10_decontamination,
+        op11_centroid_clustering,
     )
 }
