@@ -16,6 +16,7 @@ from edgeloom.llm import (
     lines,
     pieces,
     sharding,
+    simhash,
     toxicity,
 )
 
@@ -135,6 +136,13 @@ def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.cluster(vectors, dims=64, k=40, rounds=5, scale=256, salt="2:")
 
 
+def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four-word shingles and four bits, as the contract says."""
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"), size=4, most=4)
+    digits = F.lower(F.lpad(F.hex("fp"), 16, "0"))
+    return found.select("doc_id", digits.alias("fingerprint"), "component_id")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -149,5 +157,6 @@ QUERIES = {
         op9_ngram_jaccard_join,
         op10_decontamination,
         op11_centroid_clustering,
+        op12_simhash,
     )
 }

@@ -40,8 +40,11 @@ def test_query_equals_sql(spark, duck, name):
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLE)))
 def test_query_has_a_row_for_each_input_row(spark, duck, name):
     got = driver.queries()[name](spark, SF_DIR)
-    source, key = ("pages", "page_id") if "page_id" in got.columns else ("documents", "doc_id")
-    want = sorted(r[0] for r in duck.execute(f"SELECT {key} FROM {source}").fetchall())
+    sources = {"page_id": "pages", "conv_id": "conversations"}
+    key = next((k for k in sources if k in got.columns), "doc_id")
+    distinct = "DISTINCT" if key == "conv_id" else ""
+    source = sources.get(key, "documents")
+    want = sorted(r[0] for r in duck.execute(f"SELECT {distinct} {key} FROM {source}").fetchall())
     assert sorted(r[0] for r in got.select(key).collect()) == want
 
 
