@@ -194,6 +194,105 @@ FROM a{rounds} a JOIN c{rounds} f ON a.c = f.c
 
 CLUSTERING = _clustering(64, 40, 5)
 
+
+def _cheapest(state: int) -> str:
+    """The best edit of row ``i`` in a grammar state but insertion; ``s`` has the rest's best."""
+    role_after = {0: 2, 1: 2, 2: 3, 3: 2}[state]
+    initials = {0: {"s": 1, "u": 2}, 1: {"u": 2}, 2: {"a": 3}, 3: {"u": 2}}[state]
+    stays = "fault NOT IN (1, 2)"
+    edits = [f"[{{'c': 2 + s[{state + 1}].c, 'a': 'D' || s[{state + 1}].a}}]"]
+    for initial, after in initials.items():
+        edits.append(
+            f"CASE WHEN {stays} AND initial = '{initial}' THEN "
+            f"[{{'c': late + s[{after + 1}].c, 'a': 'K' || s[{after + 1}].a}}] ELSE [] END"
+        )
+    edits.append(
+        f"CASE WHEN {stays} THEN "
+        f"[{{'c': 1 + late + s[{role_after + 1}].c, 'a': 'R' || s[{role_after + 1}].a}}] ELSE [] END"
+    )
+    return f"list_sort({' || '.join(edits)})[1]"
+
+
+def _inserted(own: str, other: str) -> str:
+    return f"list_sort([{own}, {{'c': 5 + ({other}).c, 'a': 'I' || ({other}).a}}])[1]"
+
+
+CONVERSATIONS = """
+WITH RECURSIVE
+stated AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         list_transform(string_split(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':'
+           || coalesce(CAST(turn AS VARCHAR), ' '), ''), lambda c: CAST(ascii(c) AS BIGINT)) AS b
+  FROM conversations),
+lots AS (
+  SELECT *, xor(4294967295::BIGINT, list_reduce(list_prepend(4294967295::BIGINT, b),
+              lambda c, x: CRC_BYTE)) % 20 AS lot
+  FROM stated),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN lot = 4 THEN 'user' ELSE role END AS role,
+         CASE lot WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(CASE WHEN lot = 3 THEN [0, 1] ELSE [0] END) AS twin
+  FROM lots WHERE lot <> 0),
+numbered AS (
+  SELECT *, dense_rank() OVER (ORDER BY conv_id NULLS FIRST) AS g, left(role, 1) AS initial,
+         rtrim(text, BLANKS) AS bare,
+         row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST) AS nth
+  FROM damaged),
+signed AS MATERIALIZED (
+  SELECT g, conv_id, turn, role, initial, text,
+         row_number() OVER w AS i, lag(initial) OVER w AS before,
+         CASE WHEN bare = '' THEN 1 WHEN nth > 1 THEN 2 WHEN right(bare, 1) NOT IN ('.', '!', '?') THEN 3
+              ELSE 0 END AS fault
+  FROM numbered WINDOW w AS (PARTITION BY g ORDER BY turn NULLS FIRST, role, sha256(text), nth)),
+counts AS MATERIALIZED (
+  SELECT g, any_value(conv_id) AS conv_id, count(*) AS n,
+         coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+         count(*) FILTER (fault = 1) AS blank, count(*) FILTER (fault = 2) AS duplicate,
+         count(*) FILTER (fault = 3) AS truncated,
+         count(*) FILTER (before || initial NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM signed GROUP BY g),
+steps(g, i, s) AS (
+  SELECT g, n + 1, [{'c': 0, 'a': ''}, {'c': 10, 'a': 'II'}, {'c': 5, 'a': 'I'}, {'c': 0, 'a': ''}]
+  FROM counts
+  UNION ALL
+  SELECT g, i, [FROM0, FROM1, w2, w3]
+  FROM (SELECT *, W2_OR AS x2 FROM (
+    SELECT g, i, BEST0 AS w0, BEST1 AS w1, BEST2 AS b2, BEST3 AS b3, INS2 AS w2, INS3 AS w3
+    FROM (SELECT r.g, r.i, s, fault, initial, CASE WHEN fault = 3 THEN 5 ELSE 0 END AS late
+          FROM steps JOIN signed r ON r.g = steps.g AND r.i = steps.i - 1)))),
+solved AS MATERIALIZED (SELECT g, s[1].c AS cost, s[1].a AS audit FROM steps WHERE i = 1),
+edits AS (
+  SELECT g, pos, edit, sum(CAST(edit <> 'I' AS INT)) OVER w AS i, sum(CAST(edit <> 'D' AS INT)) OVER w AS p
+  FROM (SELECT g, unnest(string_split(audit, '')) AS edit, unnest(range(length(audit))) AS pos
+        FROM solved WHERE audit <> '')
+  WINDOW w AS (PARTITION BY g ORDER BY pos)),
+placed AS (
+  SELECT e.g, e.pos, e.p, e.edit, r.role, coalesce(r.text, '') AS text,
+         max(CAST(e.p = 1 AND e.edit = 'K' AND r.initial = 's' AS INT)) OVER (PARTITION BY e.g) AS head
+  FROM edits e LEFT JOIN signed r ON r.g = e.g AND r.i = e.i AND e.edit <> 'I'
+  WHERE e.edit <> 'D'),
+texts AS (
+  SELECT g, string_agg(CASE WHEN edit = 'K' THEN role WHEN (p - head) % 2 = 1 THEN 'user'
+                       ELSE 'assistant' END || ':' || text, chr(10) ORDER BY pos) AS t
+  FROM placed GROUP BY g)
+SELECT o.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank,
+       coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+       coalesce(illegal, 0) AS illegal, CAST(coalesce(cost, 0) AS BIGINT) AS cost,
+       coalesce(audit, '') AS audit, sha256(coalesce(t, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+LEFT JOIN counts ON o.conv_id IS NOT DISTINCT FROM counts.conv_id
+LEFT JOIN solved ON solved.g = counts.g LEFT JOIN texts ON texts.g = counts.g
+""".replace("CRC_BYTE", _crc_byte()).replace("BLANKS", BLANKS)
+for _old, _new in {
+    "FROM0": _inserted("w0", "x2"),
+    "FROM1": _inserted("w1", "x2"),
+    "W2_OR": "w2",
+    "INS2": _inserted("b2", "b3"),
+    "INS3": _inserted("b3", "b2"),
+    **{f"BEST{q}": _cheapest(q) for q in range(4)},
+}.items():
+    CONVERSATIONS = CONVERSATIONS.replace(_old, _new)
+
 # DuckDB has no SHA-1 and no base 32; both are left to the test against brute force.
 ORACLE = {
     "op1_sharding": SHARDING,
@@ -202,4 +301,5 @@ ORACLE = {
     "op9_ngram_jaccard_join": JACCARD,
     "op10_decontamination": DECONTAMINATION,
     "op11_centroid_clustering": CLUSTERING,
+    "op13_conversation_repair": CONVERSATIONS,
 }

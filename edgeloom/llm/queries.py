@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from edgeloom.llm import (
     arc,
     centroids,
+    conversations,
     decontam,
     exact,
     html,
@@ -19,6 +20,7 @@ from edgeloom.llm import (
     simhash,
     toxicity,
 )
+from edgeloom.storage import keep
 
 N_SHARDS = 16
 TOXIC_CATEGORIES = ["low_quality", "toxic", "toxic_low_quality"]
@@ -143,6 +145,24 @@ def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repairs of the damaged conversations; those of which no row is left have zeros."""
+    source = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    rows = conversations.damage(source)
+    found = keep(conversations.audits(rows), "audits")
+    hashes = conversations.digests(conversations.repairs(rows, found))
+    ids = source.select(F.col("conv_id").alias("id")).distinct()
+    known = ids.join(found, F.col("id").eqNullSafe(found.conv_id), "left").drop("conv_id")
+    both = known.join(hashes, F.col("id").eqNullSafe(hashes.conv_id), "left")
+    counts = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    return both.select(
+        F.col("id").alias("conv_id"),
+        *(F.coalesce(F.col(c), F.lit(0).cast("bigint")).alias(c) for c in counts),
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"),
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -158,5 +178,6 @@ QUERIES = {
         op10_decontamination,
         op11_centroid_clustering,
         op12_simhash,
+        op13_conversation_repair,
     )
 }
