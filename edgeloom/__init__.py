@@ -19,7 +19,7 @@ from edgeloom.operators.edges import (
     tag_inputs,
     weighted_edges,
 )
-from edgeloom.operators.pagerank import dangling_trace, pagerank, pagerank_rounds
+from edgeloom.operators.pagerank import dangling_trace, pagerank, pagerank_rounds, rank_rounds
 from edgeloom.operators.paths import path2_cardinality, path2_pairs
 from edgeloom.operators.triangles import closed_walks, triangle_count
 from edgeloom.sources.chains import chain_edges, chain_graph
@@ -52,6 +52,7 @@ __all__ = [
     "parse_rejects",
     "path2_cardinality",
     "path2_pairs",
+    "rank_rounds",
     "read_edge_lines",
     "read_edges",
     "read_tuples",

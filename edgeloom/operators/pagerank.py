@@ -5,17 +5,20 @@ without out-edges, one round is
 
     rank'(v) = (1 - damping) / N + damping * (sum over u -> v of rank(u) / d(u) + D / N)
 
-The edges are partitioned by source and sorted once, before the first round;
-a hub's edges are spread over several stripes. A round moves the node table
-(one row per node and stripe) to the edges and the partly summed
-contributions to their targets; the edges stay where they are.
+The edges are written once, before the first round, to a table bucketed by source; a hub's
+edges are spread over several stripes. A round moves the node table
+(one row per node and stripe) to the buckets, where a hash table of it is built, and the
+partly summed contributions to their targets; the edges stay where they are, unsorted, and a lost
+executor costs a re-read of its buckets.
+
+All tables of a run lie in one folder. Each round is marked when it is whole, so a job that is
+started again with the same folder goes on from the last whole round.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,96 +33,157 @@ from edgeloom.operators.skew import (
     stripes,
     task_count,
 )
-from edgeloom.storage import keep
+from edgeloom.storage import BucketedTable, RunFolder
 
+RANKS = "node BIGINT, rank DOUBLE, out_deg BIGINT"
+PLACED = "src BIGINT, stripe INT, dst BIGINT"
+EDGES, LINKS = "edges", "links"
 
-def pagerank_rounds(
+
+def _begin(run: RunFolder, edges: DataFrame, rows_per_stripe: int) -> dict:
+    """Write the bucketed edges and the start ranks, unless the run has them; facts about both."""
+    if known := run.facts(EDGES):
+        return known
+    spark = run.spark
+    links = run.write(LINKS, distinct_edges(edges))
+    nodes = run.write("nodes", degree_in_out(links).select("node", "out_deg"))
+    n, total = max(nodes.count(), 1), links.count()
+    run.write(run.round(0), nodes.select("node", F.lit(1.0 / n).alias("rank"), "out_deg"))
+    limit = hot_limit(total, rows_per_stripe)
+    hubs = nodes.where(F.col("out_deg") > limit).select(
+        F.col("node").alias("src"), stripes(F.col("out_deg"), limit).alias("n_stripes")
+    )
+    placed = links.join(F.broadcast(hubs), "src", "left").select(
+        "src", stripe_of(F.col("dst"), F.col("n_stripes")).alias("stripe"), "dst"
+    )
+    table = BucketedTable(run, EDGES, ["src", "stripe"], task_count(spark, total, 2**20, 2**24))
+    try:
+        table.write(placed, limit=limit, n=n)
+    finally:
+        table.close()
+    run.drop(LINKS)
+    run.drop("nodes")
+    return run.facts(EDGES)
+
+
+def _next(ranks: DataFrame, placed: DataFrame, limit: int, n: int, damping: float) -> DataFrame:
+    shares = ranks.where("out_deg > 0").select(
+        F.col("node").alias("src"),
+        (F.col("rank") / F.col("out_deg")).alias("share"),
+        all_stripes(stripes(F.col("out_deg"), limit)).alias("stripe"),
+    )
+    # One row for each node and stripe of a bucket, which holds at most 2**24 edges.
+    received = placed.join(shares.hint("shuffle_hash"), ["src", "stripe"]).select(
+        F.col("dst").alias("node"),
+        F.col("share").alias("c"),
+        F.lit(None).cast("bigint").alias("out_deg"),
+    )
+    # Each node's own row keeps it in the result and carries its degree.
+    own = ranks.select("node", F.lit(0.0).alias("c"), "out_deg")
+    dangling = ranks.where("out_deg = 0").agg(F.sum("rank")).scalar()
+    return (
+        received.unionByName(own)
+        .groupBy("node")
+        .agg(F.sum("c").alias("c"), F.max("out_deg").alias("out_deg"))
+        .select(
+            "node",
+            damped(F.col("c"), F.coalesce(dangling, F.lit(0.0)), n, damping).alias("rank"),
+            "out_deg",
+        )
+    )
+
+
+def rank_rounds(
     edges: DataFrame,
     iterations: int = 10,
     damping: float = 0.85,
     rows_per_stripe: int = ROWS_PER_STRIPE,
-) -> Iterator[DataFrame]:
-    """Tables ``(node, rank, out_deg)``: the start ranks, then one per round.
+    folder: str | None = None,
+    every_round: bool = True,
+) -> Iterator[tuple[int, DataFrame]]:
+    """``(i, table)`` with tables ``(node, rank, out_deg)``: the start ranks, then one per round.
 
-    Each table is written to the shared folder before the next round reads it.
+    Each table is written before the next round reads it. ``folder`` names the run's folder,
+    by default a new one in the shared folder. A run that is started again with its folder, and the
+    same edges, yields the rounds it has and goes on from the last. Without ``every_round``
+    only the last whole round is kept and yielded.
     """
     if iterations < 0:
         raise ValueError("iterations must not be negative")
-    spark = edges.sparkSession
-    links = keep(distinct_edges(edges), "links")
-    nodes = keep(degree_in_out(links).select("node", "out_deg"), "nodes")
-    n = max(nodes.count(), 1)
-    ranks = nodes.select("node", F.lit(1.0 / n).alias("rank"), "out_deg")
-    yield ranks
-    if iterations == 0:
-        return
+    run = RunFolder(edges.sparkSession, folder, "pagerank")
+    settings = run.facts("settings") or run.mark("settings", damping=damping)
+    if settings["damping"] != damping:
+        raise ValueError(f"{run.folder} was begun with damping {settings['damping']}")
+    facts = _begin(run, edges, rows_per_stripe)
 
-    total = links.count()
-    limit = hot_limit(total, rows_per_stripe)
-    hubs = nodes.where(F.col("out_deg") > limit).select(
-        F.col("node").alias("src"), stripes(F.col("out_deg"), limit).alias("n_stripes")
-    )
-    tasks = task_count(spark, total, 2**20, 2**24)
-    placed = (
-        links.join(F.broadcast(hubs), "src", "left")
-        .select("src", stripe_of(F.col("dst"), F.col("n_stripes")).alias("stripe"), "dst")
-        .repartition(tasks, "src", "stripe")
-        .sortWithinPartitions("src", "stripe")
-        .persist(StorageLevel.MEMORY_AND_DISK)
-    )
+    def table(i: int) -> DataFrame:
+        return run.spark.read.schema(RANKS).parquet(run.path(run.round(i)))
+
+    there = [i for i in run.rounds() if i <= iterations]
+    if not there:
+        raise ValueError(f"{run.folder} holds later rounds only")
+    for i in there if every_round else there[-1:]:
+        yield i, table(i)
+    last = there[-1]
+    if last == iterations:
+        return
+    bucketed = BucketedTable(run, EDGES, ["src", "stripe"], facts["buckets"])
+    placed = bucketed.read(PLACED)
     try:
-        for i in range(1, iterations + 1):
-            shares = ranks.where("out_deg > 0").select(
-                F.col("node").alias("src"),
-                (F.col("rank") / F.col("out_deg")).alias("share"),
-                all_stripes(stripes(F.col("out_deg"), limit)).alias("stripe"),
-            )
-            received = placed.join(shares, ["src", "stripe"]).select(
-                F.col("dst").alias("node"),
-                F.col("share").alias("c"),
-                F.lit(None).cast("bigint").alias("out_deg"),
-            )
-            # Each node's own row keeps it in the result and carries its degree.
-            own = ranks.select("node", F.lit(0.0).alias("c"), "out_deg")
-            dangling = ranks.where("out_deg = 0").agg(F.sum("rank")).scalar()
-            ranks = keep(
-                received.unionByName(own)
-                .groupBy("node")
-                .agg(F.sum("c").alias("c"), F.max("out_deg").alias("out_deg"))
-                .select(
-                    "node",
-                    damped(
-                        F.col("c"), F.coalesce(dangling, F.lit(0.0)), n, damping
-                    ).alias("rank"),
-                    "out_deg",
-                ),
-                f"ranks-{i}",
-            )
-            yield ranks
+        for i in range(last + 1, iterations + 1):
+            ranks = _next(table(i - 1), placed, facts["limit"], facts["n"], damping)
+            run.write(run.round(i), ranks)
+            if not every_round:
+                run.drop(run.round(i - 1))
+            yield i, table(i)
     finally:
-        placed.unpersist()
+        bucketed.close()
+    if not folder:
+        run.drop(EDGES)
+
+
+def pagerank_rounds(
+    edges: DataFrame,
+    iterations: int = 10,
+    damping: float = 0.85,
+    rows_per_stripe: int = ROWS_PER_STRIPE,
+    folder: str | None = None,
+) -> Iterator[DataFrame]:
+    """The tables of :func:`rank_rounds`, from the start ranks on."""
+    for _, ranks in rank_rounds(edges, iterations, damping, rows_per_stripe, folder):
+        yield ranks
 
 
 def pagerank(
-    edges: DataFrame, iterations: int = 10, damping: float = 0.85
+    edges: DataFrame, iterations: int = 10, damping: float = 0.85, folder: str | None = None
 ) -> DataFrame:
-    """``(node, rank)`` after the given number of rounds; ranks add up to 1."""
-    *_, last = pagerank_rounds(edges, iterations, damping)
+    """``(node, rank)`` after the given number of rounds; ranks add up to 1.
+
+    Of the run's tables only the last round stays, and the edges if a ``folder`` is named.
+    """
+    *_, (_, last) = rank_rounds(edges, iterations, damping, folder=folder, every_round=False)
     return last.select("node", "rank")
 
 
 def dangling_trace(
-    edges: DataFrame, iterations: int = 10, damping: float = 0.85
+    edges: DataFrame, iterations: int = 10, damping: float = 0.85, folder: str | None = None
 ) -> DataFrame:
-    """``(iteration, dangling)``: the rank each round took from dangling nodes."""
+    """``(iteration, dangling)``: the rank each round took from dangling nodes.
+
+    One scan of all rounds' tables.
+    """
     if iterations < 1:
         raise ValueError("a trace needs at least one iteration")
-    before = list(pagerank_rounds(edges, iterations - 1, damping))
-    trace = None
-    for i, ranks in enumerate(before, start=1):
-        held = ranks.where("out_deg = 0").agg(
-            F.lit(i).cast("bigint").alias("iteration"),
-            F.coalesce(F.sum("rank"), F.lit(0.0)).alias("dangling"),
-        )
-        trace = held if trace is None else trace.unionByName(held)
-    return trace
+    spark = edges.sparkSession
+    run = RunFolder(spark, folder, "pagerank")
+    for _ in rank_rounds(edges, iterations - 1, damping, folder=run.folder):
+        pass
+    held = (
+        run.all_rounds(RANKS)
+        .where(F.col("iteration") < iterations)
+        .groupBy((F.col("iteration") + 1).alias("iteration"))
+        .agg(F.sum(F.when(F.col("out_deg") == 0, F.col("rank"))).alias("dangling"))
+    )
+    # Without nodes no round has rows.
+    every = spark.range(1, iterations + 1).withColumnRenamed("id", "iteration")
+    return every.join(F.broadcast(held), "iteration", "left").na.fill(0.0, ["dangling"])

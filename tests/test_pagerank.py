@@ -1,7 +1,11 @@
+from pathlib import Path
+
 import brute
 import pytest
 
 import edgeloom as el
+from edgeloom import storage
+from edgeloom.operators import pagerank
 
 # Ranks of the 100 x 100 chain graph after 10 rounds.
 CHAIN_RANKS = {
@@ -74,19 +78,74 @@ def test_no_rounds_gives_the_start_ranks(edges_of):
 
 
 def test_edges_are_not_moved_within_a_round(edges_of, monkeypatch):
-    import edgeloom.operators.pagerank as module
-
     plans = {}
+    write = storage.RunFolder.write
 
-    def spy(df, name):
+    def spy(self, name, df, **facts):
         plans[name] = df._jdf.queryExecution().executedPlan().toString()
-        return keep(df, name)
+        return write(self, name, df, **facts)
 
-    keep = module.keep
-    monkeypatch.setattr(module, "keep", spy)
+    monkeypatch.setattr(storage.RunFolder, "write", spy)
     el.pagerank(edges_of(brute.hub_graph()), iterations=2)
-    above, below = plans["ranks-2"].split("InMemoryTableScan")
-    assert "BroadcastNestedLoopJoin" not in above and "Cartesian" not in above
-    assert "PythonUDF" not in above
-    tail = above[above.index("Join") :]
-    assert "Exchange hashpartitioning(src" not in tail
+    plan = plans["rounds/iteration=2"]
+    assert "BroadcastNestedLoopJoin" not in plan and "Cartesian" not in plan
+    assert "PythonUDF" not in plan
+    join = plan[plan.index("ShuffledHashJoin") :]
+    above, below = join.split("Bucketed: true")
+    assert "Exchange" not in above and "Sort" not in above
+    assert "Exchange hashpartitioning(src" in below
+
+
+def parts_of(folder):
+    return sorted(p.name for p in (Path(folder) / "rounds").iterdir())
+
+
+def test_a_run_goes_on_from_its_last_whole_round(edges_of, tmp_path, monkeypatch):
+    edges = brute.hub_graph() + [(0, 1000 + i) for i in range(40)]
+    want, held = brute.ranks(edges, 7)
+    folder = str(tmp_path / "run")
+    rounds = el.pagerank_rounds(edges_of(edges), 7, folder=folder)
+    for _ in range(5):  # start ranks and four rounds
+        next(rounds)
+    rounds.close()
+    # Round 5 was begun and not ended.
+    half = tmp_path / "run" / "rounds" / "iteration=5"
+    half.mkdir()
+    (half / "part-00000.parquet").write_bytes(b"half")
+
+    worked = []
+    step = pagerank._next
+    monkeypatch.setattr(pagerank, "_next", lambda *a: worked.append(1) or step(*a))
+    monkeypatch.setattr(pagerank, "distinct_edges", lambda _: pytest.fail("edges were read again"))
+    tables = dict(el.rank_rounds(edges_of(edges), 7, folder=folder))
+    assert sorted(tables) == list(range(8)) and len(worked) == 3
+    check(as_dict(tables[7]), want)
+    trace = el.dangling_trace(edges_of(edges), 7, folder=folder).collect()
+    assert [r.dangling for r in sorted(trace)] == pytest.approx(held, abs=1e-14)
+    with pytest.raises(ValueError, match="damping"):
+        next(el.pagerank_rounds(edges_of(edges), 7, damping=0.5, folder=folder))
+
+
+def test_only_the_last_round_stays(edges_of, tmp_path):
+    edges = brute.hub_graph()
+    folder = str(tmp_path / "run")
+    check(as_dict(el.pagerank(edges_of(edges), 3, folder=folder)), brute.ranks(edges, 3)[0])
+    assert parts_of(folder) == ["iteration=3"]
+    check(as_dict(el.pagerank(edges_of(edges), 5, folder=folder)), brute.ranks(edges, 5)[0])
+    assert parts_of(folder) == ["iteration=5"]
+    with pytest.raises(ValueError, match="later rounds"):
+        el.pagerank(edges_of(edges), 3, folder=folder)
+
+
+def test_no_tables_are_left_in_the_catalog(spark, edges_of):
+    el.pagerank(edges_of([(1, 2), (2, 1)]), 2)
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("edgeloom_")]
+
+
+def test_trace_is_one_scan(edges_of):
+    plan = el.dangling_trace(edges_of(brute.hub_graph()), 4)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1
+
+
+def test_trace_of_an_empty_graph(edges_of):
+    assert sorted(map(tuple, el.dangling_trace(edges_of([]), 3).collect())) == [(1, 0.0), (2, 0.0), (3, 0.0)]
