@@ -18,7 +18,8 @@ the very text. A null text has null ids and decodes to null, an empty one none.
 **Work.** No piece crosses a border before U+2581, nor a character that is in no piece.
 The lattice falls into units at these borders, which are independent. Each distinct unit
 of a block is filtered once, all units in step; then all occurrences are sampled in
-step. A very long unit takes steps in proportion to its length.
+step. The lattice is laid out by step, and a step has only as many lengths as characters
+before it. A very long unit takes steps in proportion to its length.
 Repeated rows of one key and text get equal ids; rows without a key are seeded like
 any other value. Extra columns are carried along.
 """
@@ -69,8 +70,11 @@ class Vocabulary:
         order = np.argsort(hashes)
         self.hashes, self.ids = hashes[order], ids[order]
         self.weights = (self.ids + 1.0) ** -self.temper
-        self.slots = np.zeros(2**_SLOT_BITS, bool)
-        self.slots[self.hashes >> np.uint64(64 - _SLOT_BITS)] = True
+        # The first piece of each slot of hashes; pieces of one slot are neighbours.
+        slots = (self.hashes >> np.uint64(64 - _SLOT_BITS)).astype(np.int64)
+        self.slots = np.full(2**_SLOT_BITS, -1, np.int32)
+        self.slots[slots[::-1]] = np.arange(len(slots), dtype=np.int32)[::-1]
+        self.crowd = int(np.bincount(slots).max(initial=1))
         self.known = np.zeros(0x110001, bool)
         self.known[list({ord(c) for t in texts for c in t})] = True
         self.byte_weight = (len(self.pieces) + 1.0) ** -self.temper
@@ -78,29 +82,39 @@ class Vocabulary:
         for value, i in enumerate(self.byte_ids):
             self.bytes[i] = bytes([value])
 
+    def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places in ``hashes`` that are pieces, and which."""
+        at = self.slots[hashes >> np.uint64(64 - _SLOT_BITS)]
+        places = np.flatnonzero(at >= 0)
+        at, wanted = at[places], hashes[places]
+        true = self.hashes[at] == wanted
+        for _ in range(1, self.crowd):
+            rest = np.flatnonzero(~true)
+            at[rest] = np.minimum(at[rest] + 1, len(self.hashes) - 1)
+            true[rest] = self.hashes[at[rest]] == wanted[rest]
+        return places[true], at[true]
+
 
 def _hash_one(text: str) -> int:
     codes = np.array([ord(c) for c in text], np.uint64)
     return int(_range_hashes(_sums(codes), np.array([0]), len(codes))[0])
 
 
-def _sums(codes: np.ndarray) -> np.ndarray:
-    """Running sums from which the hash of any range follows."""
-    powers = np.full(len(codes), _BASE, np.uint64)
-    powers[:1] = 1
+def _sums(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Running sums from which the hash of any range follows, and the inverse powers."""
+    powers, down = (np.full(len(codes) + 1, x, np.uint64) for x in (_BASE, _INVERSE))
+    powers[0] = down[0] = 1
     with np.errstate(over="ignore"):
-        powers = np.multiply.accumulate(powers)
+        powers, down = np.multiply.accumulate(powers), np.multiply.accumulate(down)
         values = mix((codes.astype(np.uint64) + np.uint64(1)) * _BASE)
-        return np.concatenate([np.zeros(1, np.uint64), np.cumsum(values * powers)])
+        return np.concatenate([np.zeros(1, np.uint64), np.cumsum(values * powers[:-1])]), down
 
 
-def _range_hashes(sums: np.ndarray, starts: np.ndarray, size) -> np.ndarray:
-    down = np.full(len(sums), _INVERSE, np.uint64)
-    down[0] = 1
+def _range_hashes(sums: tuple[np.ndarray, np.ndarray], starts: np.ndarray, size) -> np.ndarray:
+    up, down = sums
     with np.errstate(over="ignore"):
-        down = np.multiply.accumulate(down)
         size = np.asarray(size)
-        return mix((sums[starts + size] - sums[starts]) * down[starts] ^ size.astype(np.uint64))
+        return mix((up[starts + size] - up[starts]) * down[starts] ^ size.astype(np.uint64))
 
 
 def load(path: str = VOCABULARY, temper: float = TEMPER) -> Vocabulary:
@@ -124,58 +138,65 @@ def _utf8_size(codes: np.ndarray) -> np.ndarray:
     return 1 + (codes >= 0x80) + (codes >= 0x800) + (codes >= 0x10000)
 
 
-def _lattice(codes: np.ndarray, left: np.ndarray, vocabulary: Vocabulary):
-    """Weight and id of the piece of each length that ends at each character.
+@dataclass
+class Lattice:
+    """The pieces that end at each character of some units, longest unit first, by step.
 
-    ``left`` is the number of characters from each character to its unit's end. Id -2 means
-    the character's own bytes, -1 no piece.
+    Step ``t`` has one row for each unit of more than ``t`` characters, with a column for
+    each length that fits: at ``base[t] + unit * width[t]`` in ``weights`` and ``ids``. Id -2 means the character's own
+    bytes, -1 no piece.
     """
-    n, longest = len(codes), vocabulary.longest
-    weights = np.zeros((n, longest))
-    ids = np.full((n, longest), -1, np.int32)
+
+    base: np.ndarray
+    width: np.ndarray
+    active: np.ndarray
+    weights: np.ndarray
+    ids: np.ndarray
+    longest: int
+
+    def filter(self) -> None:
+        """Forward filtering in place: weights become running sums of each length's share.
+
+        Sums are scaled to 1 at each step, so long units do not underflow.
+        """
+        before = np.ones((int(self.active[0]) if len(self.active) else 0, 1))
+        for base, width, m in zip(self.base, self.width, self.active, strict=True):
+            rows = self.weights[base : base + m * width].reshape(m, width)
+            rows *= before[:m]
+            total = rows.sum(axis=1, keepdims=True)
+            rows /= total
+            np.cumsum(rows, axis=1, out=rows)
+            after = np.empty((m, width + 1))
+            after[:, 0] = 1.0
+            np.divide(before[:m], total, out=after[:, 1:])
+            before = after[:, : self.longest]
+
+
+def _lattice(codes: np.ndarray, sizes: np.ndarray, vocabulary: Vocabulary) -> Lattice:
+    """The lattice of units whose ``codes`` stand one after the other; ``sizes`` do not grow."""
+    longest = vocabulary.longest
+    steps = int(sizes[0]) if len(sizes) else 0
+    active = np.searchsorted(-sizes, -np.arange(steps), "left")
+    width = np.minimum(np.arange(1, steps + 1), longest)
+    cells = active * width
+    base = np.cumsum(cells) - cells
+    weights, ids = np.zeros(int(cells.sum())), np.full(int(cells.sum()), -1, np.int32)
+    # Characters by step and unit: their first cells, and their places in ``codes``.
+    offset = np.append(0, np.cumsum(active))
+    unit = np.arange(offset[-1]) - np.repeat(offset[:-1], active)
+    row = np.repeat(base, active) + unit * np.repeat(width, active)
+    end = (np.cumsum(sizes) - sizes)[unit] + np.repeat(np.arange(steps), active)
     sums = _sums(codes)
-    for size in range(1, longest + 1):
-        starts = np.flatnonzero(left >= size)
-        if not len(starts):
-            break
-        hashes = _range_hashes(sums, starts, size)
-        maybe = np.flatnonzero(vocabulary.slots[hashes >> np.uint64(64 - _SLOT_BITS)])
-        at = np.searchsorted(vocabulary.hashes, hashes[maybe])
-        at[at == len(vocabulary.hashes)] = 0
-        true = vocabulary.hashes[at] == hashes[maybe]
-        ends = starts[maybe[true]] + size - 1
-        weights[ends, size - 1] = vocabulary.weights[at[true]]
-        ids[ends, size - 1] = vocabulary.ids[at[true]]
-    bare = np.flatnonzero(ids[:, 0] == -1)
-    ids[bare, 0] = -2
-    weights[bare, 0] = vocabulary.byte_weight ** _utf8_size(codes[bare])
-    return weights, ids
-
-
-def _filtered(weights: np.ndarray, bases: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """Forward filtering of several units in step.
-
-    Returns for each character the running sums of the shares of the lengths of
-    the piece that ends there. Sums are scaled to 1 at each step, so long units do
-    not underflow.
-    """
-    longest = weights.shape[1]
-    shares = np.empty_like(weights)
-    order = np.argsort(-sizes, kind="stable")
-    bases, sizes = bases[order], sizes[order]
-    active = np.searchsorted(-sizes, -np.arange(int(sizes[0]) if len(sizes) else 0), "left")
-    before = np.zeros((len(bases), longest))
-    before[:, 0] = 1.0
-    for step, m in enumerate(active):
-        at = bases[:m] + step
-        parts = before[:m] * weights[at]
-        total = parts.sum(axis=1, keepdims=True)
-        shares[at] = np.cumsum(parts / total, axis=1)
-        after = np.empty((m, longest))
-        after[:, 0] = 1.0
-        after[:, 1:] = before[:m, :-1] / total
-        before = after
-    return shares
+    for size in range(1, min(longest, steps) + 1):
+        first = offset[size - 1]
+        found, which = vocabulary.find(_range_hashes(sums, end[first:] - (size - 1), size))
+        at = row[first:][found] + size - 1
+        weights[at] = vocabulary.weights[which]
+        ids[at] = vocabulary.ids[which]
+    bare = np.flatnonzero(ids[row] == -1)
+    ids[row[bare]] = -2
+    weights[row[bare]] = vocabulary.byte_weight ** _utf8_size(codes[end[bare]])
+    return Lattice(base, width, active, weights, ids, longest)
 
 
 def _units(codes: np.ndarray, offsets: np.ndarray, vocabulary: Vocabulary) -> np.ndarray:
@@ -208,27 +229,33 @@ def sample_ids(
     starts = _units(codes, offsets, vocabulary)
     sizes = np.diff(np.append(starts, len(codes)))
     kind, one = _distinct(codes, starts, sizes)
+    order = np.argsort(-sizes[one], kind="stable")
+    one, kind = one[order], np.argsort(order)[kind]
     kind_sizes = sizes[one]
-    bases = np.cumsum(kind_sizes) - kind_sizes
-    inside = np.arange(int(kind_sizes.sum())) - np.repeat(bases, kind_sizes)
-    kind_codes = codes[np.repeat(starts[one], kind_sizes) + inside]
-    left = np.repeat(kind_sizes, kind_sizes) - inside
-    weights, ids = _lattice(kind_codes, left, vocabulary)
-    shares = _filtered(weights, bases, kind_sizes)
+    inside = np.arange(int(kind_sizes.sum())) - np.repeat(np.cumsum(kind_sizes) - kind_sizes, kind_sizes)
+    lattice = _lattice(codes[np.repeat(starts[one], kind_sizes) + inside], kind_sizes, vocabulary)
+    lattice.filter()
 
     drawn = np.full(len(codes), -1, np.int32)
     row = np.searchsorted(offsets, starts, "right") - 1
+    first, seed = offsets[row], mix(seeds[row])
     unit, end = np.arange(len(starts)), sizes.copy()
     while len(unit):
-        at = bases[kind[unit]] + end - 1
         place = starts[unit] + end - 1
         with np.errstate(over="ignore"):
-            spot = (place - offsets[row[unit]]).astype(np.uint64)
-            bits = mix(mix(seeds[row[unit]]) + (spot + np.uint64(1)) * _BASE)
+            spot = (place - first[unit]).astype(np.uint64)
+            bits = mix(seed[unit] + (spot + np.uint64(1)) * _BASE)
         u = (bits >> np.uint64(11)) * 2.0**-53
+        width = lattice.width[end - 1]
+        at = lattice.base[end - 1] + kind[unit] * width
         # Scaled by the last sum, which rounding may leave off 1.
-        size = (shares[at] <= (u * shares[at, -1])[:, None]).sum(axis=1) + 1
-        drawn[place] = ids[at, size - 1]
+        goal = u * lattice.weights[at + width - 1]
+        size = np.ones(len(unit), np.int64)
+        longer = np.flatnonzero(lattice.weights[at] <= goal)
+        while len(longer):
+            size[longer] += 1
+            longer = longer[lattice.weights[at[longer] + size[longer] - 1] <= goal[longer]]
+        drawn[place] = lattice.ids[at + size - 1]
         end = end - size
         more = end > 0
         unit, end = unit[more], end[more]
