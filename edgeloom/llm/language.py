@@ -7,16 +7,17 @@ word itself (lexicon), its affixes of up to three letters, and its letter
 code-switched text splits into stretches. Forward-backward gives each word's
 distribution; a document's language has the highest mean probability over its words.
 
-**Training.** The model is fitted on the driver to a bounded sample:
-``PER_LANGUAGE`` documents of each language and ``SAMPLE`` in all, of each at most
-``RUNS`` stretches of ``RUN_WORDS`` words from hashed places anywhere in
-the text. Stretches of different languages are strung together, which is what the
-transitions are learned from. All weights are fitted together by the gradient of
-the chain's likelihood.
-
-**Prediction** reads every whole text in tasks, all documents of a block in
-step; it needs no shuffle. Letters are characters of category L; other
-characters separate words. Null texts and texts without letters are ``und`` with score
+**Training.** The model is fitted on the driver to a bounded sample of rows: of those
+with a letter and at most ``LONGEST`` characters, the ``PER_LANGUAGE`` of each language with the least hashes
+of their ids, and ``SAMPLE`` in all. Their texts train as a whole: each is cut into stretches of up to
+``RUN_WORDS`` words, and all stretches are strung together, often of different
+languages, which is what the transitions are learned from. All weights are fitted together by
+the gradient of the chain's likelihood.
+
+**Prediction** reads every whole text in tasks; it needs no shuffle. Each distinct word of a block is scored
+once. Chains are cut into segments of ``SEGMENT`` words: a segment's transfer matrix carries
+messages across it, so all segments of a block go on in step and a very long text takes no more
+steps than others. Letters are characters of category L; other characters separate words. Null texts and texts without letters are ``und`` with score
 0, and so is everything if no labelled row was given. Rows without a language do not
 train. Repeated rows get equal results; extra columns are carried along.
 """
@@ -36,13 +37,12 @@ from pyspark.sql import types as T
 from edgeloom.llm.textblocks import mix, row_blocks, runs, utf8
 
 UNKNOWN = "und"
-PER_LANGUAGE, SAMPLE = 300, 3000
-RUNS, RUN_WORDS = 4, 12
-SEQUENCE_RUNS = 4
+PER_LANGUAGE, SAMPLE, LONGEST = 100, 1000, 2**16
+RUN_WORDS, SEQUENCE_RUNS = 24, 4
+SEGMENT = 64
 FEATURE_BITS = 18
 ROUNDS, RATE, DECAY = 40, 0.15, 1e-4
-# Longer blocks than elsewhere, as the chains of a block go on in step.
-BLOCK_BYTES = 2**20
+BLOCK_BYTES = 2**19
 COLUMN = "__lang"
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -53,12 +53,15 @@ _tables: list[np.ndarray] = []
 def _letters() -> tuple[np.ndarray, np.ndarray]:
     """For each code point, whether it is a letter, and its lower case."""
     if not _tables:
-        chars = [chr(i) for i in range(0x110000)]
-        _tables.append(np.array([c.isalpha() for c in chars]))
-        lower = (c.lower() for c in chars)
-        _tables.append(
-            np.array([ord(x) if len(x) == 1 else i for i, x in enumerate(lower)], np.uint32)
-        )
+        letter, lower = np.zeros(0x110000, bool), np.arange(0x110000, dtype=np.uint32)
+        for i in range(0x110000):
+            char = chr(i)
+            if char.isalpha():
+                letter[i] = True
+                small = char.lower()
+                if len(small) == 1:
+                    lower[i] = ord(small)
+        _tables.extend((letter, lower))
     return _tables[0], _tables[1]
 
 
@@ -70,6 +73,30 @@ def code_points(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     return codes, begins[offsets]
 
 
+def word_kinds(codes: np.ndarray, offsets: np.ndarray):
+    """Starts, ends and rows of all words, the kind of each, and the letters of each kind.
+
+    Words whose lower case has equal 64-bit hashes are of one kind. The letters of all kinds stand
+    one after the other, with offsets.
+    """
+    is_letter, lower = _letters()
+    letters = is_letter[codes]
+    starts, ends, rows = runs(letters, offsets)
+    if not len(starts):
+        return starts, ends, rows, starts, codes[:0], np.zeros(1, np.int64)
+    sizes = ends - starts
+    first = np.cumsum(sizes) - sizes
+    small = lower[codes[letters]]
+    place = np.arange(len(small)) - np.repeat(first, sizes)
+    with np.errstate(over="ignore"):
+        spread = mix((small.astype(np.uint64) + np.uint64(1)) * _BASE + (place.astype(np.uint64) << np.uint64(32)))
+        hashes = mix(np.add.reduceat(spread, first))
+    _, one, kind = np.unique(hashes, return_index=True, return_inverse=True)
+    own = np.cumsum(sizes[one])
+    inside = np.arange(own[-1]) - np.repeat(own - sizes[one], sizes[one])
+    return starts, ends, rows, kind, small[np.repeat(first[one], sizes[one]) + inside], np.append(0, own)
+
+
 @dataclass
 class Words:
     """Words of a block: place, row, and the numbers of their features."""
@@ -179,6 +206,74 @@ def marginals(emissions: np.ndarray, counts: np.ndarray, start: np.ndarray, move
     return out, pairs, out[base].sum(axis=0)
 
 
+def posteriors(
+    emissions: np.ndarray, kind: np.ndarray, counts: np.ndarray, start: np.ndarray, moves: np.ndarray
+) -> np.ndarray:
+    """Each position's distribution, as ``marginals`` gives it, by segments of chains.
+
+    Position ``i`` has the log scores ``emissions[kind[i]]``. Inside a segment ``spread`` is the matrix that
+    carries a message over it; messages at segment borders go on chain by chain, then all
+    segments are worked through in step.
+    """
+    likely = np.exp((emissions - emissions.max(axis=1, keepdims=True)).astype(np.float64))[kind]
+    step, k = np.exp(moves), len(start)
+    per_chain = -(-counts // SEGMENT)
+    chain = np.repeat(np.arange(len(counts)), per_chain)
+    nth = np.arange(len(chain)) - np.repeat(np.cumsum(per_chain) - per_chain, per_chain)
+    base = (np.cumsum(counts) - counts)[chain] + nth * SEGMENT
+    size = np.minimum(counts[chain] - nth * SEGMENT, SEGMENT)
+
+    order = np.argsort(-size, kind="stable")
+    base, size, nth, chain = base[order], size[order], nth[order], chain[order]
+    steps = int(size[0]) if len(size) else 0
+    active = np.searchsorted(-size, -np.arange(steps), "left")
+    spread = np.repeat(np.eye(k)[None], len(base), axis=0)
+    for t in range(1, steps):
+        m = active[t]
+        moved = (spread[:m].reshape(-1, k) @ step).reshape(m, k, k) * likely[base[:m] + t][:, None, :]
+        spread[:m] = moved / moved.sum(axis=(1, 2), keepdims=True)
+
+    # Messages into the first position of each segment, and back into its last one.
+    place = np.lexsort((chain, nth))
+    bounds = np.searchsorted(nth[place], np.arange(int(nth.max(initial=-1)) + 2))
+    entry, back = np.empty((len(base), k)), np.ones((len(base), k))
+    at = np.full(len(counts), -1)
+    for n, (first, last) in enumerate(zip(bounds, bounds[1:], strict=False)):
+        now = place[first:last]
+        if n == 0:
+            entry[now] = np.exp(start)
+        else:
+            old = at[chain[now]]
+            left = np.einsum("ni,nij->nj", entry[old] * likely[base[old]], spread[old]) @ step
+            entry[now] = left / left.sum(axis=1, keepdims=True)
+        at[chain[now]] = now
+    after = np.full(len(counts), -1)
+    for first, last in reversed(list(zip(bounds, bounds[1:], strict=False))):
+        now = place[first:last]
+        known = after[chain[now]] >= 0
+        new = after[chain[now[known]]]
+        message = np.einsum("nij,nj->ni", spread[new], back[new])
+        right = (message * likely[base[new]]) @ step.T
+        back[now[known]] = right / right.sum(axis=1, keepdims=True)
+        after[chain[now]] = now
+
+    forward = np.empty_like(likely)
+    state = entry
+    for t in range(steps):
+        m = active[t]
+        state = (state[:m] if t == 0 else state[:m] @ step) * likely[base[:m] + t]
+        state /= state.sum(axis=1, keepdims=True)
+        forward[base[:m] + t] = state
+    for t in range(steps - 1, -1, -1):
+        m = active[t]
+        at = base[:m] + t
+        both = forward[at] * back[:m]
+        forward[at] = both / both.sum(axis=1, keepdims=True)
+        message = (likely[at] * back[:m]) @ step.T
+        back[:m] = message / message.sum(axis=1, keepdims=True)
+    return forward
+
+
 def held_out(key: Column) -> Column:
     """Rows that never train: a quarter by the checksum of the id, and rows without one."""
     return F.coalesce(F.crc32(F.encode(key.cast("string"), "UTF-8")) % 4 == 2, F.lit(True))
@@ -186,13 +281,14 @@ def held_out(key: Column) -> Column:
 
 def sample(
     docs: DataFrame, key: str, text: str, language: str, per_language: int, most: int
-) -> list[tuple[str, list[list[str]]]]:
-    """A bounded sample of labelled rows: language, and stretches of words.
+) -> list[tuple[str, list[str]]]:
+    """A bounded sample of labelled rows: language, and all words of the text.
 
-    Ranks are taken over ids and languages only; a task keeps ``per_language`` rows
-    of each language before the shuffle. Texts are read for the chosen ids.
+    A task keeps ``per_language`` ids of each language before the shuffle. Texts are read for the
+    chosen ids.
     """
-    ids = docs.where(~held_out(F.col(key)) & F.col(language).isNotNull()).select(
+    has_letter = F.col(text).rlike(r"\p{L}") & (F.length(text) <= LONGEST)
+    ids = docs.where(~held_out(F.col(key)) & F.col(language).isNotNull() & has_letter).select(
         F.col(key).alias("id"), F.col(language).alias("lang")
     )
     by_hash = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
@@ -204,43 +300,80 @@ def sample(
         .select("id", "lang")
         .distinct()
     )
-    words = F.regexp_extract_all(F.col(text), F.lit(r"\p{L}+"), 0)
-    places = F.transform(
-        F.sequence(F.lit(0), F.lit(RUNS - 1)),
-        lambda i: F.pmod(F.xxhash64("id", i), F.greatest(F.size("words") - RUN_WORDS + 1, F.lit(1))),
-    )
-    stretches = F.transform(places, lambda p: F.slice("words", p.cast("int") + 1, RUN_WORDS))
+    # At most ``most`` rows are broadcast; of rows with one id and language the least text counts.
     found = (
-        docs.select(F.col(key).alias("id"), F.col(language).alias("lang"), F.col(text).alias(text))
+        docs.where(has_letter)
+        .select(F.col(key).alias("id"), F.col(language).alias("lang"), F.col(text).alias("text"))
         .join(F.broadcast(chosen), ["id", "lang"])
-        .select("id", "lang", words.alias("words"))
-        .where(F.size("words") > 0)
-        .select("id", "lang", stretches.alias("runs"))
         .groupBy("id", "lang")
-        .agg(F.min("runs").alias("runs"))
+        .agg(F.min("text").alias("text"))
+        .select("id", "lang", F.regexp_extract_all("text", F.lit(r"\p{L}+"), 0).alias("words"))
     )
-    return [(r.lang, r.runs) for r in found.orderBy("lang", "id").collect()]
+    return [(r.lang, r.words) for r in found.orderBy("lang", "id").collect()]
 
 
-def _sequences(rows: list[tuple[str, list[list[str]]]], seed: int = 7):
-    """Stretches strung together, half of the time in another language."""
+def _sequences(rows: list[tuple[str, list[str]]], seed: int = 7):
+    """All stretches of all texts strung together, half of the time in another language."""
     draw = random.Random(seed)
     pool: dict[str, list[list[str]]] = {}
-    for language, stretches in rows:
-        pool.setdefault(language, []).extend(stretches)
+    for language, words in rows:
+        at = 0
+        while at < len(words):
+            size = draw.randint(1, RUN_WORDS)
+            pool.setdefault(language, []).append(words[at : at + size])
+            at += size
+    for stretches in pool.values():
+        draw.shuffle(stretches)
     languages = sorted(pool)
-    for language in languages:
-        for i in range(0, len(pool[language]), 2):
-            now, out = language, [(language, pool[language][i])]
-            for _ in range(SEQUENCE_RUNS - 1):
-                if draw.random() < 0.5:
-                    now = draw.choice(languages)
-                words = draw.choice(pool[now])
-                out.append((now, words[: draw.randint(1, len(words))]))
-            yield out
+    while languages:
+        now, out = draw.choice(languages), []
+        while languages and len(out) < SEQUENCE_RUNS:
+            if now not in languages or draw.random() < 0.5:
+                now = draw.choice(languages)
+            out.append((now, pool[now].pop()))
+            if not pool[now]:
+                languages.remove(now)
+        yield out
 
 
-def fit(rows: list[tuple[str, list[list[str]]]]) -> Model | None:
+@dataclass
+class Task:
+    """Sequences to fit: their words' kinds, true labels, and the features of each kind."""
+
+    texts: list[str]
+    labels: list[int]
+    n_labels: int
+
+    def __post_init__(self):
+        data, offsets = utf8(pa.array(self.texts))
+        _, _, rows, self.kind, letters, own = word_kinds(*code_points(data, offsets))
+        self.words = featurize(letters, own)
+        n, k = len(rows), self.n_labels
+        assert n == len(self.labels)
+        self.counts = np.bincount(rows, minlength=len(self.texts))
+        self.truth = np.eye(k)[self.labels]
+        near = rows[1:] == rows[:-1]
+        self.true_pairs = self.truth[:-1][near].T @ self.truth[1:][near]
+        self.true_firsts = self.truth[np.cumsum(self.counts) - self.counts].sum(axis=0)
+        features = np.concatenate([self.words.whole.ravel(), self.words.grams])
+        kinds = np.arange(len(self.words.starts))
+        self.owners = np.concatenate([np.repeat(kinds, 3), self.words.gram_words()])
+        self.used, self.numbers = np.unique(features, return_inverse=True)
+
+    def slopes(self, model: Model) -> list[np.ndarray]:
+        """Gradient of the sum of log-likelihoods by the used weights, starts and moves."""
+        scores = model.emissions(self.words)[self.kind]
+        found, pairs, begins = marginals(scores, self.counts, model.start, model.moves)
+        error, k = self.truth - found, self.n_labels
+        kinds = len(self.words.starts)
+        by_kind = np.stack([np.bincount(self.kind, error[:, c], kinds) for c in range(k)], axis=1)
+        by_use = [np.bincount(self.numbers, by_kind[self.owners, c], len(self.used)) for c in range(k)]
+        slope = np.stack(by_use, axis=1)
+        slope[self.used == 0] = 0
+        return [slope, self.true_firsts - begins, self.true_pairs - pairs]
+
+
+def fit(rows: list[tuple[str, list[str]]]) -> Model | None:
     """The chain's weights by Adam on the mean log-likelihood of all sequences."""
     languages = sorted({language for language, _ in rows})
     if not languages:
@@ -249,36 +382,22 @@ def fit(rows: list[tuple[str, list[list[str]]]]) -> Model | None:
     for sequence in _sequences(rows):
         texts.append(" ".join(w for _, words in sequence for w in words))
         labels += [languages.index(name) for name, words in sequence for _ in words]
-    data, offsets = utf8(pa.array(texts))
-    words = featurize(*code_points(data, offsets))
-    k, n = len(languages), len(words.starts)
-    assert n == len(labels)
-    counts = np.bincount(words.rows, minlength=len(texts))
-    truth = np.eye(k)[labels]
-    neighbours = words.rows[1:] == words.rows[:-1]
-    true_pairs = truth[:-1][neighbours].T @ truth[1:][neighbours]
-    firsts = np.cumsum(counts) - counts
-    features = np.concatenate([words.whole.ravel(), words.grams])
-    owners = np.concatenate([np.repeat(np.arange(n), 3), words.gram_words()])
-    used, numbers = np.unique(features, return_inverse=True)
+    task = Task(texts, labels, len(languages))
+    k, n = len(languages), len(labels)
     model = Model(languages, np.zeros((2**FEATURE_BITS, k), np.float32), np.zeros(k), np.zeros((k, k)))
     moments = [[0.0, 0.0] for _ in range(3)]
     for step in range(1, ROUNDS + 1):
-        found, pairs, begins = marginals(model.emissions(words), counts, model.start, model.moves)
-        error = truth - found
-        slope = np.stack(
-            [np.bincount(numbers, error[owners, c], len(used)) for c in range(k)], axis=1
-        )
+        found, begins, pairs = task.slopes(model)
         slopes = [
-            slope / n - DECAY * model.weights[used],
-            (truth[firsts].sum(axis=0) - begins) / len(counts) - DECAY * model.start,
-            (true_pairs - pairs) / n - DECAY * model.moves,
+            found / n - DECAY * model.weights[task.used],
+            begins / len(texts) - DECAY * model.start,
+            pairs / n - DECAY * model.moves,
         ]
         moved = []
         for m, g in zip(moments, slopes, strict=True):
             m[0], m[1] = 0.9 * m[0] + 0.1 * g, 0.99 * m[1] + 0.01 * g * g
             moved.append(RATE * (m[0] / (1 - 0.9**step)) / (np.sqrt(m[1] / (1 - 0.99**step)) + 1e-8))
-        model.weights[used] += moved[0]
+        model.weights[task.used] += moved[0]
         model.weights[0] = 0
         model.start, model.moves = model.start + moved[1], model.moves + moved[2]
     return model
@@ -316,22 +435,26 @@ def predict(column: pa.Array, model: Model | None, spans: bool) -> Iterator[dict
             continue
         offsets = all_offsets[first : last + 1]
         codes, offsets = code_points(all_data[offsets[0] : offsets[-1]], offsets - offsets[0])
-        words = featurize(codes, offsets)
-        counts = np.bincount(words.rows, minlength=last - first)
-        found, _, _ = marginals(model.emissions(words), counts, model.start, model.moves)
+        starts, lasts, rows, kind, letters, own = word_kinds(codes, offsets)
+        counts = np.bincount(rows, minlength=last - first)
+        scores = model.emissions(featurize(letters, own))
+        found = posteriors(scores, kind, counts, model.start, model.moves)
         ends = np.cumsum(counts)
+        means = np.zeros((last - first, len(model.languages)))
+        full = counts > 0
+        if full.any():
+            means[full] = np.add.reduceat(found, (ends - counts)[full]) / counts[full][:, None]
+        best, score = means.argmax(axis=1), np.minimum(1.0, means.max(axis=1, initial=0.0))
         for row in range(last - first):
             if not counts[row]:
                 yield nothing
                 continue
-            own = slice(ends[row] - counts[row], ends[row])
-            mean = found[own].mean(axis=0)
-            best = int(mean.argmax())
-            out = {"lang": model.languages[best], "score": min(1.0, float(mean[best])), "spans": None}
+            out = {"lang": model.languages[best[row]], "score": float(score[row]), "spans": None}
             if spans:
-                labels = found[own].argmax(axis=1)
-                starts, lasts = words.starts[own] - offsets[row], words.ends[own] - offsets[row]
-                out["spans"] = _spans(labels, starts, lasts, model.languages)
+                span = slice(ends[row] - counts[row], ends[row])
+                labels = found[span].argmax(axis=1)
+                places = starts[span] - offsets[row], lasts[span] - offsets[row]
+                out["spans"] = _spans(labels, *places, model.languages)
             yield out
 
 

@@ -304,9 +304,71 @@ def test_forward_backward_equals_enumeration():
     np.testing.assert_allclose(pairs, expected_pairs, rtol=1e-9)
 
 
+def test_segments_give_the_same_posteriors(monkeypatch):
+    draw = np.random.default_rng(5)
+    counts = np.array([0, 1, 700, 63, 64, 65, 0, 128, 129, 3])
+    scores, kind = 4 * draw.normal(size=(40, 4)), draw.integers(0, 40, counts.sum())
+    start, moves = draw.normal(size=4), 2 * draw.normal(size=(4, 4))
+    want, _, _ = language.marginals(scores[kind], counts, start, moves)
+    for segment in (1, 2, 7, 64, 1000):
+        monkeypatch.setattr(language, "SEGMENT", segment)
+        got = language.posteriors(scores, kind, counts, start, moves)
+        np.testing.assert_allclose(got, want, rtol=1e-7, atol=1e-12)
+    assert language.posteriors(scores, kind[:0], counts * 0, start, moves).shape == (0, 4)
+
+
+def test_gradient_equals_finite_differences():
+    texts, labels = ["ab cab dé ab", "cab x"], [0, 1, 1, 0, 1, 0]
+    task = language.Task(texts, labels, 2)
+    draw = np.random.default_rng(6)
+    k = 2
+
+    def model_at(theta):
+        weights = np.zeros((2**language.FEATURE_BITS, k))
+        weights[task.used] = theta[: len(task.used) * k].reshape(-1, k)
+        weights[0] = 0
+        rest = theta[len(task.used) * k :]
+        return language.Model(["a", "b"], weights, rest[:k], rest[k:].reshape(k, k))
+
+    def likelihood(theta):
+        model, total, at = model_at(theta), 0.0, 0
+        scores = model.emissions(task.words)[task.kind]
+        for n in task.counts:
+            own, truth = scores[at : at + n], labels[at : at + n]
+
+            def log(path):
+                moved = sum(model.moves[a, b] for a, b in zip(path, path[1:]))
+                return model.start[path[0]] + moved + sum(own[t, c] for t, c in enumerate(path))
+
+            total += log(truth) - np.log(sum(np.exp(log(p)) for p in itertools.product(range(k), repeat=int(n))))
+            at += n
+        return total
+
+    theta = 0.3 * draw.normal(size=len(task.used) * k + k + k * k)
+    slopes = task.slopes(model_at(theta))
+    got = np.concatenate([x.ravel() for x in slopes])
+    for i in draw.choice(len(theta), 40, replace=False).tolist() + list(range(len(theta) - 6, len(theta))):
+        step = np.zeros(len(theta))
+        step[i] = 1e-5
+        near = (likelihood(theta + step) - likelihood(theta - step)) / 2e-5
+        assert abs(near - got[i]) < 1e-6
+
+
+def test_sample_is_of_rows_and_leaves_texts_whole(spark):
+    draw = random.Random(8)
+    rows = [(i, None if i % 3 == 0 else "12 !" if i % 3 == 1 else f"Word{i} " * draw.randint(1, 90)) for i in range(300)]
+    docs = spark.createDataFrame([(i, t, "en" if i % 2 else "de") for i, t in rows], "doc_id BIGINT, text STRING, lang STRING")
+    found = language.sample(docs, "doc_id", "text", "lang", 10, 100)
+    assert [lang for lang, _ in found] == ["de"] * 10 + ["en"] * 10
+    whole = {tuple(re.findall(r"[^\W\d_]+", t or "")) for _, t in rows}
+    assert all(tuple(words) in whole for _, words in found)
+    trained = [w for sequence in language._sequences(found) for _, words in sequence for w in words]
+    assert sorted(trained) == sorted(w for _, words in found for w in words)
+
+
 def test_held_out_documents_and_code_switches(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
-    model = language.train(docs, per_language=60, most=240)
+    model = language.train(docs)
     found = language.label(docs.select("doc_id", "text"), model)
     rows = (
         found.join(docs.select("doc_id", "lang"), "doc_id")
