@@ -21,7 +21,7 @@ from edgeloom.operators.edges import (
 )
 from edgeloom.operators.pagerank import dangling_trace, pagerank, pagerank_rounds, rank_rounds
 from edgeloom.operators.paths import path2_cardinality, path2_pairs
-from edgeloom.operators.triangles import closed_walks, triangle_count
+from edgeloom.operators.triangles import closed_walks, triangle_count, triangle_work
 from edgeloom.sources.chains import chain_edges, chain_graph
 from edgeloom.sources.text import (
     parse_edges,
@@ -61,6 +61,7 @@ __all__ = [
     "split_by_rows",
     "tag_inputs",
     "triangle_count",
+    "triangle_work",
     "weighted_edges",
     "write_delimited",
     "write_tuples",

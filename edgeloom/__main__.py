@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import edgeloom as el
-from edgeloom.operators.triangles import MODES
+from edgeloom.operators.triangles import MODES, STRATEGIES
 
 
 def arguments() -> argparse.ArgumentParser:
@@ -46,7 +46,7 @@ def arguments() -> argparse.ArgumentParser:
     pairs.add_argument("--keep-returns", action="store_true")
     pairs.add_argument("--strategy", choices=["shuffle", "broadcast"], default="shuffle")
     triangles = job("triangles")
-    triangles.add_argument("--strategy", choices=["shuffle", "broadcast"], default="shuffle")
+    triangles.add_argument("--strategy", choices=STRATEGIES, default="shuffle")
     job("walks").add_argument("--mode", choices=MODES, default="all")
     for ranked in (job("pagerank", writes=True), job("chain", reads=False, writes=True)):
         ranked.add_argument("--iterations", type=int, default=10)

@@ -53,9 +53,14 @@ def adjacency_list(edges: DataFrame, max_len: int = MAX_LEN) -> DataFrame:
     number of its edges at the same position of ``copies``; ``n`` is their
     sum, the number of edges in the row.
     """
+    return weighted_sets(keep(weighted_edges(edges), "weighted"), max_len)
+
+
+def weighted_sets(weighted: DataFrame, max_len: int = MAX_LEN) -> DataFrame:
+    """The rows of :func:`adjacency_list` from a written table ``(src, dst, m)`` of distinct edges."""
     pairs = F.array_sort(F.collect_list(F.struct("dst", "m")))
     return (
-        _parted(keep(weighted_edges(edges), "weighted"), max_len)
+        _parted(weighted, max_len)
         .groupBy("src", "part")
         .agg(pairs.alias("pairs"), F.sum("m").alias("n"))
         .select(

@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 from edgeloom.operators.broadcasts import BROADCAST_ROWS, fits_broadcast, join_broadcast
 from edgeloom.operators.degrees import degree_in_out
 from edgeloom.operators.edges import max_filter, weighted_edges
+from edgeloom.operators.intersections import MAX_LEN, closed_sets
+from edgeloom.operators.partitions import EDGES_PER_TASK, class_count, cycle_counts
 from edgeloom.operators.skew import (
     PAIRS_PER_TASK,
     ROWS_PER_STRIPE,
@@ -28,6 +30,7 @@ from edgeloom.operators.skew import (
 from edgeloom.storage import keep
 
 EXACT = "decimal(38,0)"
+STRATEGIES = ("shuffle", "broadcast", "partition", "intersect")
 
 
 def _with_degree(
@@ -131,16 +134,26 @@ def triangle_count(
     strategy: str = "shuffle",
     max_broadcast_rows: int = BROADCAST_ROWS,
     pairs_per_task: int = PAIRS_PER_TASK,
+    edges_per_task: int = EDGES_PER_TASK,
 ) -> DataFrame:
     """One row ``triangles``: directed 3-cycles of the simple graph, each once.
 
     ``strategy="broadcast"`` ships the edges whole to every task if there are
-    at most ``max_broadcast_rows`` of them and shuffles otherwise.
+    at most ``max_broadcast_rows`` of them and shuffles otherwise. ``"partition"`` counts
+    the subgraphs of triples of node classes, each of at most ``edges_per_task`` edges, and
+    shuffles where that takes too many classes. ``"intersect"`` intersects neighbour sets.
     """
-    if strategy not in ("shuffle", "broadcast"):
+    if strategy not in STRATEGIES:
         raise ValueError(f"unknown strategy {strategy!r}")
     weighted = keep(weighted_edges(max_filter(edges, max_id)), "weighted")
     ordered = ordered_edges(weighted)
+    total = F.coalesce(F.sum("n"), F.lit(0).cast("bigint")).alias("triangles")
+    if strategy == "intersect":
+        return closed_sets(ordered).agg(total)
+    if strategy == "partition":
+        classes = class_count(ordered, edges_per_task)
+        if classes:
+            return cycle_counts(ordered, classes, edges_per_task).agg(total)
     small = strategy == "broadcast" and fits_broadcast(ordered, max_broadcast_rows)
     pairs = closed_pairs(
         ordered,
@@ -148,14 +161,30 @@ def triangle_count(
         broadcast_edges=small,
         pairs_per_task=pairs_per_task,
     )
-    total = F.coalesce(F.sum("n"), F.lit(0).cast("bigint"))
-    return pairs.agg(total.alias("triangles"))
+    return pairs.agg(total)
 
 
 def _wide(term: str) -> str:
     return f"CAST({term} AS {EXACT})"
 
 
+def triangle_work(edges: DataFrame, edges_per_task: int = EDGES_PER_TASK) -> DataFrame:
+    """One row ``(edges, wedges, classes, copies)``: rows that the ways to count would shuffle.
+
+    ``edges`` are those that can be on a cycle, ``wedges`` the pairs that "shuffle" forms, ``copies`` the edges
+    that "partition" sends for its ``classes`` (null if it takes too many).
+    """
+    spark = edges.sparkSession
+    ordered = ordered_edges(keep(weighted_edges(edges), "weighted"))
+    later = ordered.groupBy("low").agg(
+        (F.count_if(~F.col("out")) * F.count_if("out")).alias("w"), F.count(F.lit(1)).alias("e")
+    )
+    n, wedges_ = later.agg(F.coalesce(F.sum("e"), F.lit(0)), F.coalesce(F.sum("w"), F.lit(0))).first()
+    classes = class_count(ordered, edges_per_task)
+    row = (n, wedges_, classes, classes and classes * n)
+    return spark.createDataFrame([row], "edges BIGINT, wedges BIGINT, classes BIGINT, copies BIGINT")
+
+
 MODES = ("all", "semi", "set")
 
 
@@ -164,6 +193,8 @@ def closed_walks(
     mode: str = "all",
     max_id: int | None = None,
     pairs_per_task: int = PAIRS_PER_TASK,
+    strategy: str = "shuffle",
+    max_len: int = MAX_LEN,
 ) -> DataFrame:
     """One row ``hits``, DECIMAL(38,0): closed walks a -> b -> c -> a on a multigraph.
 
@@ -178,21 +209,27 @@ def closed_walks(
     Walks over three different nodes come from the 3-cycles, each cycle
     giving three starting points at once. The rest uses a self-loop: l copies
     of the loop at v, together with the pairs of edges v -> u, u -> v.
+    ``strategy="intersect"`` finds the cycles by neighbour sets of at most ``max_len``.
     """
     if mode not in MODES:
         raise ValueError(f"unknown mode {mode!r}")
+    if strategy not in ("shuffle", "intersect"):
+        raise ValueError(f"unknown strategy {strategy!r}")
     weighted = keep(weighted_edges(max_filter(edges, max_id)), "weighted")
     ordered = ordered_edges(weighted)
 
     # Three different nodes: x -> y, y -> z, z -> x with a, b, c copies.
-    pairs = closed_pairs(
-        ordered,
-        F.count(F.lit(1)).alias("n"),
-        F.sum("m_in").alias("a"),
-        F.sum("m_out").alias("b"),
-        F.sum(F.col("m_in") * F.col("m_out")).alias("ab"),
-        pairs_per_task=pairs_per_task,
-    )
+    if strategy == "intersect":
+        pairs = closed_sets(ordered, max_len)
+    else:
+        pairs = closed_pairs(
+            ordered,
+            F.count(F.lit(1)).alias("n"),
+            F.sum("m_in").alias("a"),
+            F.sum("m_out").alias("b"),
+            F.sum(F.col("m_in") * F.col("m_out")).alias("ab"),
+            pairs_per_task=pairs_per_task,
+        )
     # Decimal products: three copy counts multiplied can exceed BIGINT.
     by_cycle = {
         "all": f"3 * {_wide('ab')} * m_close",
@@ -204,8 +241,15 @@ def closed_walks(
     loops = weighted.where("src = dst").select(
         F.col("src").alias("v"), F.col("m").alias("l")
     )
+    touched = ordered
+    if fits_broadcast(loops):  # else most nodes may have one
+        looped_ids = loops.select("v")
+        touched = ordered.join(F.broadcast(looped_ids), F.col("low") == F.col("v"), "left_semi").unionByName(
+            ordered.join(F.broadcast(looped_ids), F.col("high") == F.col("v"), "left_semi")
+        ).distinct()
     mutual = (
-        ordered.groupBy("low", "high")
+        touched
+        .groupBy("low", "high")
         .agg(
             F.sum(F.when(F.col("out"), F.col("m"))).alias("f"),
             F.sum(F.when(~F.col("out"), F.col("m"))).alias("r"),

@@ -15,6 +15,7 @@ MAX_ID = 100
 CHAIN_LENGTH = 100
 SPLIT_LENGTH = 50
 SPLIT_ROWS = 1000
+EDGES_PER_TRIPLE = 20_000
 ROUNDS = 3
 
 
@@ -141,6 +142,27 @@ def triangle_count_broadcast(spark, sf_dir):
     return el.triangle_count(g.hops(spark, sf_dir), strategy="broadcast")
 
 
+def triangle_count_partition(spark, sf_dir):
+    """By triples of node classes; small subgraphs, so that there are several classes at any size."""
+    return el.triangle_count(
+        g.hops(spark, sf_dir), strategy="partition", edges_per_task=EDGES_PER_TRIPLE
+    )
+
+
+def triangle_count_intersect(spark, sf_dir):
+    return el.triangle_count(g.hops(spark, sf_dir), strategy="intersect")
+
+
+def closed_walks_set_intersect(spark, sf_dir):
+    """By neighbour sets in parts of ``SPLIT_LENGTH``."""
+    edges = g.hops(spark, sf_dir)
+    return _bigint(el.closed_walks(edges, "set", strategy="intersect", max_len=SPLIT_LENGTH))
+
+
+def closed_walks_semi_intersect(spark, sf_dir):
+    return _bigint(el.closed_walks(g.hops(spark, sf_dir), "semi", strategy="intersect"))
+
+
 def triangle_count_max(spark, sf_dir):
     return el.triangle_count(g.hops(spark, sf_dir), max_id=MAX_ID)
 
@@ -329,6 +351,10 @@ QUERIES = {
         triangle_count_hops,
         triangle_count_broadcast,
         triangle_count_max,
+        triangle_count_partition,
+        triangle_count_intersect,
+        closed_walks_set_intersect,
+        closed_walks_semi_intersect,
         adjacency_list,
         adjacency_set,
         adjacency_set_split,

@@ -152,6 +152,21 @@ parts AS (
   FROM ({edges}))"""
 
 
+CLOSED_SEMI = over(
+    HOPS,
+    """
+SELECT count(*) AS hits FROM hops a JOIN hops b ON a.dst = b.src
+WHERE a.src <> b.dst
+  AND EXISTS (SELECT 1 FROM hops c WHERE c.src = b.dst AND c.dst = a.src)""",
+)
+
+CLOSED_SET = over(
+    HOPS + ",\ne AS (SELECT DISTINCT src, dst FROM hops)",
+    """
+SELECT count(*) AS hits
+FROM hops a JOIN e b ON a.dst = b.src JOIN e c ON b.dst = c.src AND c.dst = a.src""",
+)
+
 ORACLE = {
     "edge_scan": over(FOLLOWS, "SELECT src, dst FROM follows"),
     "edge_scan_hops": over(HOPS, "SELECT src, dst FROM hops"),
@@ -211,22 +226,15 @@ GROUP BY node""",
 SELECT count(*) AS hits
 FROM hops a JOIN hops b ON a.dst = b.src JOIN hops c ON b.dst = c.src AND c.dst = a.src""",
     ),
-    "closed_walks_semi_hops": over(
-        HOPS,
-        """
-SELECT count(*) AS hits FROM hops a JOIN hops b ON a.dst = b.src
-WHERE a.src <> b.dst
-  AND EXISTS (SELECT 1 FROM hops c WHERE c.src = b.dst AND c.dst = a.src)""",
-    ),
-    "closed_walks_set_hops": over(
-        HOPS + ",\ne AS (SELECT DISTINCT src, dst FROM hops)",
-        """
-SELECT count(*) AS hits
-FROM hops a JOIN e b ON a.dst = b.src JOIN e c ON b.dst = c.src AND c.dst = a.src""",
-    ),
+    "closed_walks_semi_hops": CLOSED_SEMI,
+    "closed_walks_semi_intersect": CLOSED_SEMI,
+    "closed_walks_set_hops": CLOSED_SET,
+    "closed_walks_set_intersect": CLOSED_SET,
     "triangle_count": triangles(FOLLOWS, "follows"),
     "triangle_count_hops": triangles(HOPS, "hops"),
     "triangle_count_broadcast": triangles(HOPS, "hops"),
+    "triangle_count_partition": triangles(HOPS, "hops"),
+    "triangle_count_intersect": triangles(HOPS, "hops"),
     "triangle_count_max": triangles(HOPS, "hops", "AND src <= 100 AND dst <= 100"),
     "adjacency_list": over(
         HOPS + _parts("SELECT src, dst, count(*) AS m FROM hops GROUP BY src, dst", 1_000_000),

@@ -1,7 +1,9 @@
 import brute
+import numpy as np
 import pytest
 
 import edgeloom as el
+from edgeloom.operators import intersections, partitions
 from edgeloom.operators.triangles import ordered_edges
 from edgeloom.storage import keep
 
@@ -80,6 +82,70 @@ def test_strategies_agree(edges_of):
         triangles(df, strategy="other")
 
 
+@pytest.mark.parametrize("edges_per_task", [1, 120, 10**6])
+def test_partition_counts_each_cycle_once(edges_of, edges_per_task):
+    for edges in (brute.multigraph(3, nodes=25, edges=200), brute.hub_graph(80, 40), []):
+        found = triangles(edges_of(edges), strategy="partition", edges_per_task=edges_per_task)
+        assert found == brute.triangles(edges)
+
+
+def test_triples_are_small_and_hold_each_edge_once_for_each_class(edges_of):
+    ordered = ordered_edges(kept(edges_of(brute.multigraph(4, nodes=60, edges=900))))
+    p = partitions.class_count(ordered, 300)
+    assert p > 2
+    rows = partitions.triple_edges(ordered, p)
+    sizes = [r["count"] for r in rows.groupBy("triple").count().collect()]
+    assert max(sizes) <= 300 and sum(sizes) == p * ordered.count()
+    assert rows.distinct().count() == rows.count()
+    assert partitions.class_count(ordered, 1) is None
+
+
+def test_wedges_in_chunks(monkeypatch, edges_of):
+    monkeypatch.setattr(partitions, "CHUNK", 7)
+    edges = brute.multigraph(9, nodes=20, edges=200)
+    rows = ordered_edges(kept(edges_of(edges))).collect()
+    columns = [np.array([r[c] for r in rows]) for c in ("low", "high", "out")]
+    nothing = np.zeros(len(rows), int)
+    assert partitions.cycles_between(*columns, nothing, nothing, (0, 0, 0)) == brute.triangles(edges)
+
+
+@pytest.mark.parametrize("max_len,mode", [(1, "all"), (3, "set")])
+def test_intersections_of_neighbour_sets(edges_of, max_len, mode):
+    edges = brute.multigraph(max_len, nodes=9, edges=90)
+    df = edges_of(edges)
+    assert triangles(df, strategy="intersect") == brute.triangles(edges)
+    assert hits(df, mode, strategy="intersect", max_len=max_len) == brute.walks(edges, mode)
+    with pytest.raises(ValueError):
+        hits(df, "set", strategy="partition")
+
+
+def test_hub_sets_are_bounded_and_dealt_over_stripes(edges_of):
+    edges = brute.hub_graph()
+    ordered = ordered_edges(kept(edges_of(edges)))
+    for out in (True, False):
+        sets = intersections.later_sets(ordered, out, "node", 4).collect()
+        assert max(len(r.node_ids) for r in sets) <= 4
+        whole = {}
+        for r in sorted(sets, key=lambda r: (r.node, r.part)):
+            whole.setdefault(r.node, []).extend(r.node_ids)
+        later = ordered.where("out" if out else "NOT out").collect()
+        assert whole == {v: sorted(r.high for r in later if r.low == v) for v in {r.low for r in later}}
+    found = intersections.closed_sets(ordered, max_len=4, rows_per_stripe=3)
+    assert sum(r.n for r in found.collect()) == brute.triangles(edges)
+
+
+def test_work_of_each_way(edges_of):
+    edges = brute.multigraph(4, nodes=60, edges=900)
+    ordered = ordered_edges(kept(edges_of(edges)))
+    row = el.triangle_work(edges_of(edges), edges_per_task=300).first()
+    assert row.edges == ordered.count() and row.copies == row.classes * row.edges
+    later = {}
+    for r in ordered.collect():
+        later.setdefault(r.low, []).append(r.out)
+    assert row.wedges == sum(sum(x) * (len(x) - sum(x)) for x in later.values())
+    assert el.triangle_work(edges_of(edges), edges_per_task=1).first().copies is None
+
+
 def test_max_id_filters_both_ends(edges_of):
     edges = brute.multigraph(5, nodes=12, edges=90)
     kept = [(a, b) for a, b in edges if a <= 8 and b <= 8]
