@@ -618,7 +618,7 @@ CARDS = "<article class=card><h3>Tease</h3><p>More, short.</p></article>" * 3
         (f"<body><main><h1>T</h1><article>{PARAGRAPHS}</article></main></body>", ["T", *BODY]),
         (f"<body><div>{PARAGRAPHS}</div><article><p>{BODY[1]}</p></article></body>", [*BODY, BODY[1]]),
         (f"<body><article>{PARAGRAPHS}</article><div>One line.</div></body>", BODY),
-        (f"<body><article>{PARAGRAPHS}<div>{'<span>x</span>' * 60}</div></article></body>", BODY),
+        (f"<body><article>{PARAGRAPHS}<div>{'<span>x</span>' * 60}</div></article></body>", [*BODY, "x" * 60]),
         (f"<body><div>{PARAGRAPHS}<p>Yes.</p></div><div>{'<a>a</a>' * 60}</div></body>", [*BODY, "Yes."]),
         (f"<body>{f'<article><h2>P</h2><p>{BODY[0]}</p></article>' * 2}</body>", ["P", BODY[0]] * 2),
     ],
@@ -627,6 +627,101 @@ def test_paths_pick_the_nodes_on_every_page(page, want):
     assert html.main_text(page) == "\n".join(want)
 
 
+ITEMS = [f"item {i}" for i in range(40)]
+CELLS = [f"c{i}" for i in range(30)]
+LIST = "<ul>" + "".join(f"<li>{x}</li>" for x in ITEMS) + "</ul>"
+TABLE = "<table><caption>Cap</caption>" + "".join(f"<tr><td>{x}</td></tr>" for x in CELLS) + "</table>"
+MORE = "<blockquote>Quote</blockquote><figure><img><figcaption>Fig</figcaption></figure><pre>a  b\nc</pre>"
+KINDS = ["Quote", "Fig", "a b c"]
+
+
+@pytest.mark.parametrize("around", ["article", "main", "div", "section"])
+def test_no_block_of_the_article_is_lost(around):
+    page = f"<body><nav><a>m</a></nav><{around}>{PARAGRAPHS}{LIST}{TABLE}{MORE}</{around}><footer>f</footer></body>"
+    assert html.main_text(page) == "\n".join([*BODY, *ITEMS, "Cap", *CELLS, *KINDS])
+
+
+@pytest.mark.parametrize(
+    ("page", "want"),
+    [
+        (f"<article><div id='market-share'>{PARAGRAPHS}</div><p class=grid-search>g</p></article>", [*BODY, "g"]),
+        (f"<article>{PARAGRAPHS}<div class='share'>{PARAGRAPHS}</div><div class=share>Tell all</div></article>", BODY * 2),
+        (f"<article>{PARAGRAPHS}<div class='comment-list'>{PARAGRAPHS}</div></article>", BODY),
+        (f"<article>{PARAGRAPHS}<div class='site-nav x'>a, b</div><div class='ads'>{BODY[0]}</div></article>", BODY),
+        (f"<body><form action=x><div>{PARAGRAPHS}<label>Your name</label><input></div></form></body>", BODY),
+        (f"<article>{PARAGRAPHS}<form><p>Your name</p><button>Go</button></form></article>", BODY),
+        (f"<article>{PARAGRAPHS}<ul>{'<li><a href=x>Other page</a></li>' * 9}</ul></article>", BODY),
+        (f"<article>{PARAGRAPHS}<p><a href=x>One link.</a></p></article>", [*BODY, "One link."]),
+        (f"<div><p>{BODY[0]}</p>{LIST}</div>", [BODY[0], *ITEMS]),
+        (f"<article>{PARAGRAPHS}<![foo[ bar ]]><p>x</p><![ foo ]><![CDATA[c]]></article>", [*BODY, "x"]),
+        (f"<!DOCTYPE html [<!ENTITY a 'b'> ]><article>{PARAGRAPHS}</article><![", BODY),
+        (f"<?xml version='1'?><article>{PARAGRAPHS}<!-- open <p>gone</p></article>", BODY),
+        (f"<!DOCTYPE x><!><!-><!--><article>{PARAGRAPHS}<!---><!-- a --!>b<?pi</article>", [*BODY, "b"]),
+        (f"<article>{PARAGRAPHS}<script>var x = '<p>no</p>'", BODY),
+        ("<p", ""),
+        ("a &#xD800; &#0; &bogus; &amp b", "a \ufffd \ufffd &bogus; & b"),
+    ],
+)
+def test_odd_markup_names_and_forms(page, want):
+    assert html.main_text(page) == ("\n".join(want) if isinstance(want, list) else want)
+
+
+def test_deep_pages_take_memory_in_proportion():
+    import time
+    import tracemalloc
+
+    def peak(n, tag):
+        tracemalloc.start()
+        began = time.process_time()
+        text = html.main_text(f"<{tag}>t " * n + "</q>" * n)
+        used = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert text.split() == ["t"] * (0 if tag == "form" else n)  # forms without prose
+        return used, time.process_time() - began
+
+    for tag in ("font", "form", "article"):
+        small, large = peak(5_000, tag), peak(50_000, tag)
+        assert large[0] < 14 * small[0] and large[1] < 40 * small[1] + 1, tag
+        assert large[0] < 100e6
+    assert html.main_text("<font>t " * 100_000).split() == ["t"] * 100_000
+
+
+def paths_by_hand(nodes):
+    """The published ratios, node by node."""
+    rows = [(n.element.path, len(n.text.strip()), sum(not (c.isalnum() or c == "_" or c.isspace()) for c in n.text), bool(n.element.article)) for n in nodes]
+
+    def mean(path, i):
+        own = [r[i] for r in rows if r[0] == path]
+        return sum(own) / len(own)
+
+    def smooth(i, k):
+        near = [(j, np.exp(-((i - j) ** 2) / (2 * html.SIGMA**2))) for j in range(i - 3, i + 4) if 0 <= j < len(rows)]
+        return sum(mean(rows[j][0], k) * w for j, w in near) / sum(w for _, w in near)
+
+    score = [smooth(i, 1) * (1 + smooth(i, 2)) for i in range(len(rows))]
+    level = sum(s * r[1] for s, r in zip(score, rows)) / sum(r[1] for r in rows)
+    out = set()
+    for path in {r[0] for r in rows}:
+        own = [s for s, r in zip(score, rows) if r[0] == path]
+        inside = any(r[3] for r in rows if r[0] == path)
+        if sum(own) / len(own) >= level * (html.ARTICLE_SHARE if inside else html.SHARE):
+            out.add(path)
+    return out
+
+
+def test_path_scores_equal_brute_force():
+    draw = random.Random(4)
+    for _ in range(20):
+        tags = draw.choices(["p", "li", "td", "b", "h2", "article", "div", "a"], k=40)
+        page = "".join(f"<{t}>{draw.choice(['', 'x', *BODY])}" + (f"</{t}>" if draw.random() < 0.8 else "") for t in tags)
+        parser = html.PageParser()
+        parser.feed(page)
+        parser.close()
+        full = [n for n in parser.counted() if n.text.strip()]
+        if full:
+            assert html.content_paths(full) == paths_by_hand(full)
+
+
 def test_runs_and_windows_stay_inside_rows():
     data, offsets = textblocks.utf8(pa.array(["ab c", None, "", "C ab", "abc"]))
     starts, ends, rows = textblocks.runs(jaccard.IS_WORD[data], offsets)
