@@ -10,16 +10,19 @@ digests of payload and block. The version block becomes ``warcinfo``.
 Records of equal payloads (at least ``min_bytes`` long) become one ``response``, that of the
 smallest page id (records without one last, then by file and offset), and
 ``revisit`` records, which keep the HTTP header and leave out the payload. Payloads
-are compared by SHA-1 and length. Only those are shuffled; the archives
-themselves only meet the list of their own revisits.
+are compared by SHA-1 and length. Only those are shuffled, those of a very common payload over stripes; the archives
+themselves only meet the list of their own revisits, and a payload is left out only where its digest is that of the list.
 
 All files are written by Spark's text writer, one archive per row and file, in gzip form, and
-read as binary files, so they may lie in any store that Spark reads. Archives are
+read as binary files, so they may lie in any store that Spark reads. Every file below the source is
+read, whatever its name (but those that begin with ``_`` or ``.``), plain or of any number of gzip
+members, and is known by its whole path. Archives are
 closed at ``ARC_BYTES``; a longer document has one of its own.
 
-A document that a declared length cuts short is marked ``WARC-Truncated``. Header lines
+Every document is converted or is a reject. One that a declared length cuts short is marked ``WARC-Truncated``. Header lines
 are read from the right end, so blanks may stand in the URL. After one that does not fit, the rest
-of that file is a reject. A file without a version block is one reject; after a version block that names
+of that file is a reject, and so is what follows a damaged gzip member. A document without a valid date is a reject
+of its own. A file without a version block is one reject; after a version block that names
 no fields, the fields are those of the version its first line shows. A null html is an empty
 payload; a null url is written as ``-``, blanks in it are percent-encoded. Repeated rows
 are records of their own. Extra columns are not looked at.
@@ -28,18 +31,20 @@ are records of their own. Extra columns are not looked at.
 from __future__ import annotations
 
 import base64
-import gzip
 import hashlib
 import re
 import uuid
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from datetime import datetime
 from urllib.parse import quote
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from edgeloom.operators.skew import hot_limit, hot_rows, split_join
 from edgeloom.storage import keep, new_path
 
 ARC_BYTES = 2**23
@@ -126,8 +131,7 @@ def write_arc(
 
 def _files(spark: SparkSession, path: str) -> DataFrame:
     """``(path, content)`` of the archives; none if nothing was written."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
-    return files.select("path", "content")
+    return spark.read.format("binaryFile").load(path).select("path", "content")
 
 
 @dataclass
@@ -162,13 +166,38 @@ def _page_id(header: bytes) -> int | None:
     return int(found[1]) if found else None
 
 
-def _unpacked(content: bytes) -> bytes:
-    return gzip.decompress(content) if content[:2] == b"\x1f\x8b" else content
+GZIP = b"\x1f\x8b"
+CHUNK = 2**13
+
+
+def _unpacked(content: bytes) -> tuple[bytes, bool]:
+    """The bytes of all gzip members, or the content itself; false if a member is damaged."""
+    if content[:2] != GZIP:
+        return content, True
+    view, at, out = memoryview(content), 0, []
+    while content[at : at + 2] == GZIP:
+        member = zlib.decompressobj(31)
+        try:
+            while not member.eof and at < len(view):
+                out.append(member.decompress(view[at : at + CHUNK]))
+                at += CHUNK
+        except zlib.error:
+            return b"".join(out), False
+        at = min(at, len(view)) - len(member.unused_data)
+        if not member.eof:
+            return b"".join(out), False
+    return b"".join(out), not content[at:].strip(b"\0\r\n")
 
 
 def read_arc(content: bytes) -> Iterator[Document]:
-    """The documents of one ARC file, the version block first."""
-    content = _unpacked(content)
+    """The documents of one ARC file, the version block first; what cannot be read as errors."""
+    content, whole = _unpacked(content)
+    yield from _documents(content)
+    if not whole:
+        yield Document(len(content), {}, b"", error="gzip member")
+
+
+def _documents(content: bytes) -> Iterator[Document]:
     names, at, version = ARC_FIELDS[1].split(), 0, None
     while at < len(content):
         begin = at
@@ -190,21 +219,32 @@ def read_arc(content: bytes) -> Iterator[Document]:
         length = int(values[-1])
         block = content[end + 1 : end + 1 + length]
         at = end + 1 + length
+        if version is not None and not iso_date(fields["Archive-date"]):
+            yield Document(begin, fields, block, error="date")
+            continue
         yield Document(begin, fields, block, cut=len(block) < length)
         if version is None:
             lines = block.decode("utf-8", "replace").split("\n")
             version = lines[0].split(" ")[0]
-            names = (lines[1].split() if len(lines) > 1 else []) or names
+            named = lines[1].split() if len(lines) > 1 else []
+            if {"URL", "Archive-date", "Archive-length"} <= set(named) and named[-1] == "Archive-length":
+                names = named
 
 
 # --------------------------------------------------------------- WARC files
 
 
-def iso_date(date: str) -> str:
-    """An ARC date of 8 to 14 digits in ISO form."""
-    digits = (re.sub(r"\D", "", date) + "0101000000"[max(0, len(date) - 4) :])[:14]
-    y, mo, d, h, mi, s = (digits[a:b] for a, b in ((0, 4), (4, 6), (6, 8), (8, 10), (10, 12), (12, 14)))
-    return f"{y}-{mo}-{d}T{h}:{mi}:{s}Z"
+def iso_date(date: str) -> str | None:
+    """An ARC date of 4 to 14 digits in ISO form; None if there is no such date."""
+    digits = re.sub(r"\D", "", date)[:14]
+    digits = digits[: len(digits) // 2 * 2]
+    if len(digits) < 4:
+        return None
+    try:
+        moment = datetime.strptime(digits + "0101000000"[len(digits) - 4 :], "%Y%m%d%H%M%S")
+    except ValueError:
+        return None
+    return moment.strftime(f"{moment.year:04d}-%m-%dT%H:%M:%SZ")
 
 
 def record_id(name: str, offset: int) -> str:
@@ -222,7 +262,8 @@ def convert(document: Document, name: str, refers: dict | None = None) -> bytes:
     url = document.fields["URL"]
     fields = [
         ("WARC-Record-ID", record_id(name, document.offset)),
-        ("WARC-Date", iso_date(document.fields["Archive-date"])),
+        # Only a version block may come without a valid date.
+        ("WARC-Date", iso_date(document.fields["Archive-date"]) or "1970-01-01T00:00:00Z"),
     ]
     if url.startswith("filedesc:"):
         fields += [("WARC-Filename", url[len("filedesc://") :]), ("Content-Type", "application/warc-fields")]
@@ -247,7 +288,8 @@ def convert(document: Document, name: str, refers: dict | None = None) -> bytes:
     if document.cut:
         fields.append(("WARC-Truncated", "length"))
     fields.append(("WARC-Block-Digest", "sha1:" + base32_sha1(block)))
-    fields.append(("Content-Type", HTTP if http else document.fields["Content-type"]))
+    kind_of = document.fields.get("Content-type", "application/octet-stream")
+    fields.append(("Content-Type", HTTP if http else kind_of))
     return _record(kind, fields, block)
 
 
@@ -256,10 +298,9 @@ def _index(batches):
     names = ["name", "offset", "digest", "length", "page_id", "error"]
     for batch in batches:
         for path, content in zip(batch.column(0), batch.column(1), strict=True):
-            name = path.as_py().rpartition("/")[2]
             rows = [
                 (
-                    name,
+                    path.as_py(),
                     d.offset,
                     None if d.error else hashlib.sha1(d.payload).digest(),
                     len(d.payload),
@@ -282,13 +323,14 @@ def _convert(batches):
     """Task: each ARC file as one WARC file."""
     for batch in batches:
         for path, content, revisits in zip(*batch.columns, strict=True):
-            name = path.as_py().rpartition("/")[2]
-            first = {r["offset"]: r["first"] for r in revisits.as_py() or []}
-            records = [
-                convert(d, name, first.get(d.offset))
-                for d in read_arc(content.as_buffer().to_pybytes())
-                if not d.error
-            ]
+            listed = {r["offset"]: r for r in revisits.as_py() or []}
+            records = []
+            for d in read_arc(content.as_buffer().to_pybytes()):
+                known = listed.get(d.offset)
+                if known and hashlib.sha1(d.payload).digest() != known["digest"]:
+                    raise ValueError(f"{path} has changed at {d.offset}")
+                if not d.error:
+                    records.append(convert(d, path.as_py(), known and known["first"]))
             yield pa.RecordBatch.from_arrays([pa.array([b"".join(records)], pa.binary())], names=["value"])
 
 
@@ -302,41 +344,58 @@ def arc_to_warc(spark: SparkSession, source: str, path: str, min_bytes: int = 0)
     order = F.struct(F.col("page_id").isNull().alias("no_id"), "page_id", "name", "offset")
     long = index.where(F.col("error").isNull() & (F.col("length") >= min_bytes))
     repeated = keep(
-        long.groupBy("digest", "length")
+        long.groupBy("digest")
         .agg(F.count(F.lit(1)).alias("n"), F.min(order).alias("first"))
-        .where("n > 1")
-        .select("digest", "length", "first"),
+        .where("n > 1"),
         "arc_repeated",
     )
+    counts = repeated.select("digest", F.col("n").alias("n_left"), F.lit(1).alias("n_right"))
+    hot = hot_rows(counts, "digest", hot_limit(index.count()))
+    firsts = repeated.select("digest", "first")
     revisits = (
-        long.select("digest", "length", "name", "offset")
-        .join(repeated, ["digest", "length"])
+        split_join(long.select("digest", "name", "offset"), firsts, "digest", ("offset", "digest"), hot)
         .where("name <> first.name OR offset <> first.offset")
         .groupBy("name")
-        .agg(F.collect_list(F.struct("offset", "first")).alias("revisits"))
+        .agg(F.collect_list(F.struct("offset", "first", "digest")).alias("revisits"))
     )
     revisits = keep(revisits, "arc_revisits")  # an archive's records bound each list
     listed = revisits.agg(F.sum(F.size("revisits"))).first()[0] or 0
     side = F.broadcast(revisits) if listed <= BROADCAST_ROWS else revisits
-    named = files.withColumn("name", F.substring_index("path", "/", -1))
+    named = files.withColumn("name", F.col("path"))
     joined = named.join(side, "name", "left").select("path", "content", "revisits")
     _write_archives(joined.mapInArrow(_convert, "value binary"), path)
     return index.where("error IS NOT NULL").select("name", "offset", "length", "error")
 
 
+_VERSION_LINE = re.compile(rb"WARC/\d+\.\d+\r\n")
+
+
 def read_warc(content: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """Header fields and block of each record of one WARC file."""
-    content = _unpacked(content)
+    """Header fields and block of each record of one WARC file, of any version.
+
+    What is no whole record is an error.
+    """
+    content, whole = _unpacked(content)
     at = 0
-    while content.startswith(WARC_VERSION, at):
-        end = content.index(b"\r\n\r\n", at)
+    while at < len(content):
+        if content[at : at + 1] in (b"\r", b"\n"):
+            at += 1
+            continue
+        end = content.find(b"\r\n\r\n", at)
+        if not _VERSION_LINE.match(content, at) or end < 0:
+            raise ValueError(f"no WARC record at {at}")
         lines = content[at:end].decode("utf-8", "replace").split("\r\n")[1:]
-        fields = dict(line.split(": ", 1) for line in lines)
-        at = end + 4 + int(fields["Content-Length"])
+        fields = {k: v.strip() for k, _, v in (line.partition(":") for line in lines)}
+        length = int(fields["Content-Length"])
+        at = end + 4 + length
+        if at > len(content):
+            raise ValueError(f"record {fields.get('WARC-Record-ID')} is cut short")
         yield fields, content[end + 4 : at]
-        at += 4
+    if not whole:
+        raise ValueError("damaged gzip member")
 
 
+PAGE_KINDS = ("response", "resource", "revisit")
 WARC_ROW = (
     "page_id bigint, url string, date string, record_id string, record_type string, "
     "payload_bytes bigint, payload_digest string, refers_to bigint, refers_to_record string, "
@@ -357,18 +416,20 @@ def _rows(batches):
             rows = []
             for fields, block in read_warc(content.as_buffer().to_pybytes()):
                 kind = fields["WARC-Type"]
-                if kind == "warcinfo":
+                if kind not in PAGE_KINDS:
                     continue
                 head = Document(0, {}, block)
                 payload = None if kind == "revisit" else head.payload
-                known = fields["WARC-Payload-Digest"].removeprefix("sha1:")
-                if payload is not None and base32_sha1(payload) != known:
-                    raise ValueError(f"payload of {fields['WARC-Record-ID']} is damaged")
-                size = int(fields["X-Payload-Length"]) if payload is None else len(payload)
+                known = fields.get("WARC-Payload-Digest", "").removeprefix("sha1:")
+                if payload is not None:
+                    if known not in ("", own := base32_sha1(payload)):
+                        raise ValueError(f"payload of {fields['WARC-Record-ID']} is damaged")
+                    known = own
+                size = _number(fields.get("X-Payload-Length")) if payload is None else len(payload)
                 rows.append(
                     (
                         head.page_id,
-                        fields["WARC-Target-URI"],
+                        fields.get("WARC-Target-URI"),
                         fields["WARC-Date"],
                         fields["WARC-Record-ID"],
                         kind,

@@ -561,6 +561,79 @@ def test_files_without_version_block_and_urls_with_blanks():
         assert b"WARC-Target-URI: http://a/b%20c\r\n" in arc.convert(two, "f")
 
 
+def archive(payloads, version=1, date="19990102030405"):
+    start = arc._arc_start("x.arc", version)
+    tail = {1: "text/html", 2: "text/html 200 - - 0 x.arc"}[version]
+    out = [start]
+    for i, payload in enumerate(payloads):
+        block = b"HTTP/1.1 200 OK\r\n\r\n" + payload
+        out.append(f"\nhttp://a/{i} 1.2.3.4 {date} {tail} {len(block)}\n".encode() + block)
+    return out
+
+
+def test_any_legacy_file_is_converted(spark, tmp_path):
+    import gzip
+
+    kinds = {
+        "one/part-1.arc": b"".join(archive([b"hello", b"alpha"])),
+        "two/part-1.arc": b"".join(archive([b"world", b"alpha"], 2)),
+        "three/part-1.arc": b"".join(archive([b"gamma", b""])),
+        "three/IAH-2008.arc.gz": b"".join(gzip.compress(x) for x in archive([b"delta", b"hello"], 2)),
+        "three/old": b"".join(archive([b"no date"], date="-")),
+        "three/cut.arc.gz": b"".join(gzip.compress(x) for x in archive([b"zeta", b"eta"]))[:-9],
+        "three/other.bin": b"not an archive",
+        "three/_marker": b"",
+    }
+    for name, content in kinds.items():
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).write_bytes(content)
+    source, out = f"file://{tmp_path}/{{one,two,three}}", str(tmp_path / "warc")
+    rejects = arc.arc_to_warc(spark, source, out).collect()
+    assert sorted((r.name.rpartition("/")[2], r.error) for r in rejects) == [
+        ("cut.arc.gz", "gzip member"), ("old", "date"), ("other.bin", "no version block"),
+    ]
+    rows = arc.warc_records(spark, out).collect()
+    whole = [b"hello", b"alpha", b"world", b"gamma", b"", b"delta", b"zeta"]
+    assert len({r.record_id for r in rows}) == len(rows)
+    first = {r.payload_digest: r for r in rows if r.record_type == "response"}
+    assert {arc.base32_sha1(p) for p in whole} <= set(first)
+    again = [r for r in rows if r.record_type == "revisit"]
+    assert sorted(r.payload_digest for r in again) == sorted(arc.base32_sha1(p) for p in (b"alpha", b"hello"))
+    assert all(first[r.payload_digest].record_id == r.refers_to_record for r in again)
+    documents = [d for n, c in kinds.items() for d in arc.read_arc(c)]
+    info = [d for d in documents if not d.error and d.fields["URL"].startswith("filedesc:")]
+    assert len(rows) + len(rejects) + len(info) == len(documents)
+
+
+@pytest.mark.parametrize(
+    ("date", "want"),
+    [
+        ("19990102030405", "1999-01-02T03:04:05Z"),
+        ("19990102030405123", "1999-01-02T03:04:05Z"),
+        ("1999", "1999-01-01T00:00:00Z"),
+        ("199912", "1999-12-01T00:00:00Z"),
+        ("19991", "1999-01-01T00:00:00Z"),
+        ("", None),
+        ("-", None),
+        ("19991302", None),
+        ("00000101", None),
+    ],
+)
+def test_dates(date, want):
+    assert arc.iso_date(date) == want
+
+
+def test_warc_files_of_other_versions():
+    def record(version, body=b"x"):
+        return b"WARC/%s\r\nWARC-Type: resource\r\nContent-Length: %d\r\n\r\n%s\r\n\r\n" % (version, len(body), body)
+
+    found = list(arc.read_warc(record(b"1.0") + record(b"0.18", b"yz") + record(b"1.1")))
+    assert [block for _, block in found] == [b"x", b"yz", b"x"]
+    for bad in (b"junk", record(b"1.0") + b"junk", record(b"1.0")[:-6], b"WARC/1.0\r\n"):
+        with pytest.raises(ValueError):
+            list(arc.read_warc(bad))
+
+
 # ----------------------------------------------------------------------- HTML
 
 
