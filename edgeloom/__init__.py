@@ -24,12 +24,16 @@ from edgeloom.operators.paths import path2_cardinality, path2_pairs
 from edgeloom.operators.triangles import closed_walks, triangle_count, triangle_work
 from edgeloom.sources.chains import chain_edges, chain_graph
 from edgeloom.sources.text import (
+    counted_lines,
+    number_lines,
     parse_edges,
+    parse_lines,
     parse_rejects,
     read_edge_lines,
     read_edges,
     read_tuples,
     split_by_rows,
+    split_lines,
 )
 from edgeloom.sinks.text import write_delimited, write_tuples
 
@@ -39,16 +43,19 @@ __all__ = [
     "chain_edges",
     "chain_graph",
     "closed_walks",
+    "counted_lines",
     "dangling_nodes",
     "dangling_trace",
     "degree_in_out",
     "distinct_edges",
     "follower_count",
     "max_filter",
+    "number_lines",
     "out_degree",
     "pagerank",
     "pagerank_rounds",
     "parse_edges",
+    "parse_lines",
     "parse_rejects",
     "path2_cardinality",
     "path2_pairs",
@@ -59,6 +66,7 @@ __all__ = [
     "reverse_edges",
     "rows_without_id",
     "split_by_rows",
+    "split_lines",
     "tag_inputs",
     "triangle_count",
     "triangle_work",

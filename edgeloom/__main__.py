@@ -8,7 +8,10 @@
     pagerank    INPUT OUTPUT            ranks of an edge list
     chain       OUTPUT                  ranks of the chain graph
 
-Malformed lines of INPUT are left out; ``--rejects FOLDER`` writes them.
+Malformed lines of INPUT are left out and counted by the job that reads the others; the counts go to
+standard error. ``--rejects FOLDER`` writes the lines; INPUT is still parsed once.
+``--run FOLDER`` names the folder of a pagerank run: started again with it, the job goes on from the
+last whole round.
 """
 
 from __future__ import annotations
@@ -16,11 +19,12 @@ from __future__ import annotations
 import argparse
 import sys
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 import edgeloom as el
 from edgeloom.operators.triangles import MODES, STRATEGIES
+from edgeloom.storage import keep
 
 
 def arguments() -> argparse.ArgumentParser:
@@ -51,6 +55,7 @@ def arguments() -> argparse.ArgumentParser:
     for ranked in (job("pagerank", writes=True), job("chain", reads=False, writes=True)):
         ranked.add_argument("--iterations", type=int, default=10)
         ranked.add_argument("--damping", type=float, default=0.85)
+        ranked.add_argument("--run", help="folder of the run's tables, to go on from")
         ranked.add_argument("--max-node", type=int, help="write ranks of nodes up to this")
         ranked.add_argument(
             "--every-round", action="store_true", help="write OUTPUT-0, OUTPUT-1, ..."
@@ -59,17 +64,36 @@ def arguments() -> argparse.ArgumentParser:
     return parser
 
 
-def read(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
-    edges, rejects = el.read_edge_lines(spark, args.input, args.sep)
+def read(spark: SparkSession, args: argparse.Namespace) -> tuple[DataFrame, Observation]:
+    """The edges, and the counts that come with the first job over them."""
+    lines = spark.read.text(args.input).select(F.col("value").alias("line"))
+    parsed, seen = el.counted_lines(el.parse_lines(lines, args.sep), args.max_id)
     if args.rejects:
-        el.write_delimited(rejects.select("reason", "line"), args.rejects, "\t")
-    return el.max_filter(edges, args.max_id)
+        # Lines are only held where they are rejects.
+        line = F.when(F.col("reason").isNotNull(), F.col("line")).alias("line")
+        parsed = keep(parsed.select("src", "dst", "reason", line), "parsed")
+        rejects = parsed.where("reason IS NOT NULL").select("reason", "line")
+        el.write_delimited(rejects, args.rejects, "\t")
+    edges = parsed.where("reason IS NULL").select("src", "dst")
+    return el.max_filter(edges, args.max_id), seen
+
+
+def report(seen: Observation) -> None:
+    n = seen.get
+    print(
+        f"lines: {n['lines']}, rejected: {n['field_count'] + n['not_a_number']} (field_count "
+        f"{n['field_count']}, not_a_number {n['not_a_number']}), above the greatest id: {n['above_max']}, "
+        f"edges: {n['edges']}",
+        file=sys.stderr,
+    )
 
 
 def write_ranks(edges: DataFrame, args: argparse.Namespace) -> None:
-    rounds = el.pagerank_rounds(edges, args.iterations, args.damping)
+    rounds = el.rank_rounds(
+        edges, args.iterations, args.damping, folder=args.run, every_round=args.every_round
+    )
     last = args.iterations
-    for i, table in enumerate(rounds):
+    for i, table in rounds:
         if args.every_round or i == last:
             ranks = table.select("node", "rank")
             if args.max_node is not None:
@@ -83,7 +107,7 @@ def run(spark: SparkSession, argv: list[str]) -> None:
     if args.job == "chain":
         write_ranks(el.chain_graph(spark, args.k, sentinel=False), args)
         return
-    edges = read(spark, args)
+    edges, seen = read(spark, args)
     if args.job == "followers":
         counts = el.follower_count(edges)
         el.write_delimited(counts, args.output, args.out_sep)
@@ -99,6 +123,9 @@ def run(spark: SparkSession, argv: list[str]) -> None:
         print("closed walks:", el.closed_walks(edges, args.mode).first().hits)
     else:
         write_ranks(edges, args)
+        if args.run:  # whose edges may be those of an earlier job
+            return
+    report(seen)
 
 
 def main() -> None:

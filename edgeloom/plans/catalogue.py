@@ -4,12 +4,12 @@ from __future__ import annotations
 
 import functools
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import edgeloom as el
 from edgeloom.plans import graphs as g
-from edgeloom.storage import new_path
+from edgeloom.storage import keep, new_path
 
 MAX_ID = 100
 CHAIN_LENGTH = 100
@@ -255,6 +255,27 @@ def edge_read_lines(spark, sf_dir):
     return el.read_edges(spark, path)
 
 
+def edge_read_counts(spark, sf_dir):
+    """What reading counted on its way: the numbers come with the job that writes the edges."""
+    path = new_path(spark, "edge_lines")
+    g.edge_lines(spark, sf_dir).write.text(path)
+    lines = spark.read.text(path).select(F.col("value").alias("line"))
+    counted, seen = el.counted_lines(el.parse_lines(lines), MAX_ID)
+    keep(el.max_filter(counted.where("reason IS NULL").select("src", "dst"), MAX_ID), "edges")
+    names = ("lines", "field_count", "not_a_number", "above_max", "edges")
+    return spark.createDataFrame([[seen.get[n] for n in names]], ", ".join(f"{n} BIGINT" for n in names))
+
+
+def edge_line_parts(spark, sf_dir):
+    """Parts of an exact number of lines: first and last line and number of each."""
+    path = new_path(spark, "edges_text")
+    el.write_delimited(g.follows(spark, sf_dir), path)
+    parts = el.split_lines(spark, path, SPLIT_ROWS)
+    return parts.groupBy("part").agg(
+        F.min("pos").alias("first"), F.max("pos").alias("last"), F.countDistinct("pos").alias("n")
+    )
+
+
 def edge_rows_without_id(spark, sf_dir):
     return el.rows_without_id(g.table(spark, sf_dir, "lineitem"), "l_partkey", "l_suppkey")
 
@@ -266,31 +287,11 @@ def edges_split_by_rows(spark, sf_dir):
     return sizes.agg(F.count(F.lit(1)).alias("parts"), F.sum("n").alias("n"))
 
 
-def _in_file_order(df: DataFrame) -> DataFrame:
-    """``df`` from files with ``pos``, the line number over all files in name order.
-
-    Lines are numbered inside each block of a file; only one row per block meets in one task.
-    """
-    block = ["_file", "_start"]
-    lines = df.select(
-        "*",
-        F.col("_metadata.file_name").alias("_file"),
-        F.col("_metadata.file_block_start").alias("_start"),
-        F.monotonically_increasing_id().alias("_id"),
-    )
-    sizes = lines.groupBy(*block).agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy(*block).rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select(*block, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    inside = F.row_number().over(Window.partitionBy(*block).orderBy("_id"))
-    numbered = lines.withColumn("_pos", inside).join(F.broadcast(starts), block)
-    return numbered.select((F.col("_before") + F.col("_pos")).alias("pos"), *df.columns)
-
-
 def followers_text_order(spark, sf_dir):
     """Follower counts written in text order, with the number of each line."""
     path = new_path(spark, "followers_ordered")
     el.write_delimited(follower_count(spark, sf_dir), path, text_order=True)
-    return _in_file_order(spark.read.schema("node BIGINT, followers BIGINT").csv(path))
+    return el.number_lines(spark.read.schema("node BIGINT, followers BIGINT").csv(path))
 
 
 def _edges_roundtrip(spark: SparkSession, edges: DataFrame, sep: str) -> DataFrame:
@@ -369,6 +370,8 @@ QUERIES = {
         path2_csv_roundtrip,
         path2_max_csv_roundtrip,
         edge_read_lines,
+        edge_read_counts,
+        edge_line_parts,
         edge_rows_without_id,
         edges_split_by_rows,
         followers_text_order,

@@ -270,6 +270,22 @@ WHERE dst NOT IN (SELECT src FROM supply)""",
 SELECT count(*) AS n,
        count(*) FILTER (l_partkey IS NULL OR l_suppkey IS NULL) AS without_id FROM lineitem""",
     "edge_read_lines": over(LINES, PARSED),
+    "edge_read_counts": over(
+        LINES,
+        """
+SELECT count(*) AS lines, count(*) FILTER (fields <> 2) AS field_count,
+       count(*) FILTER (fields = 2 AND (src IS NULL OR dst IS NULL)) AS not_a_number,
+       count(*) FILTER (fields = 2 AND greatest(src, dst) > 100 AND src IS NOT NULL AND dst IS NOT NULL)
+         AS above_max,
+       count(*) FILTER (fields = 2 AND src <= 100 AND dst <= 100) AS edges
+FROM parsed""",
+    ),
+    "edge_line_parts": over(
+        FOLLOWS,
+        """
+SELECT (pos - 1) // 1000 AS part, min(pos) AS first, max(pos) AS last, count(*) AS n
+FROM (SELECT row_number() OVER () AS pos FROM follows) GROUP BY part""",
+    ),
     "followers_text_order": over(
         FOLLOWS,
         """

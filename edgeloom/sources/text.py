@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from edgeloom.functions.columns import field_count, number_at, two_numbers
+from edgeloom.storage import keep
 
 
 def read_edges(spark: SparkSession, path: str | list[str], sep: str = ",") -> DataFrame:
@@ -45,6 +46,45 @@ def parse_rejects(lines: DataFrame, sep: str = ",") -> DataFrame:
     )
 
 
+def parse_lines(lines: DataFrame, sep: str = ",") -> DataFrame:
+    """``(line, src, dst, reason)`` of every line; ``reason`` is null for an edge."""
+    line = F.col("line")
+    edge = two_numbers(line, sep)
+    return (
+        lines.select(
+            "line",
+            F.when(edge, number_at(line, sep, 1)).alias("src"),
+            F.when(edge, number_at(line, sep, 2)).alias("dst"),
+        )
+        .withColumn(
+            "reason",
+            F.when(F.col("src").isNotNull() & F.col("dst").isNotNull(), F.lit(None))
+            .when(field_count(line, sep) != 2, "field_count")
+            .otherwise("not_a_number"),
+        )
+    )
+
+
+def counted_lines(parsed: DataFrame, max_id: int | None = None) -> tuple[DataFrame, Observation]:
+    """``parsed`` lines, and what the first job over them counts on its way.
+
+    The observation's ``get`` has ``lines``, ``field_count`` and ``not_a_number`` (the rejects), ``above_max``
+    (edges with an id over ``max_id``) and ``edges``, those that stay. No job of its own is run.
+    """
+    edge = F.col("reason").isNull()
+    above = F.greatest("src", "dst") > max_id if max_id is not None else F.lit(False)
+    seen = Observation("lines")
+    counted = parsed.observe(
+        seen,
+        F.count(F.lit(1)).alias("lines"),
+        F.count_if(F.col("reason") == "field_count").alias("field_count"),
+        F.count_if(F.col("reason") == "not_a_number").alias("not_a_number"),
+        F.count_if(edge & above).alias("above_max"),
+        F.count_if(edge & ~above).alias("edges"),
+    )
+    return counted, seen
+
+
 def read_tuples(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """Lines such as ``(12,0.5)`` as the columns named in ``schema``."""
     inner = F.regexp_extract("value", r"^\((.*)\)$", 1)
@@ -55,3 +95,42 @@ def read_tuples(spark: SparkSession, path: str, schema: str) -> DataFrame:
 def split_by_rows(df: DataFrame, rows: int) -> DataFrame:
     """Spread ``df`` evenly over partitions of about ``rows`` rows each."""
     return df.repartition(max(1, -(-df.count() // rows)))
+
+
+def number_lines(files: DataFrame) -> DataFrame:
+    """``files``, a DataFrame read from files, with ``pos``: the number of each row over all files.
+
+    Files count in the order of their paths, from 1. One pass counts the rows of each block that a task
+    reads; only that index, a row for each block, is gathered and broadcast. The rows are not shuffled:
+    Spark numbers them in the order in which a task reads them. A row whose block
+    was read otherwise in the second pass is an error.
+    """
+    place = ["_file", "_start"]
+    rows = files.select(
+        "*",
+        F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_start"),
+        F.monotonically_increasing_id().alias("_id"),
+    )
+    index = keep(
+        rows.groupBy(*place).agg(F.count(F.lit(1)).alias("_n"), F.min("_id").alias("_first")), "line_index"
+    )
+    before = Window.orderBy(*place).rowsBetween(Window.unboundedPreceding, -1)
+    starts = index.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    inside = F.col("_id") - F.col("_first")
+    pos = F.when((inside >= 0) & (inside < F.col("_n")), F.col("_before") + inside + 1).otherwise(
+        F.raise_error(F.lit("the files were cut into other blocks")).cast("bigint")
+    )
+    return rows.join(F.broadcast(starts), place).select(pos.alias("pos"), *files.columns)
+
+
+def split_lines(spark: SparkSession, path: str | list[str], rows: int) -> DataFrame:
+    """``(part, pos, line)``: the lines of text files in parts of exactly ``rows``, but the last.
+
+    No row is moved: write the result with ``partitionBy("part")`` to have the parts as folders.
+    """
+    if rows < 1:
+        raise ValueError("a part needs at least one row")
+    numbered = number_lines(spark.read.text(path))
+    part = F.expr(f"(pos - 1) div {rows}")
+    return numbered.select(part.alias("part"), "pos", F.col("value").alias("line"))

@@ -29,7 +29,13 @@ def test_counting_jobs_print_their_total(spark, edges, capsys):
     run(spark, ["triangles", path, "--strategy", "broadcast", "--max-id", "6"])
     run(spark, ["walks", path, "--mode", "semi"])
     small = [(a, b) for a, b in rows if a <= 6 and b <= 6]
-    assert capsys.readouterr().out.splitlines() == [
+    said = capsys.readouterr()
+    n, above = len(rows), len(rows) - len(small)
+    counts = f"lines: {n + 1}, rejected: 1 (field_count 1, not_a_number 0), above the greatest id: "
+    assert [line for line in said.err.splitlines() if line.startswith("lines")] == [
+        f"{counts}{x}, edges: {n - x}" for x in (0, 0, above, 0)
+    ]
+    assert said.out.splitlines() == [
         f"2-paths: {sum(brute.path2(rows, True).values())}",
         f"triangles: {brute.triangles(rows)}",
         f"triangles: {brute.triangles(small)}",
@@ -54,6 +60,10 @@ def test_rank_jobs(spark, edges, tmp_path):
         want, _ = brute.ranks(rows, i)
         got = dict(line.split(",") for line in lines_of(tmp_path / f"r-{i}"))
         assert {int(v): float(r) for v, r in got.items()} == pytest.approx(want, abs=1e-14)
+    folder = str(tmp_path / "run")
+    run(spark, ["pagerank", path, str(tmp_path / "a"), "--iterations", "1", "--run", folder])
+    run(spark, ["pagerank", path, str(tmp_path / "b"), "--iterations", "2", "--run", folder])
+    assert lines_of(tmp_path / "b") == lines_of(tmp_path / "r-2")
     run(spark, ["chain", str(tmp_path / "c"), "-k", "3", "--iterations", "1", "--max-node", "4"])
     got = [line.split(",")[0] for line in lines_of(tmp_path / "c")]
     assert got == ["1", "2", "3", "4"]

@@ -72,3 +72,37 @@ def test_split_by_rows(edges_of):
     split = el.split_by_rows(df, 40)
     assert split.rdd.getNumPartitions() == 3
     assert split.count() == 100
+
+
+def test_lines_are_parsed_by_one_rule(spark, tmp_path):
+    lines = ["1,2", "2,3,", "x,1", "", "1,2,3", "9,1", "99999999999999999999,1", "+4,-5"]
+    df = spark.createDataFrame([(x,) for x in lines], "line STRING")
+    parsed = el.parse_lines(df)
+    edges = parsed.where("reason IS NULL").select("src", "dst")
+    assert sorted(edges.collect()) == sorted(el.parse_edges(df).collect())
+    rejects = parsed.where("reason IS NOT NULL").select("line", "reason")
+    assert sorted(rejects.collect()) == sorted(el.parse_rejects(df).collect())
+    counted, seen = el.counted_lines(parsed, 3)
+    assert len(counted.where("reason IS NULL").collect()) == 4
+    want = {"lines": 8, "field_count": 2, "not_a_number": 2, "above_max": 2, "edges": 2}
+    assert seen.get == want
+
+
+def test_lines_are_numbered_where_they_are(spark, tmp_path):
+    text = {f"f{i}": [f"{i}-{j}" * (j % 5 + 1) for j in range(300 * i)] for i in range(4)}
+    for name, lines in text.items():
+        (tmp_path / name).write_text("".join(f"{x}\n" for x in lines))
+    whole = [x for name in sorted(text) for x in text[name]]
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
+    try:
+        parts = el.split_lines(spark, str(tmp_path), 70)
+        plan = parts._jdf.queryExecution().executedPlan().toString()
+        rows = sorted(parts.collect(), key=lambda r: r.pos)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert [(r.pos, r.line) for r in rows] == list(enumerate(whole, 1))
+    assert [r.part for r in rows] == [i // 70 for i in range(len(whole))]
+    # Only the index of blocks is exchanged.
+    assert "Exchange hashpartitioning" not in plan and plan.count("Exchange SinglePartition") == 1
+    with pytest.raises(ValueError):
+        el.split_lines(spark, str(tmp_path), 0)
