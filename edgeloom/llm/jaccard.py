@@ -43,7 +43,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from edgeloom.llm.components import components
-from edgeloom.llm.textblocks import mix, row_blocks, runs, utf8, window_hashes, word_hashes
+from edgeloom.llm.textblocks import (
+    lean,
+    mix,
+    row_blocks,
+    runs,
+    utf8,
+    window_hashes,
+    word_hashes,
+)
 from edgeloom.storage import keep
 
 WORDS, PERCENT = 5, 80
@@ -394,7 +402,7 @@ def _similar(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, size: int, per
     same = F.col("id").eqNullSafe(F.col("wanted_id")) & (F.col("text_hash") == F.col("wanted_hash"))
     texts = docs.join(_small(wanted), same).select("text", "node")
     kind = "node bigint, n bigint, sketch binary, shingles array<bigint>"
-    sets = keep(texts.mapInArrow(_sets(size), kind), "sets")
+    sets = keep(texts.mapInArrow(lean(_sets(size)), kind), "sets")
 
     def met(pairs: DataFrame, column: str) -> DataFrame:
         hubs = keep(pairs.select(F.col("b").alias("node")).distinct(), "hubs")
@@ -407,7 +415,7 @@ def _similar(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, size: int, per
         both = left.join(right.hint("merge"), "b")
         return both.select("a", "b", F.expr("left_n + right_n").alias("total"), "left", "right")
 
-    fit = met(pairs, "sketch").mapInArrow(_possible(percent), "a bigint, b bigint")
+    fit = met(pairs, "sketch").mapInArrow(lean(_possible(percent)), "a bigint, b bigint")
     shared = met(keep(fit, "possible"), "shingles").withColumn(
         "both", F.size(F.array_intersect("left", "right"))
     )
@@ -433,7 +441,7 @@ def near_duplicates(
         F.xxhash64(text).alias("text_hash"),
         F.coalesce(F.col(text), F.lit("")).alias("text"),
     )
-    profiles = keep(source.mapInArrow(_profiles(size, bucket_bits), PROFILE), "profiles")
+    profiles = keep(source.mapInArrow(lean(_profiles(size, bucket_bits)), PROFILE), "profiles")
     ranks = spark.sparkContext.broadcast(rarity(profiles, bucket_bits))
     profiles = profiles.where("slice IS NULL")
     first = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "text_hash"))
@@ -441,7 +449,8 @@ def near_duplicates(
         profiles.where("node IS NOT NULL").groupBy("node").agg(first.alias("doc")), "nodes"
     )
     prefixes = source.select("text").mapInArrow(
-        _prefixes(size, percent, bucket_bits, orders, ranks), "token bigint, node bigint, size bigint, pos int"
+        lean(_prefixes(size, percent, bucket_bits, orders, ranks)),
+        "token bigint, node bigint, size bigint, pos int"
     )
     shared = keep(_shared_tokens(prefixes, percent), "shared_tokens")
 

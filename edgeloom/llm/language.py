@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from edgeloom.llm.textblocks import mix, row_blocks, runs, utf8
+from edgeloom.llm.textblocks import lean, mix, row_blocks, runs, utf8
 
 UNKNOWN = "und"
 PER_LANGUAGE, SAMPLE, LONGEST = 100, 1000, 2**16
@@ -500,4 +500,4 @@ def label(docs: DataFrame, model: Model | None, text: str = "text", spans: bool
             yield pa.RecordBatch.from_arrays([*batch.columns, found], names=names)
 
     schema = T.StructType([*docs.schema.fields, T.StructField(COLUMN, RESULT)])
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(lean(run), schema)

@@ -36,11 +36,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from edgeloom.llm.language import code_points
-from edgeloom.llm.textblocks import mix, row_blocks, utf8
+from edgeloom.llm.textblocks import lean, mix, row_blocks, utf8
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 TEMPER = 1.0
-BLOCK_BYTES = 2**19
+BLOCK_BYTES = 2**18
 BLANK = 0x2581
 # Stands for a U+2581 of the text, which must not be taken for a blank.
 LITERAL = 0x110000
@@ -330,7 +330,7 @@ def encode(
                 at += len(ids)
                 yield pa.RecordBatch.from_arrays([*part.columns[:-1], ids], names=schema.names)
 
-    return docs.withColumn("__seed", _seeds(key, seed)).mapInArrow(run, schema)
+    return docs.withColumn("__seed", _seeds(key, seed)).mapInArrow(lean(run), schema)
 
 
 def decode(encoded: DataFrame, vocabulary: Vocabulary | None = None, to: str = "decoded") -> DataFrame:
@@ -348,7 +348,7 @@ def decode(encoded: DataFrame, vocabulary: Vocabulary | None = None, to: str = "
             arrays = [*batch.columns, pa.array(texts, pa.string())]
             yield pa.RecordBatch.from_arrays(arrays, names=schema.names)
 
-    return encoded.mapInArrow(run, schema)
+    return encoded.mapInArrow(lean(run), schema)
 
 
 def vocabulary_of(spark: SparkSession, path: str = VOCABULARY) -> Vocabulary:

@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from edgeloom.llm.components import components
-from edgeloom.llm.textblocks import row_blocks, runs, utf8
+from edgeloom.llm.textblocks import lean, row_blocks, runs, utf8
 from edgeloom.operators.skew import hot_limit, hot_rows, split_join
 from edgeloom.storage import keep
 
@@ -113,7 +113,7 @@ def fingerprints(docs: DataFrame, key: str, text: str, size: int) -> DataFrame:
 
     kind = docs.schema[key].dataType.simpleString()
     source = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    return source.mapInArrow(run, f"key {kind}, fp bigint")
+    return source.mapInArrow(lean(run), f"key {kind}, fp bigint")
 
 
 # ------------------------------------------------------------------ the index
@@ -391,7 +391,7 @@ def links(distinct: DataFrame, most: int = MOST) -> DataFrame:
     placed = filed.repartitionByRange(tasks, "copy", "bucket", "rank").sortWithinPartitions(
         "copy", "bucket", "rank"
     )
-    cut = keep(placed.select("copy", "bucket", "fp").mapInArrow(_cutter(most), _LEAF), "leaves")
+    cut = keep(placed.select("copy", "bucket", "fp").mapInArrow(lean(_cutter(most)), _LEAF), "leaves")
     inside = cut.where("kind = 1").select("a", "b")
     leaves = _numbered(cut.where("kind = 0"))
     pairs = _leaf_pairs(leaves, most)
@@ -399,7 +399,7 @@ def links(distinct: DataFrame, most: int = MOST) -> DataFrame:
         return inside
     with_x = pairs.join(_side(leaves, "x", "fps").select("copy", "bucket", "x_no", "x_fps"), ["copy", "bucket", "x_no"])
     both = with_x.join(_side(leaves, "y", "fps").select("copy", "bucket", "y_no", "y_fps"), ["copy", "bucket", "y_no"])
-    across = both.select("x_fps", "y_fps").mapInArrow(_comparer(most), "a bigint, b bigint")
+    across = both.select("x_fps", "y_fps").mapInArrow(lean(_comparer(most)), "a bigint, b bigint")
     return inside.union(across)
 
 
