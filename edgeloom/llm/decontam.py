@@ -6,7 +6,8 @@ same windows of the documents, look them up, compare the words of each hit
 with the item's, and mark the words that any true occurrence covers. Documents
 are read once and nothing is shuffled.
 
-The set is built from at most ``SLICE_BYTES`` of benchmark text. A larger
+The set is built from about ``SLICE_BYTES`` of benchmark text and kept in flat arrays: the words
+themselves, and 20 bytes a window, about five bytes for each byte of text. A larger
 benchmark is dealt by item into slices of that size and the documents are
 scanned once per slice; the marks of all slices are joined.
 
@@ -28,11 +29,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from edgeloom.llm.textblocks import row_blocks, runs, utf8, window_hashes, word_hashes
+from edgeloom.llm.textblocks import lean, row_blocks, runs, utf8, window_hashes, word_hashes
 from edgeloom.storage import keep
 
 WINDOW = 10
-SLICE_BYTES = 2**25
+SLICE_BYTES = 2**24
 
 _byte = np.arange(256)
 IS_WORD = (
@@ -44,41 +45,82 @@ IS_WORD = (
 
 
 class Windows:
-    """The benchmark's windows: hashes by window length, and words to item ids."""
+    """The benchmark's windows by length: sorted hashes, places in the items' words, items.
+
+    Windows of one hash stand side by side; one item's equal windows are one.
+    """
 
     def __init__(self, items: list[tuple[str, str]], size: int):
-        self.items: dict[bytes, list[str]] = {}
-        hashes: dict[int, list[int]] = {}
-        for item, text in items:
-            data = np.frombuffer(text.encode(), np.uint8)
-            starts, ends, rows = runs(IS_WORD[data], np.array([0, len(data)]))
-            if not len(starts):
-                continue
-            length = min(size, len(starts))
-            found, first = window_hashes(word_hashes(data, starts, ends), rows, length)
-            hashes.setdefault(length, []).extend(found.tolist())
-            for i in first:
-                known = self.items.setdefault(_words(data, starts, ends, i, length), [])
-                if item not in known:
-                    known.append(item)
-        self.hashes = {k: np.unique(np.array(v, np.uint64)) for k, v in hashes.items()}
-        # A first test on 16 bits spares most windows the binary search.
-        self.marks = {}
-        for length, known in self.hashes.items():
+        self.names = [item for item, _ in items]
+        data, offsets = utf8(pa.array([text for _, text in items], pa.string()))
+        starts, ends, rows = runs(IS_WORD[data], offsets)
+        words = word_hashes(data, starts, ends)
+        self.text, at = _joined(data, starts, ends)
+        counts = np.bincount(rows, minlength=len(items))
+        first_word = np.cumsum(counts) - counts
+        self.tables: dict[int, tuple[np.ndarray, ...]] = {}
+        self.marks: dict[int, np.ndarray] = {}
+        for length in sorted({int(n) for n in np.minimum(counts, size)} - {0}):
+            hashes, first = window_hashes(words, rows, length)
+            if length < size:  # whole items only
+                own = np.isin(first, first_word[counts == length])
+                own &= counts[rows[first]] == length
+                hashes, first = hashes[own], first[own]
+            item = rows[first].astype(np.int32)
+            order = np.lexsort((item, hashes))
+            hashes, first, item = hashes[order], first[order], item[order]
+            begin, end = at[first].astype(np.uint32), (at[first + length] - 1).astype(np.uint32)
+            fresh = np.ones(len(hashes), bool)
+            same = (hashes[1:] == hashes[:-1]) & (item[1:] == item[:-1])
+            for i in np.flatnonzero(same) + 1:
+                fresh[i] = self.text[begin[i] : end[i]] != self.text[begin[i - 1] : end[i - 1]]
+            table = tuple(x[fresh] for x in (hashes, begin, end, item))
+            self.tables[length] = table
+            # A first test on 16 bits spares most windows the binary search.
             self.marks[length] = np.zeros(2**16, bool)
-            self.marks[length][known >> np.uint64(48)] = True
+            self.marks[length][table[0] >> np.uint64(48)] = True
+
+    @property
+    def nbytes(self) -> int:
+        return len(self.text) + sum(x.nbytes for t in self.tables.values() for x in t)
 
-    def occurrences(self, data, starts, ends, rows) -> Iterator[tuple[int, int, list[str]]]:
-        """First word, length and item ids of each window found, words compared."""
+    def occurrences(self, data, starts, ends, rows) -> Iterator[tuple[int, int, tuple[int, int]]]:
+        """First word and length of each window found, words compared, and which it is."""
         words = word_hashes(data, starts, ends)
-        for length, known in self.hashes.items():
+        for length, (known, begin, end, _) in self.tables.items():
             hashes, first = window_hashes(words, rows, length)
             maybe = np.flatnonzero(self.marks[length][hashes >> np.uint64(48)])
-            at = np.minimum(np.searchsorted(known, hashes[maybe]), len(known) - 1)
-            for i in first[maybe[known[at] == hashes[maybe]]]:
-                found = self.items.get(_words(data, starts, ends, i, length))
-                if found:
-                    yield int(i), length, found
+            at = np.minimum(np.searchsorted(known, hashes[maybe]), max(0, len(known) - 1))
+            hit = known[at] == hashes[maybe]
+            for i, k in zip(first[maybe[hit]].tolist(), at[hit].tolist(), strict=True):
+                own = _words(data, starts, ends, i, length)
+                while k < len(known) and self.text[begin[k] : end[k]] != own:
+                    k = k + 1 if k + 1 < len(known) and known[k + 1] == known[k] else len(known)
+                if k < len(known):
+                    yield i, length, (length, k)
+
+    def items_of(self, windows: set[tuple[int, int]]) -> list[str]:
+        """Ids of the items that hold any of the windows found."""
+        found = set()
+        for length, k in windows:
+            known, begin, end, item = self.tables[length]
+            own, hashed = self.text[begin[k] : end[k]], known[k]
+            while k < len(known) and known[k] == hashed:
+                if self.text[begin[k] : end[k]] == own:
+                    found.add(int(item[k]))
+                k += 1
+        return sorted({self.names[i] for i in found})
+
+
+def _joined(data, starts, ends) -> tuple[bytes, np.ndarray]:
+    """All words in lower case, a blank after each, and where each begins (and the last ends)."""
+    lengths = ends - starts + 1
+    at = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64)
+    inside = np.arange(at[-1]) - np.repeat(at[:-1], lengths)
+    word = inside < np.repeat(lengths - 1, lengths)
+    out = np.full(at[-1], 32, np.uint8)
+    out[word] = data[(np.repeat(starts, lengths) + inside)[word]]
+    return out.tobytes().lower(), at
 
 
 def _words(data, starts, ends, i: int, length: int) -> bytes:
@@ -94,19 +136,14 @@ def _scan(column: pa.Array, windows: Windows) -> Iterator[tuple[int, list, list]
         data, offsets = all_data[offsets[0] : offsets[-1]], offsets - offsets[0]
         starts, ends, rows = runs(IS_WORD[data], offsets)
         counts = np.bincount(rows, minlength=last - first)
-        base = np.concatenate([[0], np.cumsum(counts)])
+        base = np.cumsum(counts) - counts
         spans: dict[int, list] = {}
-        for i, length, items in windows.occurrences(data, starts, ends, rows):
-            spans.setdefault(int(rows[i]), []).append((i, i + length, items))
+        for i, length, which in windows.occurrences(data, starts, ends, rows):
+            spans.setdefault(int(rows[i]), []).append((i - int(base[rows[i]]), length, which))
         for row in range(last - first):
-            hits, items = [], set()
-            for begin, end, ids in sorted(spans.get(row, []), key=lambda x: x[:2]):
-                items.update(ids)
-                if hits and begin - base[row] <= hits[-1][1]:
-                    hits[-1][1] = max(hits[-1][1], int(end - base[row]))
-                else:
-                    hits.append([int(begin - base[row]), int(end - base[row])])
-            yield int(counts[row]), hits, sorted(items)
+            found = spans.get(row, [])
+            hits = _merged([[begin, begin + length] for begin, length, _ in found])
+            yield int(counts[row]), hits, windows.items_of({which for *_, which in found})
 
 
 def _merged(spans: list[list[int]]) -> list[list[int]]:
@@ -198,7 +235,7 @@ def mark(
                 yield pa.RecordBatch.from_arrays([*arrays, marks], names=[*names, COLUMN])
 
         # Between slices the frame is written, so that one set is held at a time.
-        marked = (docs if marked is None else keep(marked, "marked")).mapInArrow(scan, schema)
+        marked = (docs if marked is None else keep(marked, "marked")).mapInArrow(lean(scan), schema)
     return marked
 
 
@@ -245,4 +282,4 @@ def drop_spans(docs: DataFrame, benchmark: DataFrame, **how) -> DataFrame:
             arrays[at] = pa.array(texts, pa.string())
             yield pa.RecordBatch.from_arrays(arrays, names=schema.names)
 
-    return marked.mapInArrow(cut, schema)
+    return marked.mapInArrow(lean(cut), schema)

@@ -128,7 +128,9 @@ def test_line_dedup_equals_brute_force(spark):
 # --------------------------------------------------------------- exact dedup
 
 
-def test_exact_dedup_equals_brute_force(spark, odd_rows):
+@pytest.mark.parametrize("rows_per_stripe", [2, 2**15])
+def test_exact_dedup_equals_brute_force(spark, odd_rows, monkeypatch, rows_per_stripe):
+    monkeypatch.setattr(exact, "ROWS_PER_STRIPE", rows_per_stripe)
     rows = [*odd_rows, (80, "lo ng" * 30_000), (81, "long" * 30_000 + "x")]
     groups = collections.defaultdict(list)
     for i, text in rows:
@@ -280,6 +282,32 @@ def test_contamination_equals_brute_force(spark, odd_rows, slice_bytes):
     assert decontam.contamination(table(spark, rows), bench.limit(0)).where("contaminated").count() == 0
 
 
+def test_window_table_is_flat_and_small():
+    draw = random.Random(9)
+    items = [(str(i), " ".join(f"{draw.choice('abc')}ord{draw.randint(0, 9**4)}" for _ in range(300))) for i in range(300)]
+    items += [("r", "same words again " * 20_000), ("s", "two words"), ("t", "two words"), ("u", ""), ("v", "é")]
+    windows = decontam.Windows(items, 10)
+    assert windows.nbytes < 6 * sum(len(text.encode()) for _, text in items)
+    text = pa.array(["same words again " * 5, "x two  WORDS, É", None])
+    assert [(n, h, i) for n, h, i in decontam._scan(text, windows)] == [
+        (15, [[0, 15]], ["r"]), (4, [[1, 3]], ["s", "t"]), (0, [], []),
+    ]
+
+
+def test_windows_of_one_hash_are_told_apart(monkeypatch):
+    monkeypatch.setattr(decontam, "window_hashes", lambda w, r, n: _one_hash(textblocks.window_hashes(w, r, n)))
+    windows = decontam.Windows([("1", "a b c"), ("2", "b c d a b"), ("3", "a b c"), ("4", "c c c c")], 3)
+    text = pa.array(["A b c", "b c d", "c c c", "d a x", "a b c d a b"])
+    found = [(h, i) for _, h, i in decontam._scan(text, windows)]
+    assert found == [
+        ([[0, 3]], ["1", "3"]), ([[0, 3]], ["2"]), ([[0, 3]], ["4"]), ([], []), ([[0, 6]], ["1", "2", "3"]),
+    ]
+
+
+def _one_hash(found):
+    return np.full(len(found[0]), 7, np.uint64), found[1]
+
+
 # --------------------------------------------------------------- language ID
 
 
