@@ -7,7 +7,8 @@ rest of their bytes. Rounds take more bytes each time, so even texts of 2 GB nee
 eight. Equality follows from the bytes themselves; no digest decides.
 
 Splitting is an aggregation by (group, next bytes), which sums up copies before
-they meet, and a join with the table of groups that are not single.
+they meet, and a join with the table of groups that are not single. The texts of a large group
+are dealt over stripes in that join, so they never meet in one task.
 
 Texts are compared without ``[\\x20\\x09-\\x0D]``; null counts as empty. Of equal
 texts the one with most code points stays, then the smallest id (rows without
@@ -22,11 +23,14 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from edgeloom.operators.skew import all_stripes, hot_limit, stripes
 from edgeloom.storage import keep
 
 BLANKS = "[\\x20\\x09-\\x0D]+"
 FIRST_BYTES = 32
 GROWTH = 16
+# Rows of a group that go to one task with the rest of their bytes.
+ROWS_PER_STRIPE = 2**15
 
 
 def _split(rows: DataFrame, width: int, ends: bool) -> DataFrame:
@@ -62,9 +66,26 @@ def _split(rows: DataFrame, width: int, ends: bool) -> DataFrame:
         ),
         "groups",
     )
+    # Only groups above the limit are listed, fewer than a million whatever the size.
+    limit = hot_limit(groups.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0], ROWS_PER_STRIPE)
+    count = F.when(F.col("n") > limit, stripes(F.col("n"), limit)).otherwise(F.lit(1))
+    striped = groups.withColumn("n_stripes", count)
+    hot = striped.where("n_stripes > 1").select(
+        F.col("g").alias("group"), F.col("h").alias("head"), "n_stripes"
+    )
+    # Equal rows of different tasks go to different stripes.
+    spot = F.pmod(F.xxhash64("id", "chars", F.spark_partition_id()), F.coalesce("n_stripes", F.lit(1)))
+    dealt = (
+        keyed.join(F.broadcast(hot), ["group", "head"], "left")
+        .withColumn("stripe", spot.cast("int"))
+        .drop("n_stripes")
+    )
+    copied = striped.withColumn("s", all_stripes(F.col("n_stripes"))).drop("n_stripes")
     # The join is the same at every size, whatever table would be small enough to broadcast.
-    joined = keyed.join(
-        groups.hint("merge"), (F.col("group") == F.col("g")) & (F.col("head") == F.col("h")), "left"
+    joined = dealt.join(
+        copied.hint("merge"),
+        (F.col("group") == F.col("g")) & (F.col("head") == F.col("h")) & (F.col("stripe") == F.col("s")),
+        "left",
     )
     single = F.col("n").isNull()
     ended = F.lit(ends) & (F.octet_length("head") < width)
