@@ -14,13 +14,15 @@ from edgeloom.operators.degrees import (
 from edgeloom.operators.edges import (
     distinct_edges,
     max_filter,
+    read_up_to,
     reverse_edges,
     rows_without_id,
     tag_inputs,
     weighted_edges,
+    write_by_greatest,
 )
 from edgeloom.operators.pagerank import dangling_trace, pagerank, pagerank_rounds, rank_rounds
-from edgeloom.operators.paths import path2_cardinality, path2_pairs
+from edgeloom.operators.paths import path2_blocks, path2_cardinality, path2_pairs
 from edgeloom.operators.triangles import closed_walks, triangle_count, triangle_work
 from edgeloom.sources.chains import chain_edges, chain_graph
 from edgeloom.sources.text import (
@@ -57,12 +59,14 @@ __all__ = [
     "parse_edges",
     "parse_lines",
     "parse_rejects",
+    "path2_blocks",
     "path2_cardinality",
     "path2_pairs",
     "rank_rounds",
     "read_edge_lines",
     "read_edges",
     "read_tuples",
+    "read_up_to",
     "reverse_edges",
     "rows_without_id",
     "split_by_rows",
@@ -71,6 +75,7 @@ __all__ = [
     "triangle_count",
     "triangle_work",
     "weighted_edges",
+    "write_by_greatest",
     "write_delimited",
     "write_tuples",
 ]

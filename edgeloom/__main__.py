@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 import edgeloom as el
+from edgeloom.operators.paths import STRATEGIES as PATHS
 from edgeloom.operators.triangles import MODES, STRATEGIES
 from edgeloom.storage import keep
 
@@ -48,7 +49,9 @@ def arguments() -> argparse.ArgumentParser:
     job("path2")
     pairs = job("path2-pairs", writes=True)
     pairs.add_argument("--keep-returns", action="store_true")
-    pairs.add_argument("--strategy", choices=["shuffle", "broadcast"], default="shuffle")
+    pairs.add_argument("--strategy", choices=PATHS, default="shuffle")
+    pairs.add_argument("--block", type=int, help="list in blocks of about so many pairs")
+    pairs.add_argument("--run", help="folder of the blocks, to go on from")
     triangles = job("triangles")
     triangles.add_argument("--strategy", choices=STRATEGIES, default="shuffle")
     job("walks").add_argument("--mode", choices=MODES, default="all")
@@ -114,7 +117,11 @@ def run(spark: SparkSession, argv: list[str]) -> None:
     elif args.job == "path2":
         print("2-paths:", el.path2_cardinality(edges).first().path2_count)
     elif args.job == "path2-pairs":
-        pairs = el.path2_pairs(edges, args.keep_returns, args.strategy)
+        if args.block:
+            how = {"keep_returns": args.keep_returns, "folder": args.run}
+            pairs = el.path2_blocks(edges, args.block, **how).drop("block")
+        else:
+            pairs = el.path2_pairs(edges, args.keep_returns, args.strategy)
         el.write_delimited(pairs, args.output, args.out_sep)
     elif args.job == "triangles":
         found = el.triangle_count(edges, strategy=args.strategy)
@@ -123,8 +130,8 @@ def run(spark: SparkSession, argv: list[str]) -> None:
         print("closed walks:", el.closed_walks(edges, args.mode).first().hits)
     else:
         write_ranks(edges, args)
-        if args.run:  # whose edges may be those of an earlier job
-            return
+    if getattr(args, "run", None):  # whose edges may be those of an earlier job
+        return
     report(seen)
 
 

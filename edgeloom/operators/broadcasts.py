@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from edgeloom.operators.skew import task_count
+from edgeloom.storage import keep
 
 BROADCAST_ROWS = 2_000_000
 
@@ -22,3 +26,42 @@ def join_broadcast(left: DataFrame, right: DataFrame, key: str, spread: str) ->
     """
     tasks = task_count(left.sparkSession, BROADCAST_ROWS, 2**14, BROADCAST_ROWS)
     return left.repartition(tasks, key, spread).join(F.broadcast(right), key)
+
+
+def slab_count(right: DataFrame, key: str, max_rows: int) -> int | None:
+    """Slabs by hash of ``key`` so that each has at most ``max_rows`` rows; None if a key has more."""
+    counts = right.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    total, most = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.max("n"), F.lit(0))).first()
+    if most > max_rows:
+        return None
+    slabs = max(1, -(-total // max_rows))
+    while True:
+        sizes = counts.groupBy(_slab(key, slabs).alias("slab")).agg(F.sum("n").alias("n"))
+        if (sizes.agg(F.max("n")).first()[0] or 0) <= max_rows:
+            return slabs
+        slabs += -(-slabs // 4)
+
+
+def _slab(key: str, slabs: int):
+    return F.pmod(F.xxhash64(key), F.lit(slabs))
+
+
+def join_slabs(
+    left: DataFrame,
+    right: DataFrame,
+    key: str,
+    spread: str,
+    slabs: int,
+    finish: Callable[[DataFrame], DataFrame],
+) -> DataFrame:
+    """Inner join of a large left side with the slabs of ``right``, one map-side pass a slab.
+
+    ``finish`` shrinks the joined rows of a slab, which are written before the next one is broadcast, so
+    one slab is held at a time. A pass reads only the left rows of its slab's keys.
+    """
+    parts = []
+    for i in range(slabs):
+        mine = _slab(key, slabs) == i
+        joined = join_broadcast(left.where(mine), right.where(mine), key, spread)
+        parts.append(keep(finish(joined), f"slab-{i}"))
+    return reduce(DataFrame.unionByName, parts)

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+ROWS_PER_FILE = 2**24
+
 
 def as_edges(df: DataFrame, src: str, dst: str) -> DataFrame:
     """Two columns of any table as an edge list; rows without an id are left out.
@@ -29,6 +31,26 @@ def max_filter(edges: DataFrame, max_id: int | None) -> DataFrame:
     return edges.where((F.col("src") <= max_id) & (F.col("dst") <= max_id))
 
 
+def write_by_greatest(edges: DataFrame, path: str, rows_per_file: int = ROWS_PER_FILE) -> None:
+    """Write edges in the order of their greater id, so that a filter by ``max_id`` reads a part only.
+
+    Files and the row groups in them hold ranges of ``greatest``, a column of the table; parquet keeps the
+    least and greatest value of each. Edges of one greater id may fill several files.
+    """
+    columns = edges.select("src", "dst", F.greatest("src", "dst").alias("greatest"))
+    tasks = max(1, -(-columns.count() // rows_per_file))
+    placed = columns.repartitionByRange(tasks, "greatest", "src", "dst")
+    placed.sortWithinPartitions("greatest", "src", "dst").write.parquet(path)
+
+
+def read_up_to(spark: SparkSession, path: str, max_id: int | None) -> DataFrame:
+    """:func:`max_filter` of a table that :func:`write_by_greatest` wrote; the filter is pushed down."""
+    edges = spark.read.schema("src BIGINT, dst BIGINT, greatest BIGINT").parquet(path)
+    if max_id is not None:
+        edges = edges.where(F.col("greatest") <= max_id)
+    return edges.select("src", "dst")
+
+
 def reverse_edges(edges: DataFrame) -> DataFrame:
     return edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))
 

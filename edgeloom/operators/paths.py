@@ -2,14 +2,29 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from edgeloom.operators.broadcasts import BROADCAST_ROWS, fits_broadcast, join_broadcast
+from edgeloom.operators.broadcasts import (
+    BROADCAST_ROWS,
+    fits_broadcast,
+    join_broadcast,
+    join_slabs,
+    slab_count,
+)
 from edgeloom.operators.degrees import degree_in_out
 from edgeloom.operators.edges import max_filter, weighted_edges
-from edgeloom.operators.skew import PAIRS_PER_TASK, hot_limit, hot_pairs, split_join
-from edgeloom.storage import keep
+from edgeloom.operators.skew import (
+    PAIRS_PER_TASK,
+    hot_limit,
+    hot_pairs,
+    hot_rows,
+    split_join,
+    task_count,
+)
+from edgeloom.storage import RunFolder, keep
+
+PAIRS_PER_BLOCK = 2**32
 
 
 def path2_cardinality(edges: DataFrame, max_id: int | None = None) -> DataFrame:
@@ -37,33 +52,127 @@ def path2_pairs(
     Copies of an edge are merged into a weight first, so they cost nothing in
     the join. ``keep_returns`` keeps paths that end where they start.
     ``strategy="broadcast"`` ships one side whole to every task if it has at
-    most ``max_broadcast_rows`` edges and shuffles otherwise. The number of pairs
+    most ``max_broadcast_rows`` edges and shuffles otherwise; ``"slabs"`` ships a larger one by
+    slabs of at most so many, one after the other. The number of pairs
     grows with the sum of in-degree times out-degree; ``max_id`` bounds it by
-    leaving out edges with a greater id before anything is joined.
+    leaving out edges with a greater id before anything is joined, and :func:`path2_blocks` lists
+    the pairs in blocks.
     """
-    if strategy not in ("shuffle", "broadcast"):
+    if strategy not in STRATEGIES:
         raise ValueError(f"unknown strategy {strategy!r}")
     weighted = keep(weighted_edges(max_filter(edges, max_id)), "weighted")
-    ins = weighted.select(
+    ins, outs = _ins(weighted), _outs(weighted)
+    if strategy == "broadcast" and fits_broadcast(weighted, max_broadcast_rows):
+        return _summed(join_broadcast(ins, outs, "y", "x"), keep_returns)
+    if strategy == "slabs" and (slabs := slab_count(outs, "y", max_broadcast_rows)):
+        parts = join_slabs(ins, outs, "y", "x", slabs, lambda paths: _summed(paths, keep_returns))
+        return parts.groupBy("x", "z").agg(F.sum("paths").alias("paths"))
+    return _summed(_shuffled(ins, outs, pairs_per_task), keep_returns)
+
+
+STRATEGIES = ("shuffle", "broadcast", "slabs")
+
+
+def _ins(weighted: DataFrame) -> DataFrame:
+    return weighted.select(
         F.col("dst").alias("y"), F.col("src").alias("x"), F.col("m").alias("m_in")
     )
-    outs = weighted.select(
+
+
+def _outs(weighted: DataFrame) -> DataFrame:
+    return weighted.select(
         F.col("src").alias("y"), F.col("dst").alias("z"), F.col("m").alias("m_out")
     )
-    if strategy == "broadcast" and fits_broadcast(weighted, max_broadcast_rows):
-        paths = join_broadcast(ins, outs, "y", "x")
-    else:
-        degrees = degree_in_out(weighted).select(
-            F.col("node").alias("y"),
-            F.col("in_deg").alias("n_left"),
-            F.col("out_deg").alias("n_right"),
-        )
-        counts = keep(degrees, "counts")
-        limit = hot_limit(2 * weighted.count())
-        hot, tasks = hot_pairs(counts, "y", limit, pairs_per_task)
-        paths = split_join(ins, outs, "y", ("x", "z"), hot, tasks)
+
+
+def _summed(paths: DataFrame, keep_returns: bool) -> DataFrame:
     if not keep_returns:
         paths = paths.where("x <> z")
     return paths.groupBy("x", "z").agg(
         F.sum(F.col("m_in") * F.col("m_out")).alias("paths")
     )
+
+
+def _shuffled(ins: DataFrame, outs: DataFrame, pairs_per_task: int) -> DataFrame:
+    """The join by ``y`` with hot nodes cut into a grid."""
+    nothing = F.lit(0).cast("bigint")
+    both = (
+        ins.groupBy("y").agg(F.count(F.lit(1)).alias("n_left")).withColumn("n_right", nothing)
+    ).unionByName(
+        outs.groupBy("y").agg(F.count(F.lit(1)).alias("n_right")).withColumn("n_left", nothing)
+    )
+    counts = keep(
+        both.groupBy("y").agg(F.sum("n_left").alias("n_left"), F.sum("n_right").alias("n_right")), "counts"
+    )
+    rows = counts.agg(F.coalesce(F.sum(F.col("n_left") + F.col("n_right")), F.lit(0))).first()[0]
+    hot, tasks = hot_pairs(counts, "y", hot_limit(rows), pairs_per_task)
+    return split_join(ins, outs, "y", ("x", "z"), hot, tasks)
+
+
+def _pairs_of_starts(weighted: DataFrame) -> DataFrame:
+    """``(x, pairs)``: joined rows that begin at each node."""
+    outs = weighted.groupBy(F.col("src").alias("y")).agg(F.count(F.lit(1)).alias("pairs"))
+    ins = weighted.select(F.col("dst").alias("y"), F.col("src").alias("x"))
+    counts = ins.groupBy("y").agg(F.count(F.lit(1)).alias("n_left")).withColumn("n_right", F.lit(1))
+    met = split_join(ins, outs, "y", ("x", "y"), hot_rows(counts, "y", hot_limit(weighted.count())))
+    return met.groupBy("x").agg(F.sum("pairs").alias("pairs"))
+
+
+def plan_blocks(weighted: DataFrame, pairs_per_block: int) -> list[tuple[int, int, int]]:
+    """``(first x, last x, pairs)`` of ranges of start nodes, in order.
+
+    A range ends where the running sum of pairs passes the next multiple of
+    ``pairs_per_block``, so it has less than that and its last node's pairs. Running sums are taken
+    inside ranges of the node table, which one row each puts together; one row for each
+    block comes to the driver, which runs a job for each.
+    """
+    spark = weighted.sparkSession
+    starts = keep(_pairs_of_starts(weighted), "starts")
+    tasks = task_count(spark, starts.count(), 2**17, 2**21)
+    placed = keep(
+        starts.repartitionByRange(tasks, "x").withColumn("range_no", F.spark_partition_id()), "ranges"
+    )
+    before = Window.orderBy("range_no").rowsBetween(Window.unboundedPreceding, -1)
+    sums = placed.groupBy("range_no").agg(F.sum("pairs").alias("s"))
+    offsets = sums.select("range_no", F.coalesce(F.sum("s").over(before), F.lit(0)).alias("earlier"))
+    inside = Window.partitionBy("range_no").orderBy("x").rowsBetween(Window.unboundedPreceding, -1)
+    running = F.coalesce(F.sum("pairs").over(inside), F.lit(0)) + F.col("earlier")
+    cut = (
+        placed.join(F.broadcast(offsets), "range_no")
+        .withColumn("running", running)
+        .withColumn("block", F.expr(f"running div {pairs_per_block}"))
+    )
+    blocks = cut.groupBy("block").agg(F.min("x"), F.max("x"), F.sum("pairs")).orderBy("block")
+    return [tuple(row)[1:] for row in blocks.collect()]
+
+
+def path2_blocks(
+    edges: DataFrame,
+    pairs_per_block: int = PAIRS_PER_BLOCK,
+    keep_returns: bool = False,
+    max_id: int | None = None,
+    folder: str | None = None,
+    pairs_per_task: int = PAIRS_PER_TASK,
+) -> DataFrame:
+    """``(x, z, paths, block)`` as :func:`path2_pairs` gives it, written block by block.
+
+    Blocks are ranges of x planned from degree products, so the pairs that are joined at a time have a
+    bound. Each block is marked when it is written; a listing that is started again with its ``folder``
+    goes on with the first block that is not.
+    """
+    spark = edges.sparkSession
+    run = RunFolder(spark, folder, "path2")
+    if facts := run.facts("plan"):
+        weighted = spark.read.parquet(run.path("weighted"))
+    else:
+        weighted = run.write("weighted", weighted_edges(max_filter(edges, max_id)))
+        facts = run.mark("plan", blocks=plan_blocks(weighted, pairs_per_block))
+    for i, (first, last, _) in enumerate(facts["blocks"]):
+        if run.facts(f"pairs/block={i}") is None:
+            ins = _ins(weighted.where(F.col("src").between(first, last)))
+            paths = _shuffled(ins, _outs(weighted), pairs_per_task)
+            run.write(f"pairs/block={i}", _summed(paths, keep_returns))
+    schema = "x BIGINT, z BIGINT, paths BIGINT, block BIGINT"
+    if not facts["blocks"]:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(run.path("pairs"))

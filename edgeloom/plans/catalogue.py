@@ -16,6 +16,9 @@ CHAIN_LENGTH = 100
 SPLIT_LENGTH = 50
 SPLIT_ROWS = 1000
 EDGES_PER_TRIPLE = 20_000
+SLAB_ROWS = 50_000
+PAIRS_PER_BLOCK = 2**20
+ROWS_PER_FILE = 100_000
 ROUNDS = 3
 
 
@@ -60,6 +63,13 @@ def max_filter_hops(spark, sf_dir):
     return el.max_filter(g.hops(spark, sf_dir), MAX_ID)
 
 
+def max_filter_layout(spark, sf_dir):
+    """The filter over a table in the order of the greater id, which is read in part."""
+    path = new_path(spark, "by_greatest")
+    el.write_by_greatest(g.follows(spark, sf_dir), path, ROWS_PER_FILE)
+    return el.read_up_to(spark, path, MAX_ID)
+
+
 def reverse_edges(spark, sf_dir):
     return el.reverse_edges(g.follows(spark, sf_dir))
 
@@ -118,6 +128,16 @@ def path2_pairs_broadcast(spark, sf_dir):
     return el.path2_pairs(g.hops(spark, sf_dir), keep_returns=True, strategy="broadcast")
 
 
+def path2_pairs_slabs(spark, sf_dir):
+    return el.path2_pairs(g.hops(spark, sf_dir), strategy="slabs", max_broadcast_rows=SLAB_ROWS)
+
+
+def path2_pairs_blocks(spark, sf_dir):
+    """The listing in blocks of a bounded number of pairs, each written on its own."""
+    blocks = el.path2_blocks(g.hops(spark, sf_dir), pairs_per_block=PAIRS_PER_BLOCK)
+    return blocks.drop("block")
+
+
 def closed_walks_hops(spark, sf_dir):
     return _bigint(el.closed_walks(g.hops(spark, sf_dir), "all"))
 
@@ -345,6 +365,9 @@ QUERIES = {
         path2_pairs,
         path2_pairs_all,
         path2_pairs_broadcast,
+        path2_pairs_slabs,
+        path2_pairs_blocks,
+        max_filter_layout,
         closed_walks_hops,
         closed_walks_semi_hops,
         closed_walks_set_hops,

@@ -220,6 +220,9 @@ GROUP BY node""",
     "path2_pairs": path2_pairs("AND a.src <> b.dst"),
     "path2_pairs_all": path2_pairs(""),
     "path2_pairs_broadcast": path2_pairs(""),
+    "path2_pairs_slabs": path2_pairs("AND a.src <> b.dst"),
+    "path2_pairs_blocks": path2_pairs("AND a.src <> b.dst"),
+    "max_filter_layout": over(FOLLOWS, "SELECT src, dst FROM follows WHERE src <= 100 AND dst <= 100"),
     "closed_walks_hops": over(
         HOPS,
         """

@@ -129,3 +129,25 @@ def test_chain_over_a_table_that_ends_within_a_chain(spark):
     nodes = spark.range(1, 6).selectExpr("id AS node")
     rows = sorted(tuple(r) for r in el.chain_edges(nodes, 2).collect())
     assert rows == [(1, 2), (2, 0), (3, 4), (4, 0), (5, 0)]
+
+
+def test_layout_by_the_greater_id_is_read_in_part(spark, edges_of, tmp_path):
+    from pyarrow import parquet
+
+    edges = [(i % 997, i % 13 * 40) for i in range(5000)]
+    path = str(tmp_path / "t")
+    el.write_by_greatest(edges_of(edges), path, rows_per_file=500)
+    for limit in (None, 0, 100, 10**6):
+        want = sorted(e for e in edges if limit is None or max(e) <= limit)
+        assert sorted(map(tuple, el.read_up_to(spark, path, limit).collect())) == want
+    ends = []
+    for file in (tmp_path / "t").glob("*.parquet"):
+        groups = parquet.ParquetFile(file).metadata
+        for i in range(groups.num_row_groups):
+            known = groups.row_group(i).column(2).statistics
+            ends.append((known.min, known.max))
+    ends.sort()
+    assert len(ends) >= 10 and all(a[1] <= b[0] for a, b in zip(ends, ends[1:]))
+    plan = el.read_up_to(spark, path, 100)._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(greatest), LessThanOrEqual(greatest,100)]" in plan
+    assert sum(a <= 100 for a, _ in ends) < len(ends) / 3

@@ -2,6 +2,9 @@ import brute
 import pytest
 
 import edgeloom as el
+from edgeloom import storage
+from edgeloom.operators import broadcasts, paths
+from edgeloom.storage import keep
 
 
 def pairs_of(df):
@@ -53,6 +56,46 @@ def test_broadcast_and_its_fallback_agree(edges_of):
     assert "BroadcastHashJoin [y" in small._jdf.queryExecution().toString()
 
 
+def test_slabs_of_a_bounded_size(spark, edges_of, monkeypatch):
+    edges = brute.multigraph(1, nodes=40, edges=300)
+    df = edges_of(edges)
+    sizes, join = [], broadcasts.join_broadcast
+    monkeypatch.setattr(broadcasts, "join_broadcast", lambda a, b, *k: sizes.append(b.count()) or join(a, b, *k))
+    got = el.path2_pairs(df, strategy="slabs", max_broadcast_rows=30)
+    assert pairs_of(got) == brute.path2(edges, False)
+    assert len(sizes) > 5 and max(sizes) <= 30 and sum(sizes) == len(set(edges))
+    # A node with more edges than a slab may hold leaves the join to the other way.
+    assert broadcasts.slab_count(edges_of(brute.hub_graph()), "src", 20) is None
+    assert pairs_of(el.path2_pairs(edges_of([]), strategy="slabs")) == {}
+
+
+@pytest.mark.parametrize("returns", [False, True])
+def test_blocks_have_bounded_pairs_and_go_on(edges_of, tmp_path, monkeypatch, returns):
+    edges = brute.hub_graph(80, 40)
+    weighted = keep(el.weighted_edges(edges_of(edges)), "weighted")
+    links = set(edges)
+    of = {x: sum(1 for a, b in links for c, _ in links if a == x and b == c) for x, _ in links}
+    blocks = paths.plan_blocks(weighted, 300)
+    assert len(blocks) > 3 and sum(n for *_, n in blocks) == sum(of.values())
+    for first, last, n in blocks:
+        inside = [of[x] for x in of if first <= x <= last]
+        assert n == sum(inside) and n < 300 + max(inside)
+
+    done, shuffled = [], paths._shuffled
+    monkeypatch.setattr(paths, "_shuffled", lambda *a: done.append(1) or shuffled(*a))
+    folder = str(tmp_path / "run")
+    got = el.path2_blocks(edges_of(edges), 300, returns, folder=folder)
+    want = brute.path2(edges, returns)
+    assert pairs_of(got) == want and got.select("block").distinct().count() <= len(done) == len(blocks)
+    storage.RunFolder(got.sparkSession, folder).drop("pairs/block=2/_whole")
+    assert pairs_of(el.path2_blocks(edges_of(edges), 300, returns, folder=folder)) == want
+    assert len(done) == len(blocks) + 1
+
+
+def test_blocks_of_no_edges(edges_of):
+    assert el.path2_blocks(edges_of([])).collect() == []
+
+
 def test_cardinality_is_the_sum_of_all_pairs(edges_of):
     df = edges_of(brute.multigraph(2))
     total = sum(pairs_of(el.path2_pairs(df, keep_returns=True)).values())
