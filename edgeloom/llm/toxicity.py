@@ -11,11 +11,11 @@ lower case, known by 64-bit hashes. Besides the words, their beginnings of 3 to
 count, which pool the evidence of rare forms. Each counts once for each text. A word or
 beginning is left to the regression if its share among the positive training texts
 differs from that among the others by at least ``MIN_Z`` standard errors, however few texts
-hold it; weight decay, a normal prior, keeps the weights of rare ones small. Of
-more than ``MOST_WORDS`` those of the largest difference are taken.
+hold it and however many there are; weight decay, a normal prior, keeps the weights of rare ones small.
 
 The model is fitted on the driver to at most ``SAMPLE`` labelled rows, chosen by hash
-of the id; equal texts train once. Prediction reads all whole texts in
+of the id, of which the first count whose texts have ``SAMPLE_CHARACTERS`` together; so
+what the driver holds has a bound, however long texts are. Texts train as a whole, equal ones once. Prediction reads all whole texts in
 tasks, without a shuffle. Null and empty texts have no words and get the model's base
 rate. Labelled ids without a document, null labels and rows without an id do not
 train. Without any training row, probabilities are 0. Repeated rows get equal results;
@@ -28,18 +28,19 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from edgeloom.llm.decontam import IS_WORD
-from edgeloom.llm.textblocks import mix, row_blocks, runs, utf8, word_hashes
+from edgeloom.llm.textblocks import lean, mix, row_blocks, runs, utf8, word_hashes
+from edgeloom.storage import keep
 
 SAMPLE = 8000
 FOLDS = 5
 BEGINNINGS = (3, 4, 5, 6)
 MIN_Z = 3.0
-MOST_WORDS = 2**16
+SAMPLE_CHARACTERS = 2**25
 ROUNDS, RATE, DECAY = 150, 0.2, 2.0
 COLUMN = "__toxicity"
 
@@ -108,10 +109,7 @@ def _select(codes: np.ndarray, rows: np.ndarray, truth: np.ndarray, size: int) -
     share = total / max(n, 1)
     error = np.sqrt(share * (1 - share) * (1 / positive + 1 / max(n - positive, 1))) + 1e-12
     z = (inside / positive - (total - inside) / max(n - positive, 1)) / error
-    good = np.flatnonzero(np.abs(z) >= MIN_Z)
-    if len(good) > MOST_WORDS:
-        good = good[np.argsort(-np.abs(z[good]), kind="stable")[:MOST_WORDS]]
-    return np.sort(good)
+    return np.flatnonzero(np.abs(z) >= MIN_Z)
 
 
 def fit_linear(
@@ -196,9 +194,15 @@ def fit(categories: list[str], words: list[np.ndarray], truth: np.ndarray, folds
 
 
 def training_rows(
-    docs: DataFrame, labels: DataFrame, categories: list[str], key: str, text: str, most: int
+    docs: DataFrame,
+    labels: DataFrame,
+    categories: list[str],
+    key: str,
+    text: str,
+    most: int,
+    characters: int = SAMPLE_CHARACTERS,
 ) -> tuple[list[np.ndarray], np.ndarray]:
-    """Distinct words and labels of at most ``most`` rows, equal texts once."""
+    """Distinct words and labels of at most ``most`` rows and ``characters``, equal texts once."""
     known = labels.where(F.col(key).isNotNull())
     for c in categories:
         known = known.where(F.col(c).isNotNull())
@@ -208,7 +212,16 @@ def training_rows(
         .orderBy(F.xxhash64("id"), "id")
         .limit(most)
     )
-    # The limit bounds the broadcast; repeated rows of an id fold into one text.
+    # The limit bounds the broadcast, and the rows of the window; of repeated rows of an id all count.
+    sizes = (
+        docs.select(F.col(key).alias("id"), F.length(text).alias("size"))
+        .join(F.broadcast(chosen), "id")
+        .groupBy("id")
+        .agg(F.sum("size").alias("size"))
+    )
+    running = F.sum("size").over(Window.orderBy(F.xxhash64("id"), "id"))
+    fits = sizes.withColumn("running", running).where(F.coalesce("running", F.lit(0)) <= characters)
+    chosen = keep(chosen.join(fits.select("id"), "id", "left_semi"), "chosen")
     names = [f"c{i}" for i in range(len(categories))]
     found = (
         docs.select(F.col(key).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
@@ -278,5 +291,5 @@ def score(docs: DataFrame, chain: Chain, text: str = "text") -> DataFrame:
             column = pa.StructArray.from_arrays(arrays, names=[f.name for f in fields])
             yield pa.RecordBatch.from_arrays([*batch.columns, column], names=schema.names)
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(lean(run), schema)
 

@@ -502,6 +502,18 @@ def test_chain_finds_planted_categories(spark):
     assert not toxicity.score(docs, none).first()["__toxicity"].rude
 
 
+def test_training_rows_have_a_bound_in_characters(spark):
+    rows = [(i, f"word{i} " * (20_000 if i % 10 == 0 else 20)) for i in range(200)]
+    labels = spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id BIGINT, bad INT")
+    texts = table(spark, [*rows, (7, "again"), (3, None)])
+    words, truth = toxicity.training_rows(texts, labels, ["bad"], "doc_id", "text", 8000, 10**9)
+    assert len(words) == 202 and truth.shape == (202, 1)
+    some, _ = toxicity.training_rows(texts, labels, ["bad"], "doc_id", "text", 8000, 400_000)
+    assert 5 < len(some) < 60
+    names = {tuple(w.tolist()) for w in words}
+    assert all(tuple(w.tolist()) in names for w in some)  # whole texts
+
+
 def test_rare_forms_of_a_second_language_are_found(spark):
     draw = random.Random(12)
     parts = ["ka", "lo", "mi", "tu", "re", "sa", "no", "vé", "di", "po"]
