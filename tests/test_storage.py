@@ -1,6 +1,15 @@
 import pytest
 
-from edgeloom.storage import SETTING, keep, new_path, shared_folder, use_local_folder
+from edgeloom.storage import (
+    SETTING,
+    BucketedTable,
+    RunFolder,
+    delete,
+    keep,
+    new_path,
+    shared_folder,
+    use_local_folder,
+)
 
 
 class Conf(dict):
@@ -49,3 +58,42 @@ def test_kept_tables_have_their_own_paths_and_the_same_rows(spark):
     assert table.schema.names == df.schema.names
     assert sorted(table.collect()) == sorted(df.collect())
     assert new_path(spark, "t").startswith(shared_folder(spark))
+
+
+def test_only_own_tables_can_be_deleted(spark, tmp_path):
+    path = new_path(spark, "t")
+    spark.range(3).write.parquet(path)
+    delete(spark, path)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)
+    with pytest.raises(ValueError, match="shared folder"):
+        delete(spark, str(tmp_path))
+
+
+def test_tables_of_a_run_count_when_they_are_marked(spark, tmp_path):
+    run = RunFolder(spark, str(tmp_path / "run"))
+    assert run.facts("t") is None and run.rounds() == []
+    table = run.write("t", spark.range(5), note="x")
+    assert RunFolder(spark, run.folder).facts("t") == {"note": "x"} and table.count() == 5
+    for i in (0, 2, 10):
+        run.write(run.round(i), spark.range(i).withColumnRenamed("id", "n"))
+    spark.range(4).write.parquet(run.path(run.round(11)))
+    assert run.rounds() == [0, 2, 10]
+    rows = run.all_rounds("n BIGINT").groupBy("iteration").count().collect()
+    assert sorted(map(tuple, rows)) == [(2, 2), (10, 10), (11, 4)]
+    run.drop("t")
+    assert run.facts("t") is None
+
+
+def test_a_bucketed_table_is_found_again(spark, tmp_path):
+    run = RunFolder(spark, str(tmp_path / "run"))
+    rows = spark.range(1000).selectExpr("id % 37 AS a", "CAST(id % 3 AS INT) AS b", "id AS c")
+    first = BucketedTable(run, "t", ["a", "b"], 5)
+    assert first.write(rows, size=1).count() == 1000
+    first.close()
+    again = BucketedTable(run, "t", ["a", "b"], run.facts("t")["buckets"])
+    table = again.read("a BIGINT, b INT, c BIGINT")
+    assert sorted(table.collect()) == sorted(rows.collect())
+    sums = table.groupBy("a", "b").sum("c")
+    assert "Exchange" not in sums._jdf.queryExecution().executedPlan().toString()
+    again.close()
