@@ -63,6 +63,7 @@ HOT_BITS = 17
 BROADCAST_ROWS = 2**20
 SEEN = 2**20
 FLUSH_ROWS = 2**16
+EARLIER = 32
 # Classes of a sketch, one byte each; a full byte rules nothing out.
 SKETCH = 256
 
@@ -298,7 +299,8 @@ def _candidates(shared: DataFrame, labels: DataFrame, orders: int, percent: int)
     """``(a, b)`` that share a prefix token under every order, in different components.
 
     Of each token, rows of the shorter prefix (``a``) meet rows of larger or equal sets
-    (``b``); those of the token's largest component only meet the nodes outside it.
+    (``b``); those of the token's largest component only meet the nodes outside it. A pair is met at the first
+    token it shares of each order, and seldom at others.
     """
     columns = ["size", "pos", "first"]
     labelled = shared.join(_small(labels), "node", "left").select(
@@ -312,15 +314,18 @@ def _candidates(shared: DataFrame, labels: DataFrame, orders: int, percent: int)
     tops = parts.groupBy("token").agg(F.max(F.struct("n", "label")).alias("top"))
     tops = keep(tops.select("token", F.col("top.label").alias("top")), "open_tokens")
     rows = rows.join(_small(tops), "token").withColumn("outside", label != F.col("top")).drop("top")
-    rows = keep(rows, "open_rows")
+    rows = keep(_with_earlier(rows), "open_rows")
 
     def side(name: str, part: DataFrame) -> DataFrame:
-        return part.select("token", *(F.col(c).alias(f"{name}_{c}") for c in ("node", "label", "size", "pos")))
+        kept = ("node", "label", "size", "pos", "earlier")
+        return part.select("token", *(F.col(c).alias(f"{name}_{c}") for c in kept))
 
     def met(a: DataFrame, b: DataFrame) -> DataFrame:
         larger = (F.col("a_size") <= F.col("b_size")) & (F.col("a_label") != F.col("b_label"))
+        # A pair that shares an earlier token of this order is met there.
+        new = ~F.arrays_overlap("a_earlier", "b_earlier")
         pairs = side("a", a).join(side("b", b).hint("merge"), "token")
-        return pairs.where(larger & _close("a_", "b_", percent)).select(
+        return pairs.where(larger & _close("a_", "b_", percent) & new).select(
             F.least("a_node", "b_node").alias("a"),
             F.greatest("a_node", "b_node").alias("b"),
             "token",
@@ -332,6 +337,18 @@ def _candidates(shared: DataFrame, labels: DataFrame, orders: int, percent: int)
     return _under_all(pairs, "a", "b", orders)
 
 
+def _with_earlier(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``earlier``: the last ``EARLIER`` tokens of the row's set and order before its own.
+
+    The rows of a set and order, a prefix at most, meet once. Where two sets share a token, an earlier
+    one that they share is among the rows of both, is in the shorter prefix as well, and leaves more
+    behind it, so the pair is met there; the first they share is never left out.
+    """
+    order = F.col("token").bitwiseAND(15)
+    before = Window.partitionBy("node", order).orderBy("pos").rowsBetween(-EARLIER, -1)
+    return rows.withColumn("earlier", F.collect_list("token").over(before))
+
+
 def sketch(shingles: np.ndarray) -> bytes:
     """How many tokens fall in each class, at most 255."""
     counts = np.bincount((shingles % np.uint64(SKETCH)).astype(np.int64), minlength=SKETCH)
