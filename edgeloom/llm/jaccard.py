@@ -63,7 +63,7 @@ HOT_BITS = 17
 BROADCAST_ROWS = 2**20
 SEEN = 2**20
 FLUSH_ROWS = 2**16
-EARLIER = 32
+EARLIER = 4
 # Classes of a sketch, one byte each; a full byte rules nothing out.
 SKETCH = 256
 
