@@ -9,9 +9,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from edgeloom.operators.skew import task_count
-from edgeloom.storage import keep
+from edgeloom.storage import keep, new_path, parts_apart
 
 BROADCAST_ROWS = 2_000_000
+SLABS_PER_PASS = 40
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
@@ -19,13 +20,22 @@ def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
     return df.count() <= max_rows
 
 
-def join_broadcast(left: DataFrame, right: DataFrame, key: str, spread: str) -> DataFrame:
+def join_broadcast(
+    left: DataFrame,
+    right: DataFrame,
+    key: str,
+    spread: str,
+    shape: Callable[[DataFrame], DataFrame] | None = None,
+    at_a_time: int = 1,
+) -> DataFrame:
     """Inner join of two tables that :func:`fits_broadcast` has accepted.
 
-    Each left row may meet many right rows, so the left rows are dealt out.
+    Each left row may meet many right rows, so the left rows are dealt out. ``shape`` is
+    what the right side is made into before it is shipped; ``at_a_time`` such joins run in one job.
     """
     tasks = task_count(left.sparkSession, BROADCAST_ROWS, 2**14, BROADCAST_ROWS)
-    return left.repartition(tasks, key, spread).join(F.broadcast(right), key)
+    dealt = left.repartition(-(-tasks // at_a_time), key, spread)
+    return dealt.join(F.broadcast(shape(right) if shape else right), key)
 
 
 def slab_count(right: DataFrame, key: str, max_rows: int) -> int | None:
@@ -52,16 +62,40 @@ def join_slabs(
     key: str,
     spread: str,
     slabs: int,
-    finish: Callable[[DataFrame], DataFrame],
+    max_rows: int,
+    shape: Callable[[DataFrame], DataFrame],
 ) -> DataFrame:
-    """Inner join of a large left side with the slabs of ``right``, one map-side pass a slab.
+    """Inner join of a large left side with the slabs of ``right``, each joined on the map side.
 
-    ``finish`` shrinks the joined rows of a slab, which are written before the next one is broadcast, so
-    one slab is held at a time. A pass reads only the left rows of its slab's keys.
+    Both sides are written by slab first, so a pass reads only its own rows. Its joined rows are written
+    before the next one; a pass ships as many slabs of ``max_rows`` as ``BROADCAST_ROWS`` allows, one at least.
     """
-    parts = []
-    for i in range(slabs):
-        mine = _slab(key, slabs) == i
-        joined = join_broadcast(left.where(mine), right.where(mine), key, spread)
-        parts.append(keep(finish(joined), f"slab-{i}"))
-    return reduce(DataFrame.unionByName, parts)
+    lefts, rights = _by_slab(left, key, spread, slabs, "left"), _by_slab(right, key, None, slabs, "right")
+    many = min(SLABS_PER_PASS, max(1, BROADCAST_ROWS // max_rows))
+    passes = []
+    for start in range(0, slabs, many):
+        now = range(start, min(slabs, start + many))
+        joined = [
+            join_broadcast(
+                lefts.where(F.col("slab") == i).drop("slab"),
+                rights.where(F.col("slab") == i).drop("slab"),
+                key,
+                spread,
+                shape,
+                len(now),
+            ).drop(key)
+            for i in now
+        ]
+        with parts_apart(left.sparkSession):
+            passes.append(keep(reduce(DataFrame.unionByName, joined), f"slabs-{start}"))
+    return reduce(DataFrame.unionByName, passes)
+
+
+def _by_slab(df: DataFrame, key: str, spread: str | None, slabs: int, name: str) -> DataFrame:
+    """``df`` written with a folder for each slab; by ``spread`` too, a slab fills several files."""
+    placed = df.withColumn("slab", _slab(key, slabs).cast("int"))
+    tasks = task_count(df.sparkSession, df.count(), 2**16, 2**20)
+    also = [F.pmod(F.xxhash64(spread), F.lit(8))] if spread and slabs < tasks else []
+    path = new_path(df.sparkSession, name)
+    placed.repartition(tasks, "slab", *also).write.partitionBy("slab").parquet(path)
+    return df.sparkSession.read.schema(placed.schema).parquet(path)

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -14,17 +18,25 @@ from edgeloom.operators.broadcasts import (
 )
 from edgeloom.operators.degrees import degree_in_out
 from edgeloom.operators.edges import max_filter, weighted_edges
-from edgeloom.operators.skew import (
-    PAIRS_PER_TASK,
-    hot_limit,
-    hot_pairs,
-    hot_rows,
-    split_join,
-    task_count,
+from edgeloom.operators.lists import (
+    LIST_LEN,
+    PAIRS_PER_DEAL,
+    as_lists,
+    deal_tasks,
+    heavy_starts,
+    join_lists,
+    pair_counts,
+    pairs_of_starts,
+    sums_by_pair,
 )
-from edgeloom.storage import RunFolder, keep
+from edgeloom.operators.skew import PAIRS_PER_TASK, task_count
+from edgeloom.storage import RunFolder, keep, parts_apart
 
 PAIRS_PER_BLOCK = 2**32
+# Small blocks are written so many pairs, and so many blocks, at a time.
+PAIRS_PER_WAVE = 2**26
+BLOCKS_PER_WAVE = 64
+LISTS = "x BIGINT, m_in BIGINT, ids ARRAY<BIGINT>, copies ARRAY<BIGINT>"
 
 
 def path2_cardinality(edges: DataFrame, max_id: int | None = None) -> DataFrame:
@@ -64,10 +76,13 @@ def path2_pairs(
     ins, outs = _ins(weighted), _outs(weighted)
     if strategy == "broadcast" and fits_broadcast(weighted, max_broadcast_rows):
         return _summed(join_broadcast(ins, outs, "y", "x"), keep_returns)
+    counts = pair_counts(ins, outs)
+    heavy, total = heavy_starts(keep(pairs_of_starts(ins, counts), "starts"), pairs_per_task)
     if strategy == "slabs" and (slabs := slab_count(outs, "y", max_broadcast_rows)):
-        parts = join_slabs(ins, outs, "y", "x", slabs, lambda paths: _summed(paths, keep_returns))
-        return parts.groupBy("x", "z").agg(F.sum("paths").alias("paths"))
-    return _summed(_shuffled(ins, outs, pairs_per_task), keep_returns)
+        lists = join_slabs(ins, outs, "y", "x", slabs, max_broadcast_rows, _slab_lists)
+    else:
+        lists = join_lists(ins, outs, counts, pairs_per_task)
+    return _shuffled(lists, heavy, deal_tasks(weighted, total), keep_returns)
 
 
 STRATEGIES = ("shuffle", "broadcast", "slabs")
@@ -93,29 +108,17 @@ def _summed(paths: DataFrame, keep_returns: bool) -> DataFrame:
     )
 
 
-def _shuffled(ins: DataFrame, outs: DataFrame, pairs_per_task: int) -> DataFrame:
-    """The join by ``y`` with hot nodes cut into a grid."""
-    nothing = F.lit(0).cast("bigint")
-    both = (
-        ins.groupBy("y").agg(F.count(F.lit(1)).alias("n_left")).withColumn("n_right", nothing)
-    ).unionByName(
-        outs.groupBy("y").agg(F.count(F.lit(1)).alias("n_right")).withColumn("n_left", nothing)
-    )
-    counts = keep(
-        both.groupBy("y").agg(F.sum("n_left").alias("n_left"), F.sum("n_right").alias("n_right")), "counts"
-    )
-    rows = counts.agg(F.coalesce(F.sum(F.col("n_left") + F.col("n_right")), F.lit(0))).first()[0]
-    hot, tasks = hot_pairs(counts, "y", hot_limit(rows), pairs_per_task)
-    return split_join(ins, outs, "y", ("x", "z"), hot, tasks)
+def _shuffled(lists: DataFrame, heavy: DataFrame | None, tasks: int, keep_returns: bool) -> DataFrame:
+    """``(x, z, paths)`` from the lists that start nodes met."""
+    paths = F.sum(F.col("m_in") * F.col("m_out")).alias("paths")
+    return sums_by_pair(lists, heavy, tasks, keep_returns, paths)
 
 
-def _pairs_of_starts(weighted: DataFrame) -> DataFrame:
-    """``(x, pairs)``: joined rows that begin at each node."""
-    outs = weighted.groupBy(F.col("src").alias("y")).agg(F.count(F.lit(1)).alias("pairs"))
-    ins = weighted.select(F.col("dst").alias("y"), F.col("src").alias("x"))
-    counts = ins.groupBy("y").agg(F.count(F.lit(1)).alias("n_left")).withColumn("n_right", F.lit(1))
-    met = split_join(ins, outs, "y", ("x", "y"), hot_rows(counts, "y", hot_limit(weighted.count())))
-    return met.groupBy("x").agg(F.sum("pairs").alias("pairs"))
+def _slab_lists(outs: DataFrame) -> DataFrame:
+    """The lists of a slab, put together by one task."""
+    at = F.row_number().over(Window.partitionBy("y").orderBy("z")) - 1
+    parted = outs.coalesce(1).withColumn("part", F.floor(at / LIST_LEN))
+    return as_lists(parted).drop("part")
 
 
 def plan_blocks(weighted: DataFrame, pairs_per_block: int) -> list[tuple[int, int, int]]:
@@ -127,7 +130,8 @@ def plan_blocks(weighted: DataFrame, pairs_per_block: int) -> list[tuple[int, in
     block comes to the driver, which runs a job for each.
     """
     spark = weighted.sparkSession
-    starts = keep(_pairs_of_starts(weighted), "starts")
+    ins = _ins(weighted)
+    starts = keep(pairs_of_starts(ins, pair_counts(ins, _outs(weighted))), "starts")
     tasks = task_count(spark, starts.count(), 2**17, 2**21)
     placed = keep(
         starts.repartitionByRange(tasks, "x").withColumn("range_no", F.spark_partition_id()), "ranges"
@@ -156,9 +160,10 @@ def path2_blocks(
 ) -> DataFrame:
     """``(x, z, paths, block)`` as :func:`path2_pairs` gives it, written block by block.
 
-    Blocks are ranges of x planned from degree products, so the pairs that are joined at a time have a
-    bound. Each block is marked when it is written; a listing that is started again with its ``folder``
-    goes on with the first block that is not.
+    Blocks are ranges of x planned from degree products. The join writes lists, which are short, by
+    block; of the pairs that they unfold to, a block's are made at a time, or those of several small blocks up
+    to ``PAIRS_PER_WAVE``. Each block is marked when it is written; a listing that is started again with its
+    ``folder`` goes on with the blocks that are not.
     """
     spark = edges.sparkSession
     run = RunFolder(spark, folder, "path2")
@@ -167,12 +172,66 @@ def path2_blocks(
     else:
         weighted = run.write("weighted", weighted_edges(max_filter(edges, max_id)))
         facts = run.mark("plan", blocks=plan_blocks(weighted, pairs_per_block))
-    for i, (first, last, _) in enumerate(facts["blocks"]):
-        if run.facts(f"pairs/block={i}") is None:
-            ins = _ins(weighted.where(F.col("src").between(first, last)))
-            paths = _shuffled(ins, _outs(weighted), pairs_per_task)
-            run.write(f"pairs/block={i}", _summed(paths, keep_returns))
+    blocks = facts["blocks"]
     schema = "x BIGINT, z BIGINT, paths BIGINT, block BIGINT"
-    if not facts["blocks"]:
+    if not blocks:
         return spark.createDataFrame([], schema)
+    waiting = [i for i in range(len(blocks)) if run.facts(f"pairs/block={i}") is None]
+    if waiting:
+        _write_lists(run, weighted, blocks, waiting, pairs_per_task)
+        for wave in _waves(blocks, waiting):
+            parts = []
+            for i in wave:
+                run.drop(f"pairs/block={i}")
+                lists, pairs, heavy = spark.read.schema(LISTS).parquet(run.path(f"lists/block={i}")), blocks[i][2], None
+                if pairs > pairs_per_task:
+                    sizes = lists.groupBy("x").agg(F.sum(F.size("ids")).alias("pairs"))
+                    heavy, _ = heavy_starts(keep(sizes, "starts"), pairs_per_task)
+                tasks = -(-pairs // PAIRS_PER_DEAL) if pairs > PAIRS_PER_DEAL else 1
+                paths = _shuffled(lists, heavy, tasks, keep_returns)
+                parts.append(paths.withColumn("block", F.lit(i).cast("bigint")))
+            whole = reduce(DataFrame.unionByName, parts)
+            with parts_apart(spark):
+                whole.write.mode("append").partitionBy("block").parquet(run.path("pairs"))
+            for i in wave:
+                run.mark(f"pairs/block={i}")
+        run.drop("lists")
     return spark.read.schema(schema).parquet(run.path("pairs"))
+
+
+def _write_lists(run: RunFolder, weighted: DataFrame, blocks: list, waiting: list, pairs_per_task: int) -> None:
+    """The lists of the ``waiting`` blocks, each block in a folder of its own; one join for all."""
+    known = run.facts("lists")
+    if known and set(waiting) <= set(known["blocks"]):
+        return
+    firsts = np.array([first for first, _, _ in blocks])
+    todo = np.isin(np.arange(len(blocks)), waiting)
+
+    @F.pandas_udf("bigint")
+    def block_of(x: pd.Series) -> pd.Series:
+        at = np.searchsorted(firsts, x.to_numpy(), "right") - 1
+        return pd.Series(at).where((at >= 0) & todo[at])
+
+    ins = _ins(weighted)
+    counts = pair_counts(ins, _outs(weighted))
+    lists = join_lists(ins, _outs(weighted), counts, pairs_per_task).withColumn("block", block_of("x"))
+    total, most = sum(blocks[i][2] for i in waiting), max(blocks[i][2] for i in waiting)
+    # A large block is spread over several tasks.
+    stripe = F.pmod(F.xxhash64("x"), F.lit(-(-most // (8 * PAIRS_PER_DEAL))))
+    tasks = deal_tasks(weighted, total)
+    placed = lists.where("block IS NOT NULL").repartition(tasks, "block", stripe)
+    placed.write.mode("overwrite").partitionBy("block").parquet(run.path("lists"))
+    run.mark("lists", blocks=waiting)
+
+
+def _waves(blocks: list, waiting: list) -> list[list[int]]:
+    """Blocks to write in one job: one, or small ones in a row."""
+    waves, pairs = [], 0
+    for i in waiting:
+        if waves and len(waves[-1]) < BLOCKS_PER_WAVE and pairs + blocks[i][2] <= PAIRS_PER_WAVE:
+            waves[-1].append(i)
+            pairs += blocks[i][2]
+        else:
+            waves.append([i])
+            pairs = blocks[i][2]
+    return waves

@@ -6,10 +6,12 @@ on executors, so a lost executor costs a re-read and not a re-computation.
 
 from __future__ import annotations
 
+import contextlib
 import json
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -56,6 +58,20 @@ def keep(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextlib.contextmanager
+def parts_apart(spark: SparkSession) -> Iterator[None]:
+    """Jobs run meanwhile keep the tasks of a union's parts apart.
+
+    Spark else merges parts that are partitioned alike, so that many parts of one task each are one task.
+    """
+    setting = "spark.sql.unionOutputPartitioning"
+    before = spark.conf.get(setting, None)
+    spark.conf.set(setting, "false")
+    try:
+        yield
+    finally:
+        spark.conf.unset(setting) if before is None else spark.conf.set(setting, before)
+
 
 class RunFolder:
     """Tables of one job below one folder, each marked when it is whole.
