@@ -301,9 +301,9 @@ def edge_rows_without_id(spark, sf_dir):
 
 
 def edges_split_by_rows(spark, sf_dir):
-    """Number of partitions with rows, and rows in all."""
+    """Number of parts with rows, and rows in all."""
     parts = el.split_by_rows(g.follows(spark, sf_dir), SPLIT_ROWS)
-    sizes = parts.groupBy(F.spark_partition_id().alias("part")).agg(F.count(F.lit(1)).alias("n"))
+    sizes = parts.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
     return sizes.agg(F.count(F.lit(1)).alias("parts"), F.sum("n").alias("n"))
 
 

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from edgeloom.functions.columns import field_count, number_at, two_numbers
 from edgeloom.storage import keep
 
+MOST_PARTITIONS = 2**11
+
 
 def read_edges(spark: SparkSession, path: str | list[str], sep: str = ",") -> DataFrame:
     """The edges of raw text files; other lines are left out by the rule of :func:`parse_edges`."""
@@ -93,8 +95,16 @@ def read_tuples(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 
 def split_by_rows(df: DataFrame, rows: int) -> DataFrame:
-    """Spread ``df`` evenly over partitions of about ``rows`` rows each."""
-    return df.repartition(max(1, -(-df.count() // rows)))
+    """Spread ``df`` evenly over parts of about ``rows`` rows each, numbered by a column ``part``.
+
+    A part is a partition, or, from ``MOST_PARTITIONS`` parts on, several parts share one: a task
+    for each would send more reports to the driver than it can hold.
+    """
+    n = max(1, -(-df.count() // rows))
+    # Each task deals its rows out in turn, from a part of its own on.
+    turn = F.monotonically_increasing_id().bitwiseAND(2**33 - 1) + F.pmod(F.xxhash64(F.spark_partition_id()), F.lit(n))
+    tasks = min(n, MOST_PARTITIONS)
+    return df.withColumn("part", turn % n).repartitionById(tasks, (F.col("part") % tasks).cast("int"))
 
 
 def number_lines(files: DataFrame) -> DataFrame:
