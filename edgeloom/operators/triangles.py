@@ -18,6 +18,7 @@ from edgeloom.operators.broadcasts import BROADCAST_ROWS, fits_broadcast, join_b
 from edgeloom.operators.degrees import degree_in_out
 from edgeloom.operators.edges import max_filter, weighted_edges
 from edgeloom.operators.intersections import MAX_LEN, closed_sets
+from edgeloom.operators.lists import deal_tasks, heavy_starts, join_lists, pair_counts, pairs_of_starts, sums_by_pair
 from edgeloom.operators.partitions import EDGES_PER_TASK, class_count, cycle_counts
 from edgeloom.operators.skew import (
     PAIRS_PER_TASK,
@@ -80,18 +81,24 @@ def ordered_edges(
     )
 
 
-def wedges(
-    ordered: DataFrame,
-    broadcast_outs: bool = False,
-    pairs_per_task: int = PAIRS_PER_TASK,
-) -> DataFrame:
-    """``(y, x, z, m_in, m_out)``: x -> y -> z with y before x and z, x <> z."""
+def _ends(ordered: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(y, x, m_in)`` and ``(y, z, m_out)``: edges into and out of their earlier node."""
     ins = ordered.where("NOT out").select(
         F.col("low").alias("y"), F.col("high").alias("x"), F.col("m").alias("m_in")
     )
     outs = ordered.where("out").select(
         F.col("low").alias("y"), F.col("high").alias("z"), F.col("m").alias("m_out")
     )
+    return ins, outs
+
+
+def wedges(
+    ordered: DataFrame,
+    broadcast_outs: bool = False,
+    pairs_per_task: int = PAIRS_PER_TASK,
+) -> DataFrame:
+    """``(y, x, z, m_in, m_out)``: x -> y -> z with y before x and z, x <> z."""
+    ins, outs = _ends(ordered)
     if broadcast_outs:
         found = join_broadcast(ins, outs, "y", "x")
     else:
@@ -113,19 +120,29 @@ def closed_pairs(
 ) -> DataFrame:
     """Wedges summed over y per (x, z), where the edge z -> x closes them.
 
-    ``measures`` are aggregates over ``m_in`` and ``m_out``. Summing before
-    the closing join means a pair with very many wedges is one row there.
+    ``measures`` are aggregates over ``m_in`` and ``m_out`` that skip nulls. Wedges are dealt out by x as
+    lists and summed there, together with the closing edges.
     """
     closing = ordered.select(
         F.when(F.col("out"), F.col("low")).otherwise(F.col("high")).alias("z"),
         F.when(F.col("out"), F.col("high")).otherwise(F.col("low")).alias("x"),
         F.col("m").alias("m_close"),
     )
-    found = wedges(ordered, broadcast_edges, pairs_per_task)
     if broadcast_edges:
-        hits = found.join(F.broadcast(closing), ["z", "x"])
+        hits = wedges(ordered, True, pairs_per_task).join(F.broadcast(closing), ["z", "x"])
         return hits.groupBy("z", "x", "m_close").agg(*measures)
-    return found.groupBy("z", "x").agg(*measures).join(closing, ["z", "x"])
+    ins, outs = _ends(ordered)
+    counts = pair_counts(ins, outs)
+    heavy, total = heavy_starts(keep(pairs_of_starts(ins, counts), "starts"), pairs_per_task)
+    nothing = F.lit(None).cast("bigint")
+    # A closing edge is a list of its own, so that it is where the wedges of its x are.
+    closes = closing.select(
+        "x", nothing.alias("m_in"), F.array("z").alias("ids"), F.array(nothing).alias("copies"), "m_close"
+    )
+    lists = join_lists(ins, outs, counts, pairs_per_task).withColumn("m_close", nothing).unionByName(closes)
+    tasks = max(2, 2 * deal_tasks(ordered, total + ordered.count()))
+    pairs = sums_by_pair(lists, heavy, tasks, False, *measures, F.max("m_close").alias("m_close"), F.count("m_in").alias("met"))
+    return pairs.where("m_close IS NOT NULL AND met > 0").drop("met")
 
 
 def triangle_count(
@@ -157,7 +174,7 @@ def triangle_count(
     small = strategy == "broadcast" and fits_broadcast(ordered, max_broadcast_rows)
     pairs = closed_pairs(
         ordered,
-        F.count(F.lit(1)).alias("n"),
+        F.count("m_in").alias("n"),
         broadcast_edges=small,
         pairs_per_task=pairs_per_task,
     )
@@ -224,7 +241,7 @@ def closed_walks(
     else:
         pairs = closed_pairs(
             ordered,
-            F.count(F.lit(1)).alias("n"),
+            F.count("m_in").alias("n"),
             F.sum("m_in").alias("a"),
             F.sum("m_out").alias("b"),
             F.sum(F.col("m_in") * F.col("m_out")).alias("ab"),
