@@ -11,6 +11,10 @@ edges are spread over several stripes. A round moves the node table
 partly summed contributions to their targets; the edges stay where they are, unsorted, and a lost
 executor costs a re-read of its buckets.
 
+Nodes without in-edges all have the same rank in a round, (1 - damping) / N + damping * D / N. They and their edges
+take no part in the rounds: what they give a node is that rank times a sum that is taken once. Rounds hold
+the other nodes, and the tables that are handed out hold all.
+
 All tables of a run lie in one folder. Each round is marked when it is whole, so a job that is
 started again with the same folder goes on from the last whole round.
 """
@@ -29,6 +33,7 @@ from edgeloom.operators.skew import (
     ROWS_PER_STRIPE,
     all_stripes,
     hot_limit,
+    split_join,
     stripe_of,
     stripes,
     task_count,
@@ -37,7 +42,7 @@ from edgeloom.storage import BucketedTable, RunFolder
 
 RANKS = "node BIGINT, rank DOUBLE, out_deg BIGINT"
 PLACED = "src BIGINT, stripe INT, dst BIGINT"
-EDGES, LINKS = "edges", "links"
+EDGES, LINKS, STILL = "edges", "links", "still"
 
 
 def _begin(run: RunFolder, edges: DataFrame, rows_per_stripe: int) -> dict:
@@ -46,14 +51,26 @@ def _begin(run: RunFolder, edges: DataFrame, rows_per_stripe: int) -> dict:
         return known
     spark = run.spark
     links = run.write(LINKS, distinct_edges(edges))
-    nodes = run.write("nodes", degree_in_out(links).select("node", "out_deg"))
+    degrees = degree_in_out(links).select("node", "in_deg", "out_deg")
+    nodes = run.write("nodes", degrees)
     n, total = max(nodes.count(), 1), links.count()
-    run.write(run.round(0), nodes.select("node", F.lit(1.0 / n).alias("rank"), "out_deg"))
     limit = hot_limit(total, rows_per_stripe)
     hubs = nodes.where(F.col("out_deg") > limit).select(
         F.col("node").alias("src"), stripes(F.col("out_deg"), limit).alias("n_stripes")
     )
-    placed = links.join(F.broadcast(hubs), "src", "left").select(
+    hot = hubs.select("src", F.col("n_stripes").alias("n_rows"), F.lit(1).alias("n_cols"))
+
+    def leaving(which: str) -> DataFrame:
+        starts = nodes.where(which).select(F.col("node").alias("src"), "out_deg")
+        return split_join(links, starts, "src", ("dst", "src"), hot)
+
+    still = run.write(STILL, nodes.where("in_deg = 0").select("node", "out_deg"))
+    fed = leaving("in_deg = 0").groupBy(F.col("dst").alias("node")).agg(F.sum(1 / F.col("out_deg")).alias("fed"))
+    start = nodes.where("in_deg > 0").join(fed, "node", "left")
+    rank = F.lit(1.0 / n).alias("rank")
+    run.write(run.round(0), start.select("node", rank, "out_deg", F.coalesce("fed", F.lit(0.0)).alias("fed")), still=1.0 / n)
+    moving = links if not still.count() else leaving("in_deg > 0").select("src", "dst")
+    placed = moving.join(F.broadcast(hubs), "src", "left").select(
         "src", stripe_of(F.col("dst"), F.col("n_stripes")).alias("stripe"), "dst"
     )
     table = BucketedTable(run, EDGES, ["src", "stripe"], task_count(spark, total, 2**20, 2**24))
@@ -66,7 +83,10 @@ def _begin(run: RunFolder, edges: DataFrame, rows_per_stripe: int) -> dict:
     return run.facts(EDGES)
 
 
-def _next(ranks: DataFrame, placed: DataFrame, limit: int, n: int, damping: float) -> DataFrame:
+def _next(
+    ranks: DataFrame, placed: DataFrame, limit: int, n: int, damping: float, held: float, still: float
+) -> DataFrame:
+    """The next round from the last one, its dangling rank and its rank of a node without in-edges."""
     shares = ranks.where("out_deg > 0").select(
         F.col("node").alias("src"),
         (F.col("rank") / F.col("out_deg")).alias("share"),
@@ -77,18 +97,19 @@ def _next(ranks: DataFrame, placed: DataFrame, limit: int, n: int, damping: floa
         F.col("dst").alias("node"),
         F.col("share").alias("c"),
         F.lit(None).cast("bigint").alias("out_deg"),
+        F.lit(None).cast("double").alias("fed"),
     )
-    # Each node's own row keeps it in the result and carries its degree.
-    own = ranks.select("node", F.lit(0.0).alias("c"), "out_deg")
-    dangling = ranks.where("out_deg = 0").agg(F.sum("rank")).scalar()
+    # Each node's own row keeps it in the result, carries its degree and what still nodes give it.
+    own = ranks.select("node", (F.lit(still) * F.col("fed")).alias("c"), "out_deg", "fed")
     return (
         received.unionByName(own)
         .groupBy("node")
-        .agg(F.sum("c").alias("c"), F.max("out_deg").alias("out_deg"))
+        .agg(F.sum("c").alias("c"), F.max("out_deg").alias("out_deg"), F.max("fed").alias("fed"))
         .select(
             "node",
-            damped(F.col("c"), F.coalesce(dangling, F.lit(0.0)), n, damping).alias("rank"),
+            damped(F.col("c"), F.lit(held), n, damping).alias("rank"),
             "out_deg",
+            "fed",
         )
     )
 
@@ -116,8 +137,16 @@ def rank_rounds(
         raise ValueError(f"{run.folder} was begun with damping {settings['damping']}")
     facts = _begin(run, edges, rows_per_stripe)
 
+    def moving(i: int) -> DataFrame:
+        ranks = run.spark.read.schema(f"{RANKS}, fed DOUBLE").parquet(run.path(run.round(i)))
+        return ranks.na.fill(0.0, ["fed"])
+
     def table(i: int) -> DataFrame:
-        return run.spark.read.schema(RANKS).parquet(run.path(run.round(i)))
+        ranks = moving(i).select("node", "rank", "out_deg")
+        if run.facts(STILL) is None:  # a run of an earlier version, whose rounds hold every node
+            return ranks
+        still = run.spark.read.schema("node BIGINT, out_deg BIGINT").parquet(run.path(STILL))
+        return ranks.unionByName(still.withColumn("rank", F.lit(run.facts(run.round(i))["still"])))
 
     there = [i for i in run.rounds() if i <= iterations]
     if not there:
@@ -131,8 +160,11 @@ def rank_rounds(
     placed = bucketed.read(PLACED)
     try:
         for i in range(last + 1, iterations + 1):
-            ranks = _next(table(i - 1), placed, facts["limit"], facts["n"], damping)
-            run.write(run.round(i), ranks)
+            before, n = moving(i - 1), facts["n"]
+            held = before.where("out_deg = 0").agg(F.coalesce(F.sum("rank"), F.lit(0.0))).first()[0]
+            still = run.facts(run.round(i - 1)).get("still", 0.0)
+            ranks = _next(before, placed, facts["limit"], n, damping, held, still)
+            run.write(run.round(i), ranks, still=(1.0 - damping) / n + damping * (held / n))
             if not every_round:
                 run.drop(run.round(i - 1))
             yield i, table(i)
