@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from edgeloom.llm.textblocks import lean, mix, row_blocks, runs, utf8
+from edgeloom.llm.textblocks import lean, mix, row_blocks, runs, short_batches, utf8
 
 UNKNOWN = "und"
 PER_LANGUAGE, SAMPLE, LONGEST = 100, 1000, 2**16
@@ -490,6 +490,7 @@ def label(docs: DataFrame, model: Model | None, text: str = "text", spans: bool
     ``spans`` are the stretches of one language, from the most probable language of each
     word; they are null unless asked for.
     """
+    short_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):

@@ -19,7 +19,8 @@ the very text. A null text has null ids and decodes to null, an empty one none.
 The lattice falls into units at these borders, which are independent. Each distinct unit
 of a block is filtered once, all units in step; then all occurrences are sampled in
 step. The lattice is laid out by step, and a step has only as many lengths as characters
-before it. A very long unit takes steps in proportion to its length.
+before it. A very long unit takes steps in proportion to its length. Both directions work and
+write by blocks of whole rows, and Spark hands over short batches, so memory follows the block or the longest text.
 Repeated rows of one key and text get equal ids; rows without a key are seeded like
 any other value. Extra columns are carried along.
 """
@@ -36,11 +37,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from edgeloom.llm.language import code_points
-from edgeloom.llm.textblocks import lean, mix, row_blocks, utf8
+from edgeloom.llm.textblocks import lean, mix, row_blocks, short_batches, utf8
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 TEMPER = 1.0
-BLOCK_BYTES = 2**18
+BLOCK_BYTES = 2**17
 BLANK = 0x2581
 # Stands for a U+2581 of the text, which must not be taken for a blank.
 LITERAL = 0x110000
@@ -300,6 +301,17 @@ def encode_column(column: pa.Array, seeds: pa.Array, vocabulary: Vocabulary) ->
         )
 
 
+def decode_column(column: pa.Array, vocabulary: Vocabulary) -> Iterator[pa.Array]:
+    """The texts of all rows, an array for each block of rows."""
+    offsets = column.offsets.to_numpy().astype(np.int64)
+    for first, last in row_blocks(offsets, BLOCK_BYTES):  # ids, each of a few bytes
+        texts = [
+            decode_ids(ids.values.to_numpy(), vocabulary) if ids.is_valid else None
+            for ids in column.slice(first, last - first)
+        ]
+        yield pa.array(texts, pa.string())
+
+
 def decode_ids(ids: np.ndarray, vocabulary: Vocabulary) -> str:
     text = b"".join([vocabulary.bytes[i] for i in ids.tolist()]).decode("utf-8", "surrogatepass")
     return text[1:]
@@ -317,6 +329,7 @@ def encode(
     seed: int = 0,
 ) -> DataFrame:
     """``docs`` with ``__ids``, a sampled segmentation of the text as piece ids."""
+    short_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary or load())
     schema = T.StructType([*docs.schema.fields, T.StructField(COLUMN, T.ArrayType(T.IntegerType()))])
 
@@ -335,18 +348,18 @@ def encode(
 
 def decode(encoded: DataFrame, vocabulary: Vocabulary | None = None, to: str = "decoded") -> DataFrame:
     """``encoded`` with the text that its ``__ids`` stand for."""
+    short_batches(encoded.sparkSession)
     shared = encoded.sparkSession.sparkContext.broadcast(vocabulary or load())
     schema = T.StructType([*encoded.schema.fields, T.StructField(to, T.StringType())])
 
     def run(batches):
         for batch in batches:
             lists = batch.column(batch.schema.get_field_index(COLUMN))
-            texts = [
-                decode_ids(ids.values.to_numpy(), shared.value) if ids.is_valid else None
-                for ids in lists
-            ]
-            arrays = [*batch.columns, pa.array(texts, pa.string())]
-            yield pa.RecordBatch.from_arrays(arrays, names=schema.names)
+            at = 0
+            for texts in decode_column(lists, shared.value):
+                part = batch.slice(at, len(texts))
+                at += len(texts)
+                yield pa.RecordBatch.from_arrays([*part.columns, texts], names=schema.names)
 
     return encoded.mapInArrow(lean(run), schema)
 

@@ -12,8 +12,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import SparkSession
 
 BLOCK_BYTES = 2**18
+# Bytes of the batches in which Spark hands rows to Python, by default 64 MB.
+BATCH_BYTES = 2**22
+BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 # Inverse of the base modulo 2**64; multiplying by it undoes one power.
 _INVERSE = np.uint64(pow(int(_BASE), -1, 2**64))
@@ -43,6 +47,15 @@ def lean(run):
     return wrapped
 
 
+def short_batches(spark: SparkSession) -> None:
+    """From now on Python tasks of the session get batches of ``BATCH_BYTES``, or of one longer row.
+
+    Executor and worker hold several batches of each task. A size that the session sets stays.
+    """
+    if spark.conf.get(BATCH_SETTING, None) is None:
+        spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
+
+
 def mix(values: np.ndarray) -> np.ndarray:
     """Spread 64-bit values over all bits (a bijection)."""
     z = values ^ (values >> np.uint64(30))

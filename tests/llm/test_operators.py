@@ -472,6 +472,37 @@ def test_any_text_comes_back(spark, odd_rows, vocabulary):
     assert pieces.encode(table(spark, []), vocabulary).count() == 0
 
 
+def test_texts_pass_through_python_by_short_batches(spark, vocabulary):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"bytes": [batch.nbytes]})
+
+    texts = spark.range(0, 3000, 1, 1).select(F.col("id").alias("doc_id"), F.lit("one two " * 500).alias("text"))
+    set_by_user = spark.conf.get(textblocks.BATCH_SETTING, None)
+    try:
+        for wanted, most in ((None, textblocks.BATCH_BYTES), ("16m", 2**24)):
+            spark.conf.unset(textblocks.BATCH_SETTING)
+            if wanted:
+                spark.conf.set(textblocks.BATCH_SETTING, wanted)
+            encoded = pieces.encode(texts, vocabulary)
+            assert 0.5 * most < max(r.bytes for r in encoded.mapInArrow(sizes, "bytes bigint").collect()) < 1.1 * most
+    finally:
+        spark.conf.unset(textblocks.BATCH_SETTING)
+        if set_by_user:
+            spark.conf.set(textblocks.BATCH_SETTING, set_by_user)
+
+
+def test_pieces_are_decoded_by_blocks(vocabulary):
+    texts = [None, "", *(f"text {i} " * 200 for i in range(600)), None]
+    arrays = list(pieces.encode_column(pa.array(texts), pa.array(range(len(texts))), vocabulary))
+    whole = pa.concat_arrays(arrays)
+    for start in (0, 7):
+        found = list(pieces.decode_column(whole.slice(start), vocabulary))
+        assert len(found) > 2 and max(len(f) for f in found) < 400
+        assert pa.concat_arrays(found).to_pylist() == texts[start:]
+    assert not list(pieces.decode_column(whole.slice(0, 0), vocabulary))
+
+
 # ------------------------------------------------------------------ toxicity
 
 
